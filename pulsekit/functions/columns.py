@@ -67,10 +67,10 @@ def hour_minute(col: Column | str) -> Column:
 def fmt_fixed(x: Column, digits: int = 2) -> Column:
     """``{x:.2f}``: half-even rounding, then fixed text; NULL -> 'nan'."""
     r = round_half_even(x, digits)
-    return F.coalesce(F.format_string(f"%.{digits}f", r), F.lit("nan"))
+    return F.when(r.isNull(), F.lit("nan")).otherwise(F.format_string(f"%.{digits}f", r))
 
 
 def fmt_percent(x: Column, digits: int = 2) -> Column:
     """``{x:.2%}``: 100*x with ``digits`` decimals and a percent sign."""
     r = round_half_even(x.cast("double") * F.lit(100.0), digits)
-    return F.coalesce(F.format_string(f"%.{digits}f%%", r), F.lit("nan"))
+    return F.when(r.isNull(), F.lit("nan")).otherwise(F.format_string(f"%.{digits}f%%", r))
