@@ -12,7 +12,6 @@ from pulsekit.functions.columns import (
 )
 from pulsekit.functions.hashing import md5_mod, ab_split, uniform01, hash_bucket
 from pulsekit.functions.stats import (
-    simpson,
     t_two_sided_p,
     normal_two_sided_p,
     welch_columns,

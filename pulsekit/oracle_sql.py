@@ -54,7 +54,7 @@ def simpson(f, lo: str, hi: str, steps: int = SIMPSON_STEPS) -> str:
     h = f"(({hi}) - ({lo})) / {float(steps)!r}"
     w = f"(CASE WHEN i = 0 OR i = {steps} THEN 1.0 WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END)"
     x = f"(({lo}) + CAST(i AS DOUBLE) * {h})"
-    body = f"list_sum(list_transform(range(0, {steps + 1}), i -> {w} * {f(x)}))"
+    body = f"list_sum(list_transform(range(0, {steps + 1}), lambda i: {w} * {f(x)}))"
     return f"({body} * {h} / 3.0)"
 
 
@@ -84,7 +84,7 @@ def norm_p(z: str) -> str:
 
 def poisson1(u: str) -> str:
     table = ", ".join(repr(c) for c in POISSON1_CDF)
-    return f"CAST(len(list_filter([{table}], c -> c <= {u})) AS BIGINT)"
+    return f"CAST(len(list_filter([{table}], lambda c: c <= {u})) AS BIGINT)"
 
 
 def welch_sql(n1, m1, v1, n2, m2, v2) -> dict[str, str]:

@@ -1 +1,366 @@
-"""placeholder"""
+"""Experiment read-outs: split check, A/A simulation, A/B tests on raw,
+smoothed, bucketed and linearized metrics, bootstrap and histograms."""
+
+from __future__ import annotations
+
+from pulsekit.oracle_sql import (
+    norm_p, poisson1, r6 as s6, split as s_split, uniform as s_uniform, welch_sql, with_fixture,
+)
+from pulsekit.operators.experiment import histogram as hist
+from pulsekit.operators.experiment import resample, tests, transforms, user_metrics as um
+from pulsekit.params import DEFAULT_PARAMS as P
+from pulsekit.plans.catalog import r6, register
+from pulsekit.plans.daily import days_where
+from pulsekit.sources import load_fixture_tables
+
+EXP = days_where(P.exp_start, P.exp_end)
+AA, AB = P.aa_groups, P.ab_groups
+SEED = P.seed
+
+
+def _users(spark, sf_dir, groups=None):
+    fd, _ = load_fixture_tables(spark, sf_dir)
+    return um.user_ctr(fd, P.exp_start, P.exp_end, groups)
+
+
+def _in(groups) -> str:
+    return ", ".join(str(g) for g in groups)
+
+
+UC = f"""
+uc AS (
+    SELECT exp_group, user_id,
+           count(CASE WHEN action = 'like' THEN 1 END) AS likes,
+           count(CASE WHEN action = 'view' THEN 1 END) AS views,
+           CAST(count(CASE WHEN action = 'like' THEN 1 END) AS DOUBLE)
+             / NULLIF(CAST(count(CASE WHEN action = 'view' THEN 1 END) AS DOUBLE), 0) AS ctr
+    FROM feed_actions WHERE {EXP}
+    GROUP BY exp_group, user_id)"""
+
+GCTR = """
+gc AS (SELECT exp_group, CAST(sum(likes) AS DOUBLE) / NULLIF(CAST(sum(views) AS DOUBLE), 0) AS global_ctr
+       FROM uc GROUP BY exp_group)"""
+
+SMOOTH = GCTR + f""",
+sm AS (SELECT uc.*, (uc.likes + {P.smooth_alpha!r} * gc.global_ctr) / (uc.views + {P.smooth_alpha!r}) AS smoothed_ctr
+       FROM uc JOIN gc USING (exp_group) WHERE exp_group IN ({_in(AB)}))"""
+
+CONTROL_ROWS = ", ".join(f"({g}, {c})" for g, c in sorted(P.lin_control.items()))
+LIN = GCTR + f""",
+cm AS (SELECT * FROM (VALUES {CONTROL_ROWS}) t(exp_group, control_group)),
+ll AS (SELECT uc.*, uc.likes - gc.global_ctr * uc.views AS lin_likes
+       FROM uc JOIN cm USING (exp_group) JOIN gc ON gc.exp_group = cm.control_group)"""
+
+BUCKETS = f"""
+ub AS (SELECT *, {s_split('user_id', None, P.n_buckets)} AS bucket FROM uc WHERE exp_group IN ({_in(AB)})),
+bc AS (SELECT exp_group, bucket,
+              CAST(sum(likes) AS DOUBLE) / NULLIF(CAST(sum(views) AS DOUBLE), 0) AS bucket_ctr,
+              count(ctr) AS n
+       FROM ub GROUP BY exp_group, bucket),
+rk AS (SELECT exp_group, bucket, ctr,
+              row_number() OVER (PARTITION BY exp_group, bucket ORDER BY ctr) - 1 AS pos
+       FROM ub WHERE ctr IS NOT NULL),
+bq AS (SELECT bc.exp_group, bc.bucket, bc.bucket_ctr, rk.ctr AS ctr9
+       FROM bc LEFT JOIN rk ON rk.exp_group = bc.exp_group AND rk.bucket = bc.bucket
+        AND rk.pos = least(floor({P.bucket_quantile!r} * bc.n), bc.n - 1))"""
+
+
+# ------------------------------------------------------------ split and user frames
+@register("user_ctr", with_fixture(UC, f"SELECT exp_group, user_id, likes, views, {s6('ctr')} AS ctr FROM uc"))
+def q_user_ctr(spark, sf_dir):
+    return r6(_users(spark, sf_dir))
+
+
+@register("user_split", with_fixture(f"""
+    SELECT DISTINCT user_id, {s_split('user_id', P.split_salt, P.split_groups)} AS hash_group
+    FROM feed_actions WHERE {EXP}"""))
+def q_user_split(spark, sf_dir):
+    fd, _ = load_fixture_tables(spark, sf_dir)
+    return um.user_split(fd, P.exp_start, P.exp_end, P.split_salt, P.split_groups)
+
+
+@register("split_sizes", with_fixture(f"""
+    SELECT {s_split('user_id', P.split_salt, P.split_groups)} AS hash_group, count(DISTINCT user_id) AS users
+    FROM feed_actions WHERE {EXP} GROUP BY 1"""))
+def q_split_sizes(spark, sf_dir):
+    fd, _ = load_fixture_tables(spark, sf_dir)
+    return um.split_sizes(um.user_split(fd, P.exp_start, P.exp_end, P.split_salt, P.split_groups))
+
+
+@register("group_counts", with_fixture(UC, f"""
+    SELECT exp_group, count(user_id) AS n_user_id, count(likes) AS n_likes, count(views) AS n_views,
+           count(ctr) AS n_ctr
+    FROM uc WHERE exp_group IN ({_in(AA)}) GROUP BY exp_group"""))
+def q_group_counts(spark, sf_dir):
+    return um.group_counts(_users(spark, sf_dir, AA))
+
+
+@register("global_ctr", with_fixture(UC, f"""
+    SELECT exp_group, CAST(sum(likes) AS BIGINT) AS likes, CAST(sum(views) AS BIGINT) AS views,
+           {s6('CAST(sum(likes) AS DOUBLE) / NULLIF(CAST(sum(views) AS DOUBLE), 0)')} AS global_ctr
+    FROM uc GROUP BY exp_group"""))
+def q_global_ctr(spark, sf_dir):
+    return r6(um.global_ctr(_users(spark, sf_dir)))
+
+
+@register("ctr_moments", with_fixture(UC, f"""
+    SELECT exp_group, count(ctr) AS n, {s6('avg(ctr)')} AS mean, {s6('var_samp(ctr)')} AS var
+    FROM uc WHERE exp_group IN ({_in(AB)}) GROUP BY exp_group"""))
+def q_ctr_moments(spark, sf_dir):
+    return r6(um.moments(_users(spark, sf_dir, AB), "ctr"))
+
+
+@register("smoothed_ctr", with_fixture(UC, SMOOTH, f"""
+    SELECT exp_group, user_id, likes, views, {s6('ctr')} AS ctr, {s6('smoothed_ctr')} AS smoothed_ctr FROM sm"""))
+def q_smoothed_ctr(spark, sf_dir):
+    return r6(transforms.smoothed_ctr(_users(spark, sf_dir, AB), P.smooth_alpha))
+
+
+@register("lin_likes", with_fixture(UC, LIN, f"""
+    SELECT exp_group, user_id, likes, views, {s6('ctr')} AS ctr, {s6('lin_likes')} AS lin_likes FROM ll"""))
+def q_lin_likes(spark, sf_dir):
+    return r6(transforms.lin_likes(_users(spark, sf_dir), P.lin_control))
+
+
+@register("bucket_ctr", with_fixture(UC, BUCKETS, f"""
+    SELECT exp_group, bucket, {s6('bucket_ctr')} AS bucket_ctr, {s6('ctr9')} AS ctr9 FROM bq"""))
+def q_bucket_ctr(spark, sf_dir):
+    return r6(transforms.bucket_ctr(_users(spark, sf_dir, AB), P.n_buckets, P.bucket_quantile, "md5"))
+
+
+# ------------------------------------------------------------ Welch
+def _welch_sql(src: str, value: str, pairs) -> str:
+    rows = ", ".join(f"({a}, {b})" for a, b in pairs)
+    w = welch_sql("a.n", "a.m", "a.v", "b.n", "b.m", "b.v")
+    return f"""
+mom AS (SELECT exp_group, count({value}) AS n, avg({value}) AS m, var_samp({value}) AS v FROM {src} GROUP BY exp_group),
+pr AS (SELECT * FROM (VALUES {rows}) t(group_a, group_b)),
+wt AS (SELECT pr.group_a, pr.group_b,
+              coalesce(a.n, 0) AS n_a, coalesce(b.n, 0) AS n_b, a.m AS mean_a, b.m AS mean_b,
+              a.v AS var_a, b.v AS var_b,
+              {w['t_stat']} AS t_stat, {w['dof']} AS dof, {w['p_value']} AS p_value
+       FROM pr LEFT JOIN mom a ON a.exp_group = pr.group_a LEFT JOIN mom b ON b.exp_group = pr.group_b)"""
+
+
+WELCH_OUT = (f"SELECT group_a, group_b, n_a, n_b, {s6('mean_a')} AS mean_a, {s6('mean_b')} AS mean_b, "
+             f"{s6('var_a')} AS var_a, {s6('var_b')} AS var_b, {s6('t_stat')} AS t_stat, "
+             f"{s6('dof')} AS dof, {s6('p_value')} AS p_value FROM wt")
+
+
+@register("welch_ctr", with_fixture(UC, _welch_sql("uc", "ctr", P.welch_pairs), WELCH_OUT))
+def q_welch_ctr(spark, sf_dir):
+    return r6(tests.welch_test(_users(spark, sf_dir), "ctr", P.welch_pairs))
+
+
+@register("welch_smoothed", with_fixture(UC, SMOOTH, _welch_sql("sm", "smoothed_ctr", [AB]), WELCH_OUT))
+def q_welch_smoothed(spark, sf_dir):
+    sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB), P.smooth_alpha)
+    return r6(tests.welch_test(sm, "smoothed_ctr", [AB]))
+
+
+@register("welch_bucket", with_fixture(UC, BUCKETS, _welch_sql("bq", "bucket_ctr", [AB]), WELCH_OUT))
+def q_welch_bucket(spark, sf_dir):
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB), P.n_buckets, P.bucket_quantile, "md5")
+    return r6(tests.welch_test(b, "bucket_ctr", [AB]))
+
+
+@register("welch_lin_likes", with_fixture(UC, LIN, _welch_sql("ll", "lin_likes", P.lin_pairs), WELCH_OUT))
+def q_welch_lin_likes(spark, sf_dir):
+    ll = transforms.lin_likes(_users(spark, sf_dir), P.lin_control)
+    return r6(tests.welch_test(ll, "lin_likes", P.lin_pairs))
+
+
+# ------------------------------------------------------------ Mann-Whitney
+def _mwu_sql(src: str, value: str, a: int, b: int) -> str:
+    na, nb = "CAST(s.n_a AS DOUBLE)", "CAST(s.n_b AS DOUBLE)"
+    u_a = f"(s.r_a - {na} * ({na} + 1.0) / 2.0)"
+    u_b = f"({na} * {nb} - {u_a})"
+    n = f"({na} + {nb})"
+    sd = f"sqrt({na} * {nb} / 12.0 * (({n} + 1.0) - s.ties / ({n} * ({n} - 1.0))))"
+    z = f"(CASE WHEN {sd} > 0 THEN (greatest({u_a}, {u_b}) - {na} * {nb} / 2.0 - 0.5) / {sd} END)"
+    return f"""
+dv AS (SELECT {value} AS value, count(CASE WHEN exp_group = {a} THEN 1 END) AS n_a,
+              count(CASE WHEN exp_group = {b} THEN 1 END) AS n_b
+       FROM {src} WHERE exp_group IN ({a}, {b}) AND {value} IS NOT NULL GROUP BY {value}),
+rv AS (SELECT *, n_a + n_b AS n_all,
+              coalesce(sum(n_a + n_b) OVER (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_all,
+              coalesce(sum(n_b) OVER (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_b
+       FROM dv),
+s AS (SELECT sum(n_a) AS n_a, sum(n_b) AS n_b,
+             sum(n_a * (before_all + (n_all + 1) / 2.0)) AS r_a,
+             sum(CAST(n_all AS DOUBLE) * n_all * n_all - n_all) AS ties,
+             sum(n_a * before_b) AS gt, sum(n_a * n_b) AS eq
+      FROM rv),
+mw AS (SELECT {a} AS group_a, {b} AS group_b, CAST(s.n_a AS BIGINT) AS n_a, CAST(s.n_b AS BIGINT) AS n_b,
+              {u_a} AS u_a, {u_b} AS u_b, {z} AS z, {norm_p(z)} AS p_value, 'asymptotic' AS method,
+              CAST(s.gt AS DOUBLE) / NULLIF({na} * {nb}, 0) AS prob_a_gt_b,
+              CAST(s.eq AS DOUBLE) / NULLIF({na} * {nb}, 0) AS prob_a_eq_b
+       FROM s)"""
+
+
+MWU_OUT = (f"SELECT group_a, group_b, n_a, n_b, {s6('u_a')} AS u_a, {s6('u_b')} AS u_b, {s6('z')} AS z, "
+           f"{s6('p_value')} AS p_value, method, {s6('prob_a_gt_b')} AS prob_a_gt_b, "
+           f"{s6('prob_a_eq_b')} AS prob_a_eq_b FROM mw")
+
+
+@register("mwu_ctr", with_fixture(UC, _mwu_sql("uc", "ctr", *AB), MWU_OUT))
+def q_mwu_ctr(spark, sf_dir):
+    return r6(tests.mann_whitney(_users(spark, sf_dir, AB), "ctr", *AB))
+
+
+@register("prob_a_gt_b", with_fixture(UC, _mwu_sql("uc", "ctr", *AB), f"""
+    SELECT group_a, group_b, {s6('prob_a_gt_b')} AS prob_a_gt_b, {s6('prob_a_eq_b')} AS prob_a_eq_b FROM mw"""))
+def q_prob_a_gt_b(spark, sf_dir):
+    m = tests.mann_whitney(_users(spark, sf_dir, AB), "ctr", *AB)
+    return r6(m.select("group_a", "group_b", "prob_a_gt_b", "prob_a_eq_b"))
+
+
+@register("mwu_smoothed", with_fixture(UC, SMOOTH, _mwu_sql("sm", "smoothed_ctr", *AB), MWU_OUT))
+def q_mwu_smoothed(spark, sf_dir):
+    sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB), P.smooth_alpha)
+    return r6(tests.mann_whitney(sm, "smoothed_ctr", *AB))
+
+
+@register("mwu_bucket", with_fixture(UC, BUCKETS, _mwu_sql("bq", "bucket_ctr", *AB), MWU_OUT))
+def q_mwu_bucket(spark, sf_dir):
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB), P.n_buckets, P.bucket_quantile, "md5")
+    return r6(tests.mann_whitney(b, "bucket_ctr", *AB))
+
+
+# ------------------------------------------------------------ histograms
+def _hist_sql(src: str, value: str, bins: int, by: str | None, lo: str, hi: str,
+              by_data: bool = True) -> str:
+    g = f"{by}, " if by else ""
+    b = (f"CAST(CASE WHEN hi > lo THEN least(greatest(floor(({value} - lo) / (hi - lo) * {float(bins)!r}), 0), "
+         f"{bins - 1}) ELSE 0 END AS INTEGER)")
+    w = f"((hi - lo) / {float(bins)!r})"
+    from_ = f" FROM {src} WHERE {value} IS NOT NULL" if by_data else ""
+    return f"""
+hr AS (SELECT CAST({lo} AS DOUBLE) AS lo, CAST({hi} AS DOUBLE) AS hi{from_}),
+hb AS (SELECT {g}{b} AS bin, lo, hi FROM {src}, hr WHERE {value} IS NOT NULL),
+hist AS (SELECT {g}bin, {s6(f'lo + bin * {w}')} AS lower, {s6(f'lo + (bin + 1) * {w}')} AS upper,
+                count(*) AS count
+         FROM hb GROUP BY {g}bin, lo, hi)"""
+
+
+@register("ctr_histogram", with_fixture(
+    UC, f"uab AS (SELECT * FROM uc WHERE exp_group IN ({_in(AB)}))",
+    _hist_sql("uab", "ctr", P.hist_bins, "exp_group", "min(ctr)", "max(ctr)"), "SELECT * FROM hist"))
+def q_ctr_histogram(spark, sf_dir):
+    return r6(hist.histogram(_users(spark, sf_dir, AB), "ctr", P.hist_bins, ("exp_group",)))
+
+
+# ------------------------------------------------------------ seeded resampling
+N_SIMS, K = P.n_aa_sims, P.aa_sample_size
+A0, B0 = AA
+
+
+def _aa_sql() -> str:
+    kk = f"CASE WHEN least({K}, n) * 2 > n THEN n - least({K}, n) ELSE least({K}, n) END"
+    w = welch_sql("n_a", "mean_a", "var_a", "n_b", "mean_b", "var_b")
+    return f"""
+ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS idx, ctr AS value
+       FROM uc WHERE exp_group IN ({A0}, {B0}) AND ctr IS NOT NULL),
+sz AS (SELECT exp_group, count(*) AS n, sum(value) AS tot1, sum(value * value) AS tot2 FROM ui GROUP BY exp_group),
+sz2 AS (SELECT *, least({K}, n) * 2 > n AS out_mode, {kk} AS kk FROM sz),
+sims AS (SELECT sz2.*, r.sim FROM sz2 CROSS JOIN range(0, {N_SIMS}) r(sim)),
+dr AS (SELECT exp_group, sim, kk, n, unnest(range(1, kk * 3 + 64 + 1)) AS j FROM sims),
+dr2 AS (SELECT exp_group, sim, kk, j,
+               CAST(floor({s_uniform(str(SEED), 'sim', 'exp_group', 'j')} * n) AS BIGINT) AS idx FROM dr),
+fo AS (SELECT exp_group, sim, kk, idx, min(j) AS j FROM dr2 GROUP BY exp_group, sim, kk, idx),
+pk AS (SELECT exp_group, sim, idx FROM fo
+       QUALIFY row_number() OVER (PARTITION BY exp_group, sim ORDER BY j) <= kk),
+sums AS (SELECT pk.exp_group, pk.sim, count(*) AS c, sum(value) AS s1, sum(value * value) AS s2
+         FROM pk JOIN ui ON ui.exp_group = pk.exp_group AND ui.idx = pk.idx GROUP BY pk.exp_group, pk.sim),
+per AS (SELECT sims.exp_group, sims.sim,
+               CASE WHEN out_mode THEN n - coalesce(c, 0) ELSE coalesce(c, 0) END AS cnt,
+               CASE WHEN out_mode THEN tot1 - coalesce(s1, 0.0) ELSE s1 END AS s1,
+               CASE WHEN out_mode THEN tot2 - coalesce(s2, 0.0) ELSE s2 END AS s2
+        FROM sims LEFT JOIN sums ON sums.exp_group = sims.exp_group AND sums.sim = sims.sim),
+per2 AS (SELECT exp_group, sim, cnt, s1 / cnt AS mean,
+                CASE WHEN cnt > 1 THEN (s2 - s1 * s1 / cnt) / (cnt - 1.0) END AS var FROM per),
+wide AS (SELECT sim,
+                max(CASE WHEN exp_group = {A0} THEN cnt END) AS n_a, max(CASE WHEN exp_group = {B0} THEN cnt END) AS n_b,
+                max(CASE WHEN exp_group = {A0} THEN mean END) AS mean_a,
+                max(CASE WHEN exp_group = {B0} THEN mean END) AS mean_b,
+                max(CASE WHEN exp_group = {A0} THEN var END) AS var_a,
+                max(CASE WHEN exp_group = {B0} THEN var END) AS var_b
+         FROM per2 GROUP BY sim),
+aa AS (SELECT sim, n_a, n_b, mean_a, mean_b, {w['t_stat']} AS t_stat, {w['dof']} AS dof,
+              {w['p_value']} AS p_value FROM wide)"""
+
+
+def _aa(spark, sf_dir):
+    return resample.aa_simulation(_users(spark, sf_dir, AA), "ctr", AA, N_SIMS, K, SEED)
+
+
+@register("aa_simulation", with_fixture(UC, _aa_sql(), f"""
+    SELECT sim, n_a, n_b, {s6('mean_a')} AS mean_a, {s6('mean_b')} AS mean_b, {s6('t_stat')} AS t_stat,
+           {s6('dof')} AS dof, {s6('p_value')} AS p_value FROM aa"""))
+def q_aa_simulation(spark, sf_dir):
+    return r6(_aa(spark, sf_dir))
+
+
+@register("aa_false_positive_rate", with_fixture(UC, _aa_sql(), f"""
+    SELECT count(p_value) AS n_sims, count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS n_significant,
+           {s6(f"CAST(count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS DOUBLE) / NULLIF(count(p_value), 0)")}
+             AS share
+    FROM aa"""))
+def q_aa_false_positive_rate(spark, sf_dir):
+    return r6(resample.false_positive_rate(_aa(spark, sf_dir), P.alpha))
+
+
+@register("p_value_histogram", with_fixture(
+    UC, _aa_sql(), _hist_sql("aa", "p_value", P.hist_bins, None, "0.0", "1.0", by_data=False), "SELECT * FROM hist"))
+def q_p_value_histogram(spark, sf_dir):
+    return r6(hist.histogram(_aa(spark, sf_dir), "p_value", P.hist_bins, (), 0.0, 1.0))
+
+
+@register("prob_a_gt_b_mc", with_fixture(UC, f"""
+ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS idx, ctr AS value
+       FROM uc WHERE exp_group IN ({_in(AB)}) AND ctr IS NOT NULL),
+sz AS (SELECT count(CASE WHEN exp_group = {AB[0]} THEN 1 END) AS n_a,
+              count(CASE WHEN exp_group = {AB[1]} THEN 1 END) AS n_b FROM ui),
+dr AS (SELECT r.draw,
+              CAST(floor({s_uniform(str(SEED), "'a'", 'r.draw')} * n_a) AS BIGINT) AS ia,
+              CAST(floor({s_uniform(str(SEED), "'b'", 'r.draw')} * n_b) AS BIGINT) AS ib
+       FROM sz CROSS JOIN range(0, {P.n_pair_draws}) r(draw))""", f"""
+    SELECT count(*) AS n_draws, count(CASE WHEN a.value > b.value THEN 1 END) AS a_gt_b,
+           {s6('CAST(count(CASE WHEN a.value > b.value THEN 1 END) AS DOUBLE) / count(*)')} AS share
+    FROM dr JOIN ui a ON a.exp_group = {AB[0]} AND a.idx = dr.ia
+            JOIN ui b ON b.exp_group = {AB[1]} AND b.idx = dr.ib"""))
+def q_prob_a_gt_b_mc(spark, sf_dir):
+    return r6(resample.prob_a_gt_b_mc(_users(spark, sf_dir, AB), "ctr", *AB, P.n_pair_draws, SEED))
+
+
+BOOT_SQL = f"""
+bw AS (SELECT r.rep, uc.exp_group, uc.likes, uc.views,
+              {poisson1(s_uniform(str(SEED), 'r.rep', 'uc.user_id'))} AS w
+       FROM uc CROSS JOIN range(0, {P.n_bootstrap}) r(rep) WHERE uc.exp_group IN ({_in(AB)})),
+boot AS (SELECT rep, exp_group, CAST(sum(w * likes) AS BIGINT) AS likes, CAST(sum(w * views) AS BIGINT) AS views
+         FROM bw GROUP BY rep, exp_group)"""
+
+
+def _boot(spark, sf_dir):
+    return resample.poisson_bootstrap(_users(spark, sf_dir, AB), AB, P.n_bootstrap, SEED)
+
+
+@register("poisson_bootstrap", with_fixture(UC, BOOT_SQL, f"""
+    SELECT rep, exp_group, likes, views,
+           {s6('CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0)')} AS global_ctr FROM boot"""))
+def q_poisson_bootstrap(spark, sf_dir):
+    return r6(_boot(spark, sf_dir))
+
+
+@register("bootstrap_diff", with_fixture(UC, BOOT_SQL, f"""
+bd AS (SELECT rep,
+              max(CASE WHEN exp_group = {AB[0]} THEN CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) END)
+            - max(CASE WHEN exp_group = {AB[1]} THEN CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) END)
+              AS diff
+       FROM boot GROUP BY rep)""", f"""
+    SELECT count(diff) AS n_reps, {s6('avg(diff)')} AS mean_diff,
+           {s6('CAST(count(CASE WHEN diff > 0 THEN 1 END) AS DOUBLE) / count(diff)')} AS share_positive,
+           {s6('quantile_cont(diff, 0.025)')} AS q025, {s6('quantile_cont(diff, 0.975)')} AS q975
+    FROM bd"""))
+def q_bootstrap_diff(spark, sf_dir):
+    return r6(resample.bootstrap_diff(_boot(spark, sf_dir), *AB))
