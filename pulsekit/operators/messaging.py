@@ -105,6 +105,10 @@ def message_daily(messages: DataFrame, as_of: dt.date) -> DataFrame:
     """Per-day message totals over the day's senders, each counted once:
     what the weekly report means to show."""
     first, last = trailing_week(as_of)
+    return message_daily_range(messages, first, last)
+
+
+def message_daily_range(messages: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     m = messages.filter(day_range(messages, "time", first, last)).withColumn(
         "event_date", F.to_date("time"))
     sent = sender_totals(m, ["event_date"])
