@@ -14,9 +14,21 @@ from pyspark.sql import functions as F
 TWO_POW_52 = float(2 ** 52)
 
 
-def md5_mod(text: Column, n: int) -> Column:
+def md5_mod_sql(text_sql: str, n: int) -> str:
+    """SQL text of ``int(md5(text), 16) % n`` (one expression, parsed once)."""
     if not 1 <= n < 2 ** 31:
         raise ValueError("n must be in [1, 2**31)")
+    h = f"md5({text_sql})"
+    base = (2 ** 32) % n
+    r = "CAST(0 AS BIGINT)"
+    for i in range(4):
+        chunk = f"CAST(conv(substring({h}, {8 * i + 1}, 8), 16, 10) AS BIGINT)"
+        r = f"pmod({r} * {base}L + {chunk}, {n}L)"
+    return r
+
+
+def md5_mod(text: Column, n: int) -> Column:
+    """``int(md5(text), 16) % n`` for an arbitrary Column."""
     h = F.md5(text)
     base = F.lit((2 ** 32) % n).cast("long")
     nn = F.lit(n).cast("long")
@@ -27,13 +39,21 @@ def md5_mod(text: Column, n: int) -> Column:
     return r
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ab_split(user_id: Column | str, salt: str | None = "exp_mess_1", n_groups: int = 5) -> Column:
     """Group of a user: md5 of ``"<id>-<salt>"`` as an integer, mod ``n_groups``.
 
     With ``salt=None`` the plain id text is hashed (hash buckets).
     """
-    uid = F.col(user_id) if isinstance(user_id, str) else user_id
-    text = uid.cast("string") if salt is None else F.concat(uid.cast("string"), F.lit(f"-{salt}"))
+    if isinstance(user_id, str):
+        uid = f"CAST({_quote(user_id)} AS STRING)"
+        if salt is not None:
+            uid = "concat(" + uid + ", '-" + salt.replace("'", "\\'") + "')"
+        return F.expr(f"CAST({md5_mod_sql(uid, n_groups)} AS INT)")
+    text = user_id.cast("string") if salt is None else F.concat(user_id.cast("string"), F.lit(f"-{salt}"))
     return md5_mod(text, n_groups).cast("int")
 
 

@@ -59,9 +59,20 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+_FIXTURE_PLANS: dict = {}
+
+
 def load_fixture_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    events = read_events(spark, sf_dir)
-    return fixture_feed_actions(events), fixture_message_actions(events)
+    """(feed_actions, message_actions) fixture views over ``sf_dir``.
+
+    The lazy plan objects are memoised per session and directory (no data
+    is cached), so building many queries does not re-describe the views."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _FIXTURE_PLANS:
+        events = read_events(spark, sf_dir)
+        _FIXTURE_PLANS[key] = (spark, fixture_feed_actions(events), fixture_message_actions(events))
+    _, feed, messages = _FIXTURE_PLANS[key]
+    return feed, messages
 
 
 def _read_table(spark: SparkSession, source: str) -> DataFrame:
