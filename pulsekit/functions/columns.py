@@ -24,8 +24,8 @@ def round_half_even(x: Column, digits: int) -> Column:
     """Round a double to ``digits`` places, ties to even, on the scaled value.
 
     ``bround(x, d)`` rounds the shortest decimal text of ``x``; scaling first
-    rounds the binary value, as float rounding in SQL engines does
-    (0.125 -> 0.12, 2.675 -> 2.67).
+    rounds the scaled binary value, as float rounding in SQL engines does
+    (0.125 -> 0.12, 1.005 -> 1.0 since 1.005 * 100 = 100.49999999999999).
     """
     scale = float(10 ** digits)
     return F.bround(x.cast("double") * F.lit(scale), 0) / F.lit(scale)
