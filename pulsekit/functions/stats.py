@@ -31,15 +31,21 @@ NORMAL_SPAN = 12.0
 _SQRT_2PI = math.sqrt(2.0 * math.pi)
 
 
+def _simpson_weights(steps: int) -> np.ndarray:
+    i = np.arange(steps + 1)
+    return np.where((i == 0) | (i == steps), 1.0, np.where(i % 2 == 1, 4.0, 2.0))
+
+
 def _simpson_np(f, lo: np.ndarray, hi: np.ndarray, steps: int) -> np.ndarray:
-    i = np.arange(steps + 1, dtype=np.float64)
-    w = np.where((i == 0) | (i == steps), 1.0, np.where(i % 2 == 1, 4.0, 2.0))
+    """Composite Simpson over [lo_k, hi_k] for every row k.  ``f`` maps the
+    (rows x steps+1) abscissa matrix to integrand values and may work in place."""
     h = (hi - lo) / float(steps)
-    x = lo[:, None] + i[None, :] * h[:, None]
-    return (f(x) * w[None, :]).sum(axis=1) * h / 3.0
+    x = np.arange(steps + 1, dtype=np.float64)[None, :] * h[:, None]
+    x += lo[:, None]
+    return (f(x) @ _simpson_weights(steps)) * h / 3.0
 
 
-def _chunked(fn, *cols: np.ndarray, chunk: int = 256) -> np.ndarray:
+def _chunked(fn, *cols: np.ndarray, chunk: int = 64) -> np.ndarray:
     out = np.empty(len(cols[0]), dtype=np.float64)
     for s in range(0, len(out), chunk):
         out[s:s + chunk] = fn(*[c[s:s + chunk] for c in cols])
@@ -56,11 +62,15 @@ def t_two_sided_p_np(t: np.ndarray, dof: np.ndarray, steps: int = SIMPSON_STEPS)
             den_hi = np.where(big, np.arctan(DF_CUT / sdf), math.pi / 2.0)
             num_hi = np.where(big, np.arctan((at + DF_CUT) / sdf), math.pi / 2.0)
             ok = np.isfinite(t) & np.isfinite(dof) & (dof > 0)
-            d = np.where(ok, dof, 2.0)
+            e = (np.where(ok, dof, 2.0) - 1.0)[:, None]
             th0 = np.where(ok, theta0, 0.0)
 
             def dens(x):
-                return np.exp((d[:, None] - 1.0) * np.log(np.maximum(np.cos(x), 1e-300)))
+                np.cos(x, out=x)
+                np.maximum(x, 1e-300, out=x)
+                np.log(x, out=x)
+                x *= e
+                return np.exp(x, out=x)
 
             p = (_simpson_np(dens, th0, np.where(ok, num_hi, 1.0), steps)
                  / _simpson_np(dens, np.zeros_like(th0), np.where(ok, den_hi, 1.0), steps))

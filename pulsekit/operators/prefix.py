@@ -23,6 +23,7 @@ from pulsekit.functions.stats import count_bounds_below
 from pulsekit.operators.spread import materialize
 
 DEFAULT_RANGES = 64
+MAX_BROADCAST_BLOCKS = 1_000_000
 _RID = "_range_id"
 
 
@@ -56,8 +57,12 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], by: lis
     wb = Window.partitionBy(*by).orderBy(_RID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(*by, _RID, *[
         F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    # offsets: (#by groups) x n_ranges rows -- bounded by the parameters
-    joined = tagged.join(F.broadcast(offsets), [*by, _RID], "inner")
+    # offsets hold (#by groups) x n_ranges rows; the input is materialized,
+    # so counting them is cheap.  Broadcast only below the limit, else a
+    # regular shuffle join.
+    if not by or blocks.count() <= MAX_BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
+    joined = tagged.join(offsets, [*by, _RID], "inner")
     wr = Window.partitionBy(*by, _RID).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     return joined.select(*df.columns, *[
         (F.col(f"_off_{c}") + F.coalesce(F.sum(c).over(wr), F.lit(0))).alias(f"{prefix}{c}")

@@ -44,9 +44,14 @@ def shared_dir(spark: SparkSession) -> str:
     if not conf_dir:
         conf_dir = spark.sparkContext.getCheckpointDir()
     if not conf_dir:
+        # local tests only: the session names no shared folder
         conf_dir = tempfile.mkdtemp(prefix="pulsekit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
+        try:
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
+            pass
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
 
 
