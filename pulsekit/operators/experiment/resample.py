@@ -55,7 +55,7 @@ def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10
     sims = sizes.select(
         group_col, "n", "tot1", "tot2", k_eff.alias("k"), out_mode.alias("out_mode"),
         draws_needed.alias("kk"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))).alias("sim"))
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_sims - 1).cast("long"))).alias("sim"))
     sims = spread(sims, group_col, "sim")
     # draws j = 1..m per (sim, group): one code-generated row each; the
     # first kk distinct indices in draw order form the sample
@@ -113,7 +113,7 @@ def prob_a_gt_b_mc(df: DataFrame, value_col: str, a, b, n_draws: int = 10000, se
     users = indexed_users(df, value_col, (a, b), group_col)
     sizes = users.agg(F.count_if(F.col(group_col) == F.lit(a)).alias("n_a"),
                       F.count_if(F.col(group_col) == F.lit(b)).alias("n_b"))
-    draws = sizes.select("n_a", "n_b", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))).alias("draw"))
+    draws = sizes.select("n_a", "n_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_draws - 1).cast("long"))).alias("draw"))
     draws = spread(draws, "draw")
     draws = draws.select(
         "draw",
@@ -133,7 +133,7 @@ def poisson_bootstrap(users: DataFrame, groups=(1, 2), n_bootstrap: int = 2000,
     """Per (replicate, group): Poisson(1)-weighted likes, views and global CTR."""
     u = spread(users.filter(F.col(group_col).isin(*groups)).select(group_col, "user_id", "likes", "views"),
                "user_id")
-    reps = u.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))).alias("rep"))
+    reps = u.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_bootstrap - 1).cast("long"))).alias("rep"))
     w = poisson1_weight(uniform01(F.lit(seed), F.col("rep"), F.col("user_id")))
     weighted = reps.select(group_col, "rep", (w * F.col("likes")).alias("wl"), (w * F.col("views")).alias("wv"))
     agg = weighted.groupBy("rep", group_col).agg(F.sum("wl").alias("likes"), F.sum("wv").alias("views"))

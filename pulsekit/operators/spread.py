@@ -11,8 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+def _parallelism(df: DataFrame) -> int:
+    spark = df.sparkSession
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def spread(df: DataFrame, *cols: str, factor: int = 1) -> DataFrame:
-    n = max(int(df.sparkSession.sparkContext.defaultParallelism) * factor, 1)
+    n = max(_parallelism(df) * factor, 1)
     return df.repartition(n, *cols) if cols else df.repartition(n)
 
 

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from tools.oracle_check import compare, duck
+from tools.oracle_check import compare, duck, type_mismatches
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -29,6 +29,19 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    got = QUERIES[name](spark, SF_SMALL).toPandas()
+    frame = QUERIES[name](spark, SF_SMALL)
+    got = frame.toPandas()
     want = con.sql(ORACLE[name]).df()
     assert compare(got, want) is None
+    assert type_mismatches(frame.dtypes, con.sql(ORACLE[name])) == []
+
+
+@pytest.mark.parametrize("name", ["dau_7d", "metrics_15m", "anomaly_flags", "feed_user_slice"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = QUERIES[name](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert compare(got, con.sql(ORACLE[name]).df()) is None
