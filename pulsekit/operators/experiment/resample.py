@@ -39,9 +39,10 @@ def indexed_users(df: DataFrame, value_col: str, groups, group_col: str = "exp_g
 
 
 def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10000, k: int = 500,
-                  seed: int = 0, group_col: str = "exp_group") -> DataFrame:
+                  seed: int = 0, group_col: str = "exp_group", replace: bool = False) -> DataFrame:
     """One row per simulation: sample sizes, means, Welch t, df and p of
-    two samples of ``k`` users drawn without replacement from each group."""
+    two samples of ``k`` users drawn without replacement from each group
+    (``replace=True``: with replacement, a bootstrap-style A/A check)."""
     a, b = groups
     users = indexed_users(df, value_col, groups, group_col)
     sizes = users.groupBy(group_col).agg(
@@ -49,8 +50,8 @@ def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10
         F.sum("value").alias("tot1"),
         F.sum(F.col("value") * F.col("value")).alias("tot2"))
     n = F.col("n")
-    k_eff = F.least(F.lit(k), n)
-    out_mode = k_eff * 2 > n
+    k_eff = F.lit(k).cast("long") if replace else F.least(F.lit(k), n)
+    out_mode = F.lit(False) if replace else k_eff * 2 > n
     draws_needed = F.when(out_mode, n - k_eff).otherwise(k_eff)
     sims = sizes.select(
         group_col, "n", "tot1", "tot2", k_eff.alias("k"), out_mode.alias("out_mode"),
@@ -59,14 +60,17 @@ def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10
     sims = spread(sims, group_col, "sim")
     # draws j = 1..m per (sim, group): one code-generated row each; the
     # first kk distinct indices in draw order form the sample
-    m = (F.col("kk") * DRAW_FACTOR + DRAW_SLACK).cast("int")
+    m = (F.col("kk") if replace else F.col("kk") * DRAW_FACTOR + DRAW_SLACK).cast("int")
     raw = sims.select(group_col, "sim", "kk", "n", F.explode(F.sequence(F.lit(1), m)).alias("j"))
     raw = raw.select(group_col, "sim", "kk", "j", F.floor(
         uniform01(F.lit(seed), F.col("sim"), F.col(group_col), F.col("j")) * F.col("n")).cast("long").alias("idx"))
-    first = raw.groupBy(group_col, "sim", "idx").agg(F.min("j").alias("j"), F.max("kk").alias("kk"))
-    order = Window.partitionBy(group_col, "sim").orderBy("j")
-    drawn = (first.withColumn("_r", F.row_number().over(order))
-                  .filter(F.col("_r") <= F.col("kk")).select(group_col, "sim", "idx"))
+    if replace:
+        drawn = raw.filter(F.col("j") <= F.col("kk")).select(group_col, "sim", "idx")
+    else:
+        first = raw.groupBy(group_col, "sim", "idx").agg(F.min("j").alias("j"), F.max("kk").alias("kk"))
+        order = Window.partitionBy(group_col, "sim").orderBy("j")
+        drawn = (first.withColumn("_r", F.row_number().over(order))
+                      .filter(F.col("_r") <= F.col("kk")).select(group_col, "sim", "idx"))
     picked = drawn.join(users.select(group_col, "idx", "value"), [group_col, "idx"])
     sums = picked.groupBy(group_col, "sim").agg(
         F.count(F.lit(1)).alias("c"), F.sum("value").alias("s1"),

@@ -21,12 +21,17 @@ def _is(action: str):
     return F.col("action") == F.lit(action)
 
 
-def feed_daily(feed: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
+def _distinct_users(approx: bool, rsd: float = 0.01):
+    return F.approx_count_distinct("user_id", rsd) if approx else F.count_distinct("user_id")
+
+
+def feed_daily(feed: DataFrame, first_day: dt.date, last_day: dt.date, approx: bool = False) -> DataFrame:
     """Per event_date: dau, likes, views, ctr (2 places, half-even),
-    likes_per_user, views_per_user."""
+    likes_per_user, views_per_user.  ``approx`` counts DAU with HyperLogLog++
+    (one pass, no per-user shuffle) instead of exactly."""
     f = feed.filter(day_range(feed, "time", first_day, last_day))
     agg = f.groupBy(F.to_date("time").alias("event_date")).agg(
-        F.count_distinct("user_id").alias("dau"),
+        _distinct_users(approx).alias("dau"),
         count_nonnull_if("user_id", _is(LIKE)).alias("likes"),
         count_nonnull_if("user_id", _is(VIEW)).alias("views"),
     )
@@ -43,9 +48,9 @@ def trailing_week(as_of: dt.date, days: int = 7) -> tuple[dt.date, dt.date]:
     return as_of - dt.timedelta(days=days), as_of - dt.timedelta(days=1)
 
 
-def feed_week(feed: DataFrame, as_of: dt.date) -> DataFrame:
+def feed_week(feed: DataFrame, as_of: dt.date, approx: bool = False) -> DataFrame:
     first, last = trailing_week(as_of)
-    return feed_daily(feed, first, last)
+    return feed_daily(feed, first, last, approx)
 
 
 def feed_yesterday(feed: DataFrame, as_of: dt.date) -> DataFrame:
