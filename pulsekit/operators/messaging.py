@@ -1,9 +1,12 @@
 """Messenger metrics: per-user slices and per-day totals.
 
-Per user and period there are two aggregates only -- one grouped by sender
-(messages sent, distinct receivers) and one grouped by receiver (messages
-received, distinct senders) -- instead of four separate sub-queries.
-Every aggregate is computed before any join, so no join multiplies rows.
+The message log is read once per job: it is reduced to (sender, receiver)
+pair counts -- one shuffle, partially aggregated map-side -- and every
+per-user figure derives from that pair table: messages sent / received are
+sums of pair counts, distinct receivers / senders are pair counts.  Spark
+reuses the single pair exchange for the sender side, the receiver side and
+the sender list, instead of four sub-queries each scanning the log.  Every
+aggregate is computed before any join, so no join multiplies rows.
 """
 
 from __future__ import annotations
@@ -19,18 +22,27 @@ from pulsekit.operators.feed import trailing_week
 DIMS = ["gender", "age", "os"]
 
 
-def sender_totals(msgs: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    keys = ["user_id"] + (keys or [])
-    return msgs.groupBy(*keys).agg(
-        F.count("receiver_id").alias("messages_sent"),
+def message_pairs(msgs: DataFrame, keys: list[str] | None = None, dims: bool = False) -> DataFrame:
+    """(keys.., user_id, [dims..], receiver_id, n): messages per sender-receiver pair."""
+    keys = keys or []
+    extra = DIMS if dims else []
+    return (msgs.filter(F.col("user_id").isNotNull() & F.col("receiver_id").isNotNull())
+                .groupBy(*keys, "user_id", *extra, "receiver_id")
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
+def sender_totals(pairs: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    keys = keys or []
+    return pairs.groupBy("user_id", *keys).agg(
+        F.sum("n").alias("messages_sent"),
         F.count_distinct("receiver_id").alias("number_of_receivers"),
     )
 
 
-def receiver_totals(msgs: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def receiver_totals(pairs: DataFrame, keys: list[str] | None = None) -> DataFrame:
     keys = keys or []
-    return msgs.groupBy(F.col("receiver_id").alias("user_id"), *keys).agg(
-        F.count("user_id").alias("messages_received"),
+    return pairs.groupBy(F.col("receiver_id").alias("user_id"), *keys).agg(
+        F.sum("n").alias("messages_received"),
         F.count_distinct("user_id").alias("number_of_senders"),
     )
 
@@ -44,16 +56,21 @@ def message_user_slice(messages: DataFrame, day: dt.date, include_receivers: boo
     (their dimensions are unknown in the log and stay NULL).
     """
     m = messages.filter(day_range(messages, "time", day, day))
-    people = m.select("user_id", *DIMS, F.to_date("time").alias("event_date")).distinct()
+    pairs = message_pairs(m, dims=True)
+    # senders read the pair counts too (every pair has n >= 1), so all three
+    # branches share one pair exchange instead of pruning it differently
+    senders = (pairs.groupBy("user_id", *DIMS).agg(F.sum("n").alias("_sent"))
+                    .filter(F.col("_sent") > 0).drop("_sent"))
+    people = senders.withColumn("event_date", F.lit(day))
     if include_receivers:
-        only_recv = (m.select(F.col("receiver_id").alias("user_id")).distinct()
-                      .join(m.select("user_id").distinct(), "user_id", "left_anti")
-                      .select("user_id", *[F.lit(None).cast(t).alias(c) for c, t in
-                                           (("gender", "int"), ("age", "int"), ("os", "string"))],
-                              F.lit(day).alias("event_date")))
+        only_recv = (pairs.select(F.col("receiver_id").alias("user_id")).distinct()
+                          .join(senders.select("user_id"), "user_id", "left_anti")
+                          .select("user_id", *[F.lit(None).cast(t).alias(c) for c, t in
+                                               (("gender", "int"), ("age", "int"), ("os", "string"))],
+                                  F.lit(day).alias("event_date")))
         people = people.unionByName(only_recv)
-    out = (people.join(sender_totals(m), "user_id", "left")
-                 .join(receiver_totals(m), "user_id", "left"))
+    out = (people.join(sender_totals(pairs), "user_id", "left")
+                 .join(receiver_totals(pairs), "user_id", "left"))
     counts = ["messages_received", "number_of_receivers", "messages_sent", "number_of_senders"]
     return out.select("user_id", *DIMS, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
                       "event_date")
@@ -87,9 +104,10 @@ def message_daily_weighted(messages: DataFrame, as_of: dt.date) -> DataFrame:
     """
     first, last = trailing_week(as_of)
     m = messages.filter(day_range(messages, "time", first, last))
-    per_day = m.groupBy(F.to_date("time").alias("event_date"), "user_id").agg(F.count(F.lit(1)).alias("n"))
-    j = (per_day.join(sender_totals(m), "user_id", "left")
-                .join(receiver_totals(m), "user_id", "left"))
+    pairs = message_pairs(m.withColumn("event_date", F.to_date("time")), ["event_date"])
+    per_day = pairs.groupBy("event_date", "user_id").agg(F.sum("n").alias("n"))
+    j = (per_day.join(sender_totals(pairs), "user_id", "left")
+                .join(receiver_totals(pairs), "user_id", "left"))
     n = F.col("n")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     return _daily_from_user_days(j.select(
@@ -111,8 +129,9 @@ def message_daily(messages: DataFrame, as_of: dt.date) -> DataFrame:
 def message_daily_range(messages: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     m = messages.filter(day_range(messages, "time", first, last)).withColumn(
         "event_date", F.to_date("time"))
-    sent = sender_totals(m, ["event_date"])
-    recv = receiver_totals(m, ["event_date"])
+    pairs = message_pairs(m, ["event_date"])
+    sent = sender_totals(pairs, ["event_date"])
+    recv = receiver_totals(pairs, ["event_date"])
     j = sent.join(recv, ["user_id", "event_date"], "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     return _daily_from_user_days(j.select(
