@@ -11,6 +11,7 @@ from pulsekit.operators.experiment import resample, tests, transforms, user_metr
 from pulsekit.params import DEFAULT_PARAMS as P
 from pulsekit.plans.catalog import r6, register
 from pulsekit.plans.daily import days_where
+from pulsekit.operators.spread import materialize
 from pulsekit.sources import load_fixture_tables
 
 EXP = days_where(P.exp_start, P.exp_end)
@@ -18,9 +19,13 @@ AA, AB = P.aa_groups, P.ab_groups
 SEED = P.seed
 
 
-def _users(spark, sf_dir, groups=None):
+def _users(spark, sf_dir, groups=None, reuse: bool = False):
+    """User-level frame of the experiment window.  ``reuse``: the read-out
+    reads it more than once, so it is materialized (one row per user) instead
+    of re-aggregating the event log for each use."""
     fd, _ = load_fixture_tables(spark, sf_dir)
-    return um.user_ctr(fd, P.exp_start, P.exp_end, groups)
+    users = um.user_ctr(fd, P.exp_start, P.exp_end, groups)
+    return materialize(users) if reuse else users
 
 
 def _in(groups) -> str:
@@ -113,19 +118,19 @@ def q_ctr_moments(spark, sf_dir):
 @register("smoothed_ctr", with_fixture(UC, SMOOTH, f"""
     SELECT exp_group, user_id, likes, views, {s6('ctr')} AS ctr, {s6('smoothed_ctr')} AS smoothed_ctr FROM sm"""))
 def q_smoothed_ctr(spark, sf_dir):
-    return r6(transforms.smoothed_ctr(_users(spark, sf_dir, AB), P.smooth_alpha))
+    return r6(transforms.smoothed_ctr(_users(spark, sf_dir, AB, reuse=True), P.smooth_alpha))
 
 
 @register("lin_likes", with_fixture(UC, LIN, f"""
     SELECT exp_group, user_id, likes, views, {s6('ctr')} AS ctr, {s6('lin_likes')} AS lin_likes FROM ll"""))
 def q_lin_likes(spark, sf_dir):
-    return r6(transforms.lin_likes(_users(spark, sf_dir), P.lin_control))
+    return r6(transforms.lin_likes(_users(spark, sf_dir, reuse=True), P.lin_control))
 
 
 @register("bucket_ctr", with_fixture(UC, BUCKETS, f"""
     SELECT exp_group, bucket, {s6('bucket_ctr')} AS bucket_ctr, {s6('ctr9')} AS ctr9 FROM bq"""))
 def q_bucket_ctr(spark, sf_dir):
-    return r6(transforms.bucket_ctr(_users(spark, sf_dir, AB), P.n_buckets, P.bucket_quantile, "md5"))
+    return r6(transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "md5"))
 
 
 # ------------------------------------------------------------ Welch
@@ -154,19 +159,19 @@ def q_welch_ctr(spark, sf_dir):
 
 @register("welch_smoothed", with_fixture(UC, SMOOTH, _welch_sql("sm", "smoothed_ctr", [AB]), WELCH_OUT))
 def q_welch_smoothed(spark, sf_dir):
-    sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB), P.smooth_alpha)
+    sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB, reuse=True), P.smooth_alpha)
     return r6(tests.welch_test(sm, "smoothed_ctr", [AB]))
 
 
 @register("welch_bucket", with_fixture(UC, BUCKETS, _welch_sql("bq", "bucket_ctr", [AB]), WELCH_OUT))
 def q_welch_bucket(spark, sf_dir):
-    b = transforms.bucket_ctr(_users(spark, sf_dir, AB), P.n_buckets, P.bucket_quantile, "md5")
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "md5")
     return r6(tests.welch_test(b, "bucket_ctr", [AB]))
 
 
 @register("welch_lin_likes", with_fixture(UC, LIN, _welch_sql("ll", "lin_likes", P.lin_pairs), WELCH_OUT))
 def q_welch_lin_likes(spark, sf_dir):
-    ll = transforms.lin_likes(_users(spark, sf_dir), P.lin_control)
+    ll = transforms.lin_likes(_users(spark, sf_dir, reuse=True), P.lin_control)
     return r6(tests.welch_test(ll, "lin_likes", P.lin_pairs))
 
 
@@ -217,13 +222,13 @@ def q_prob_a_gt_b(spark, sf_dir):
 
 @register("mwu_smoothed", with_fixture(UC, SMOOTH, _mwu_sql("sm", "smoothed_ctr", *AB), MWU_OUT))
 def q_mwu_smoothed(spark, sf_dir):
-    sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB), P.smooth_alpha)
+    sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB, reuse=True), P.smooth_alpha)
     return r6(tests.mann_whitney(sm, "smoothed_ctr", *AB))
 
 
 @register("mwu_bucket", with_fixture(UC, BUCKETS, _mwu_sql("bq", "bucket_ctr", *AB), MWU_OUT))
 def q_mwu_bucket(spark, sf_dir):
-    b = transforms.bucket_ctr(_users(spark, sf_dir, AB), P.n_buckets, P.bucket_quantile, "md5")
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "md5")
     return r6(tests.mann_whitney(b, "bucket_ctr", *AB))
 
 
@@ -247,7 +252,7 @@ hist AS (SELECT {g}bin, {s6(f'lo + bin * {w}')} AS lower, {s6(f'lo + (bin + 1) *
     UC, f"uab AS (SELECT * FROM uc WHERE exp_group IN ({_in(AB)}))",
     _hist_sql("uab", "ctr", P.hist_bins, "exp_group", "min(ctr)", "max(ctr)"), "SELECT * FROM hist"))
 def q_ctr_histogram(spark, sf_dir):
-    return r6(hist.histogram(_users(spark, sf_dir, AB), "ctr", P.hist_bins, ("exp_group",)))
+    return r6(hist.histogram(_users(spark, sf_dir, AB, reuse=True), "ctr", P.hist_bins, ("exp_group",)))
 
 
 # ------------------------------------------------------------ seeded resampling
