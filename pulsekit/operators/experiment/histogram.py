@@ -1,5 +1,6 @@
 """Equal-width histograms per group (the data behind every distribution
-plot): counts per (group, bin), edges from the global min/max or given."""
+plot): counts per (group, bin), edges from the global min/max or given.
+Output rows: groups x bins at most."""
 
 from __future__ import annotations
 
@@ -11,11 +12,14 @@ def histogram(df: DataFrame, value_col: str, bins: int = 20, group_cols: tuple =
               lo: float | None = None, hi: float | None = None) -> DataFrame:
     v = df.filter(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("v"))
     if lo is None or hi is None:
-        # one-row frame of the range, joined by broadcast on a constant key
-        rng = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).withColumn("_k", F.lit(1))
-        v = v.withColumn("_k", F.lit(1)).join(F.broadcast(rng), "_k").drop("_k")
-    else:
-        v = v.withColumn("lo", F.lit(float(lo))).withColumn("hi", F.lit(float(hi)))
+        # the range is two numbers: fetch them (a map-side partial aggregate,
+        # one row to the driver) and use them as literal edges -- no join
+        r = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
+        lo = r.lo if lo is None else lo
+        hi = r.hi if hi is None else hi
+        if lo is None:          # no values at all
+            lo = hi = 0.0
+    v = v.withColumn("lo", F.lit(float(lo))).withColumn("hi", F.lit(float(hi)))
     raw = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(bins)))
     b = F.when(F.col("hi") > F.col("lo"), F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).otherwise(F.lit(0))
     agg = v.groupBy(*group_cols, b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
