@@ -95,7 +95,7 @@ def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10
     wide = spread(per.groupBy("sim").agg(
         side(a, "cnt").alias("n_a"), side(b, "cnt").alias("n_b"),
         side(a, "mean").alias("mean_a"), side(b, "mean").alias("mean_b"),
-        side(a, "var").alias("var_a"), side(b, "var").alias("var_b")), "sim")
+        side(a, "var").alias("var_a"), side(b, "var").alias("var_b")))
     w = welch_columns(F.col("n_a").cast("double"), F.col("mean_a"), F.col("var_a"),
                       F.col("n_b").cast("double"), F.col("mean_b"), F.col("var_b"))
     return wide.select("sim", "n_a", "n_b", "mean_a", "mean_b", *[c.alias(k_) for k_, c in w.items()])

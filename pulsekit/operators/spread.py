@@ -20,6 +20,9 @@ def _parallelism(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, *cols: str, factor: int = 1) -> DataFrame:
+    """Hash-repartition on ``cols`` (round-robin without ``cols``; use that when
+    the input is already hash-partitioned on the same key, where a hash
+    repartition would be dropped as redundant and AQE would coalesce it)."""
     n = max(_parallelism(df) * factor, 1)
     return df.repartition(n, *cols) if cols else df.repartition(n)
 
