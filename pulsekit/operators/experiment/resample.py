@@ -28,7 +28,7 @@ from pulsekit.functions.stats import poisson1_weight, welch_columns
 from pulsekit.operators.prefix import dense_index
 from pulsekit.operators.spread import spread
 
-DRAW_FACTOR, DRAW_SLACK = 3, 64
+DRAW_FACTOR, DRAW_SLACK = 2, 32
 
 
 def indexed_users(df: DataFrame, value_col: str, groups, group_col: str = "exp_group") -> DataFrame:

@@ -269,7 +269,8 @@ ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user
 sz AS (SELECT exp_group, count(*) AS n, sum(value) AS tot1, sum(value * value) AS tot2 FROM ui GROUP BY exp_group),
 sz2 AS (SELECT *, least({K}, n) * 2 > n AS out_mode, {kk} AS kk FROM sz),
 sims AS (SELECT sz2.*, r.sim FROM sz2 CROSS JOIN range(0, {N_SIMS}) r(sim)),
-dr AS (SELECT exp_group, sim, kk, n, unnest(range(1, kk * 3 + 64 + 1)) AS j FROM sims),
+dr AS (SELECT exp_group, sim, kk, n,
+              unnest(range(1, kk * {resample.DRAW_FACTOR} + {resample.DRAW_SLACK} + 1)) AS j FROM sims),
 dr2 AS (SELECT exp_group, sim, kk, j,
                CAST(floor({s_uniform(str(SEED), 'sim', 'exp_group', 'j')} * n) AS BIGINT) AS idx FROM dr),
 fo AS (SELECT exp_group, sim, kk, idx, min(j) AS j FROM dr2 GROUP BY exp_group, sim, kk, idx),
