@@ -1,10 +1,9 @@
-"""Distribution tails and random weights as native Column expressions.
+"""Distribution tails, Welch columns and random weights.
 
 No SciPy: tails are definite integrals evaluated by Simpson's rule, one row
-per test.
-
-Tails are evaluated in numpy over Arrow batches (see ``t_two_sided_p``);
-the SQL oracle evaluates the identical Simpson sum.
+per test, in numpy over Arrow batches (see ``t_two_sided_p``); the SQL
+oracle evaluates the identical Simpson sum.  Poisson weights are native
+code-generated CASE trees.
 
 * Student t, two-sided: with t = sqrt(df) * tan(theta) the density becomes
   cos(theta)**(df-1), so p = I(theta0, pi/2) / I(0, pi/2) with

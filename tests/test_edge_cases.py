@@ -151,3 +151,23 @@ def test_alert_text(spark):
     flags = anomaly.anomaly_flags(anomaly.anomaly_bands(_series(spark, [10] * 8 + [50])))
     msg = anomaly.alert_messages(flags, only_alerts=True).first().message
     assert msg == "Metric m: current value 50.00, change from previous value -400.00%"
+
+
+def test_audience_identity(spark):
+    from pulsekit.operators import feed as feedm
+    from pulsekit.sources import load_fixture_tables
+    fd, ms = load_fixture_tables(spark, "/root/testdata/sf0.01")
+    split = audience.audience_split(fd, ms, AS_OF)
+    both = {r.event_date: r.users for r in split["both"].collect()}
+    only = {r.event_date: r.users for r in split["feed_only"].collect()}
+    dau = {r.event_date: r.dau for r in feedm.feed_week(fd, AS_OF).collect()}
+    assert dau and all(both.get(d, 0) + only.get(d, 0) == n for d, n in dau.items())
+
+
+def test_xxhash_buckets(spark):
+    from pulsekit.functions.hashing import hash_bucket
+    df = spark.range(5000).select(hash_bucket(F.col("id"), 50, "xxhash64").alias("b"))
+    r = df.agg(F.min("b"), F.max("b"), F.count_distinct("b")).first()
+    assert r[0] == 0 and r[1] == 49 and r[2] == 50
+    again = spark.range(5000).select(hash_bucket(F.col("id"), 50, "xxhash64").alias("b"))
+    assert df.exceptAll(again).count() == 0
