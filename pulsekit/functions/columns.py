@@ -42,10 +42,33 @@ def ts_literal(value: dt.datetime | dt.date, like: T.DataType) -> Column:
     return F.lit(text).cast(kind)
 
 
+# column metadata key marking a date partition column derived from the
+# event time (set by the production readers in ``pulsekit.sources``)
+DATE_PARTITION_FLAG = "pulsekit.date_partition"
+
+
+def date_partition_column(df: DataFrame) -> str | None:
+    for f in df.schema.fields:
+        if f.metadata.get(DATE_PARTITION_FLAG) and isinstance(f.dataType, T.DateType):
+            return f.name
+    return None
+
+
 def time_range(df: DataFrame, col: str, start, end) -> Column:
-    """Half-open ``start <= col < end`` on a timestamp column."""
+    """Half-open ``start <= col < end`` on a timestamp column.
+
+    If ``df`` carries a marked date partition column, the matching date
+    bounds are added too, so whole partitions outside the range are never
+    listed or read (partition pruning), not just filtered row groups."""
     dtype = df.schema[col].dataType
-    return (F.col(col) >= ts_literal(start, dtype)) & (F.col(col) < ts_literal(end, dtype))
+    cond = (F.col(col) >= ts_literal(start, dtype)) & (F.col(col) < ts_literal(end, dtype))
+    part = date_partition_column(df)
+    if part is not None:
+        first = start if not isinstance(start, dt.datetime) else start.date()
+        last_ts = end if isinstance(end, dt.datetime) else dt.datetime.combine(end, dt.time())
+        last = (last_ts - dt.timedelta(microseconds=1)).date()
+        cond = cond & (F.col(part) >= F.lit(first)) & (F.col(part) <= F.lit(last))
+    return cond
 
 
 def day_range(df: DataFrame, col: str, first_day: dt.date, last_day: dt.date) -> Column:

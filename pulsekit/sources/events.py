@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsekit.functions.columns import DATE_PARTITION_FLAG
 from pulsekit.functions.hashing import ab_split
 
 # Fixed fixture rules (FIXTURES.md section 2).
@@ -79,15 +80,25 @@ def _read_table(spark: SparkSession, source: str) -> DataFrame:
     return spark.read.parquet(source) if "/" in source else spark.table(source)
 
 
-def feed_actions(spark: SparkSession, source: str) -> DataFrame:
-    """Production feed log from a parquet path or a catalog table name."""
-    return _read_table(spark, source)
+def _mark_partition(df: DataFrame, date_partition: str | None) -> DataFrame:
+    if date_partition is None:
+        return df
+    return df.withMetadata(date_partition, {DATE_PARTITION_FLAG: True})
 
 
-def message_actions(spark: SparkSession, source: str) -> DataFrame:
+def feed_actions(spark: SparkSession, source: str, date_partition: str | None = None) -> DataFrame:
+    """Production feed log from a parquet path or a catalog table name.
+
+    ``date_partition`` names a date partition column equal to the date of
+    ``time`` (e.g. ``event_date``); every time-range filter then also prunes
+    partitions."""
+    return _mark_partition(_read_table(spark, source), date_partition)
+
+
+def message_actions(spark: SparkSession, source: str, date_partition: str | None = None) -> DataFrame:
     """Production message log; the source spelling ``reciever_id`` is exposed
-    as ``receiver_id``."""
+    as ``receiver_id``.  ``date_partition`` as for ``feed_actions``."""
     df = _read_table(spark, source)
     if "reciever_id" in df.columns:
         df = df.withColumnRenamed("reciever_id", "receiver_id")
-    return df
+    return _mark_partition(df, date_partition)
