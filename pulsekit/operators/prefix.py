@@ -19,6 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsekit.functions.hashing import hash_bucket
 from pulsekit.functions.stats import count_bounds_below
 from pulsekit.operators.spread import materialize
 
@@ -69,11 +70,26 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], by: lis
         for c in sum_cols])
 
 
+INDEX_BUCKETS = 64
+
+
 def dense_index(df: DataFrame, by: list[str], order_col: str, name: str = "idx",
-                n_ranges: int = DEFAULT_RANGES) -> DataFrame:
-    """0-based position of each row within its ``by`` group in ``order_col``
-    order (values unique per group).  The result is materialized: callers
-    read it several times (sizes, joins)."""
-    one = df.withColumn("_one", F.lit(1).cast("long"))
-    out = exclusive_prefix(one, order_col, ["_one"], by, n_ranges, prefix="_before")
-    return materialize(out.withColumnRenamed("_before_one", name).drop("_one"))
+                n_buckets: int = INDEX_BUCKETS) -> DataFrame:
+    """0-based position of each row within its ``by`` group, in the order
+    (md5 bucket of ``order_col``, ``order_col``) -- a fixed bijection onto
+    0..n-1 that needs no global sort: rows per (group, bucket) are counted,
+    their running offsets (groups x n_buckets rows, broadcast) are joined
+    back, and positions inside a bucket come from a window partitioned by
+    (group, bucket).  Values of ``order_col`` must be unique per group.
+
+    The result is materialized: callers read it several times (sizes, joins).
+    ``by`` is meant for a handful of groups (experiment groups).
+    """
+    tagged = df.withColumn("_ib", hash_bucket(F.col(order_col), n_buckets, "md5"))
+    blocks = tagged.groupBy(*by, "_ib").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*by).orderBy("_ib").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*by, "_ib", F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
+    joined = tagged.join(F.broadcast(offsets), [*by, "_ib"], "inner")
+    wr = Window.partitionBy(*by, "_ib").orderBy(order_col)
+    out = joined.withColumn(name, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
+    return materialize(out.drop("_ib", "_off"))

@@ -11,6 +11,7 @@ from pulsekit.operators.experiment import resample, tests, transforms, user_metr
 from pulsekit.params import DEFAULT_PARAMS as P
 from pulsekit.plans.catalog import r6, register
 from pulsekit.plans.daily import days_where
+from pulsekit.operators.prefix import INDEX_BUCKETS
 from pulsekit.operators.spread import materialize
 from pulsekit.sources import load_fixture_tables
 
@@ -257,6 +258,8 @@ def q_ctr_histogram(spark, sf_dir):
 
 # ------------------------------------------------------------ seeded resampling
 N_SIMS, K = P.n_aa_sims, P.aa_sample_size
+# users are numbered in (md5 bucket, user_id) order, as operators.prefix.dense_index does
+IDX_ORDER = f"{s_split('user_id', None, INDEX_BUCKETS)}, user_id"
 A0, B0 = AA
 
 
@@ -264,7 +267,8 @@ def _aa_sql() -> str:
     kk = f"CASE WHEN least({K}, n) * 2 > n THEN n - least({K}, n) ELSE least({K}, n) END"
     w = welch_sql("n_a", "mean_a", "var_a", "n_b", "mean_b", "var_b")
     return f"""
-ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS idx, ctr AS value
+ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY {IDX_ORDER}) - 1 AS idx,
+              ctr AS value
        FROM uc WHERE exp_group IN ({A0}, {B0}) AND ctr IS NOT NULL),
 sz AS (SELECT exp_group, count(*) AS n, sum(value) AS tot1, sum(value * value) AS tot2 FROM ui GROUP BY exp_group),
 sz2 AS (SELECT *, least({K}, n) * 2 > n AS out_mode, {kk} AS kk FROM sz),
@@ -323,7 +327,8 @@ def q_p_value_histogram(spark, sf_dir):
 
 
 @register("prob_a_gt_b_mc", with_fixture(UC, f"""
-ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY user_id) - 1 AS idx, ctr AS value
+ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY {IDX_ORDER}) - 1 AS idx,
+              ctr AS value
        FROM uc WHERE exp_group IN ({_in(AB)}) AND ctr IS NOT NULL),
 sz AS (SELECT count(CASE WHEN exp_group = {AB[0]} THEN 1 END) AS n_a,
               count(CASE WHEN exp_group = {AB[1]} THEN 1 END) AS n_b FROM ui),
