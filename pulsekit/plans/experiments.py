@@ -301,7 +301,9 @@ aa AS (SELECT sim, n_a, n_b, mean_a, mean_b, {w['t_stat']} AS t_stat, {w['dof']}
 
 
 def _aa(spark, sf_dir):
-    return resample.aa_simulation(_users(spark, sf_dir, AA), "ctr", AA, N_SIMS, K, SEED)
+    # one row per simulation; materialized so the p-value stage runs once
+    # even when a read-out filters and projects it
+    return materialize(resample.aa_simulation(_users(spark, sf_dir, AA), "ctr", AA, N_SIMS, K, SEED))
 
 
 @register("aa_simulation", with_fixture(UC, _aa_sql(), f"""
