@@ -16,23 +16,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import day_range
+from pulsekit.operators import feed as feedm
 from pulsekit.operators.feed import trailing_week
+from pulsekit.operators.messaging import message_pairs
+from pulsekit.operators.spread import share_counts
 
 
 def active_days(log: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """Distinct (user_id, event_date) of any log."""
     return (log.filter(day_range(log, "time", first_day, last_day))
                .select("user_id", F.to_date("time").alias("event_date"))
                .distinct())
 
 
+def feed_active_days(feed: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """Active (user_id, event_date) of the feed, from the same per-user-day
+    aggregate as the daily metrics (one shared exchange)."""
+    return feedm.feed_user_days(feed, first_day, last_day).select("user_id", "event_date")
+
+
+def message_active_days(messages: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """Active senders per day, from the sender-receiver pair aggregate the
+    message reports use."""
+    m = messages.filter(day_range(messages, "time", first_day, last_day))
+    pairs = message_pairs(m.withColumn("event_date", F.to_date("time")), ["event_date"])
+    per_day = pairs.groupBy("event_date", "user_id").agg(F.sum("n").alias("n"))
+    return share_counts(per_day, ["n"]).select("user_id", "event_date")
+
+
 def _count_per_day(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("event_date").agg(F.count("user_id").alias("users"))
 
 
 def audience_split(feed: DataFrame, messages: DataFrame, as_of: dt.date) -> dict[str, DataFrame]:
     first, last = trailing_week(as_of)
-    f = active_days(feed, first, last)
-    m = active_days(messages, first, last)
+    f = feed_active_days(feed, first, last)
+    m = message_active_days(messages, first, last)
     keys = ["user_id", "event_date"]
     return {
         "both": _count_per_day(f.join(m, keys, "left_semi")),

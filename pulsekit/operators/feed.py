@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import count_nonnull_if, day_range, round_half_even, safe_div
+from pulsekit.operators.spread import share_counts
 
 LIKE, VIEW = "like", "view"
 
@@ -25,16 +26,37 @@ def _distinct_users(approx: bool, rsd: float = 0.01):
     return F.approx_count_distinct("user_id", rsd) if approx else F.count_distinct("user_id")
 
 
-def feed_daily(feed: DataFrame, first_day: dt.date, last_day: dt.date, approx: bool = False) -> DataFrame:
-    """Per event_date: dau, likes, views, ctr (2 places, half-even),
-    likes_per_user, views_per_user.  ``approx`` counts DAU with HyperLogLog++
-    (one pass, no per-user shuffle) instead of exactly."""
+def feed_user_days(feed: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """(event_date, user_id, likes, views, events): one row per active user
+    and day -- the shared first aggregate of the daily metrics and the
+    audience overlap (one exchange, reused by both)."""
     f = feed.filter(day_range(feed, "time", first_day, last_day))
-    agg = f.groupBy(F.to_date("time").alias("event_date")).agg(
-        _distinct_users(approx).alias("dau"),
+    days = f.groupBy(F.to_date("time").alias("event_date"), "user_id").agg(
         count_nonnull_if("user_id", _is(LIKE)).alias("likes"),
         count_nonnull_if("user_id", _is(VIEW)).alias("views"),
+        F.count(F.lit(1)).alias("events"),
     )
+    return share_counts(days, ["likes", "views", "events"])
+
+
+def feed_daily(feed: DataFrame, first_day: dt.date, last_day: dt.date, approx: bool = False) -> DataFrame:
+    """Per event_date: dau, likes, views, ctr (2 places, half-even),
+    likes_per_user, views_per_user.  ``approx`` counts DAU with HyperLogLog++
+    in one pass instead of exactly from the per-user-day rows."""
+    if approx:
+        f = feed.filter(day_range(feed, "time", first_day, last_day))
+        agg = f.groupBy(F.to_date("time").alias("event_date")).agg(
+            _distinct_users(True).alias("dau"),
+            count_nonnull_if("user_id", _is(LIKE)).alias("likes"),
+            count_nonnull_if("user_id", _is(VIEW)).alias("views"),
+        )
+    else:
+        days = feed_user_days(feed, first_day, last_day)
+        agg = days.groupBy("event_date").agg(
+            F.count(F.col("user_id")).alias("dau"),
+            F.sum("likes").alias("likes"),
+            F.sum("views").alias("views"),
+        )
     return agg.select(
         "event_date", "dau", "likes", "views",
         round_half_even(safe_div(F.col("likes"), F.col("views")), 2).alias("ctr"),
