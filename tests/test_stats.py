@@ -122,3 +122,22 @@ def test_welch_matches_formula(spark):
     assert r.t_stat == pytest.approx(t)
     assert r.dof == pytest.approx(dof)
     assert r.p_value == pytest.approx(float(t_two_sided_p_np(np.array([t]), np.array([dof]))[0]))
+
+
+def test_prefix_sums_without_broadcast(spark, monkeypatch):
+    # above the size limit the offsets are joined without a broadcast hint
+    import pulsekit.operators.prefix as prefix
+    monkeypatch.setattr(prefix, "MAX_BROADCAST_BLOCKS", 0)
+    rows = [(g, float(v), 1) for g in (1, 2, 3) for v in range(200)]
+    df = spark.createDataFrame(rows, "g int, x double, c long")
+    got = prefix.exclusive_prefix(df, "x", ["c"], by=["g"], n_ranges=8).toPandas()
+    assert len(got) == 600
+    assert (got["before_c"] == got["x"].astype(int)).all()
+
+
+def test_dense_index_is_a_bijection(spark):
+    from pulsekit.operators.prefix import dense_index
+    rows = [(g, u) for g in (1, 2) for u in range(g * 1000, g * 1000 + 300 + g)]
+    out = dense_index(spark.createDataFrame(rows, "g int, user_id long"), ["g"], "user_id").toPandas()
+    for g, part in out.groupby("g"):
+        assert sorted(part["idx"]) == list(range(len(part)))
