@@ -159,6 +159,20 @@ def count_bounds_below(x: Column, bounds: list[float], inclusive: bool = False)
     return rec(0, len(bounds))
 
 
+def count_bounds_below_sql(x_sql: str, bounds: list[float], inclusive: bool = False) -> str:
+    """SQL text of ``count_bounds_below`` (one expression, parsed once on the
+    JVM instead of being assembled call by call)."""
+    op = "<=" if inclusive else "<"
+
+    def rec(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        b = f"CAST('{float(bounds[mid])!r}' AS DOUBLE)"
+        return f"CASE WHEN {b} {op} {x_sql} THEN {rec(mid + 1, hi)} ELSE {rec(lo, mid)} END"
+    return rec(0, len(bounds))
+
+
 def poisson1_weight(u: Column) -> Column:
     """Poisson(1) draw by inverse CDF: number of CDF points <= u."""
     return count_bounds_below(u, POISSON1_CDF, inclusive=True).cast("long")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.hashing import hash_bucket
-from pulsekit.functions.stats import count_bounds_below
+from pulsekit.functions.stats import count_bounds_below_sql
 from pulsekit.operators.spread import materialize
 
 DEFAULT_RANGES = 64
@@ -28,9 +28,10 @@ MAX_BROADCAST_BLOCKS = 1_000_000
 _RID = "_range_id"
 
 
-def range_id(order: Column, bounds: list[float]) -> Column:
+def range_id(order_col: str, bounds: list[float]) -> Column:
     """Number of boundaries strictly below the value (0 .. len(bounds))."""
-    return count_bounds_below(order.cast("double"), bounds)
+    name = "`" + order_col.replace("`", "``") + "`"
+    return F.expr(count_bounds_below_sql(f"CAST({name} AS DOUBLE)", bounds))
 
 
 def range_bounds(df: DataFrame, order_col: str, n_ranges: int, rel_err: float = 1e-3) -> list[float]:
@@ -53,7 +54,7 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], by: lis
     if checkpoint:
         df = materialize(df)
     bounds = range_bounds(df, order_col, n_ranges)
-    tagged = df.withColumn(_RID, range_id(F.col(order_col), bounds))
+    tagged = df.withColumn(_RID, range_id(order_col, bounds))
     blocks = tagged.groupBy(*by, _RID).agg(*[F.sum(c).alias(c) for c in sum_cols])
     wb = Window.partitionBy(*by).orderBy(_RID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(*by, _RID, *[
