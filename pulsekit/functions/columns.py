@@ -28,7 +28,8 @@ def round_half_even(x: Column, digits: int) -> Column:
     (0.125 -> 0.12, 1.005 -> 1.0 since 1.005 * 100 = 100.49999999999999).
     """
     scale = float(10 ** digits)
-    return F.bround(x.cast("double") * F.lit(scale), 0) / F.lit(scale)
+    # + 0.0 normalises a negative zero, so equal results compare equal bytewise
+    return F.bround(x.cast("double") * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
 
 
 def ts_literal(value: dt.datetime | dt.date, like: T.DataType) -> Column:

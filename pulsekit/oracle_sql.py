@@ -37,8 +37,9 @@ def uniform(*parts: str) -> str:
 
 
 def rnd(expr: str, digits: int) -> str:
+    """Half-even on the scaled value; ``+ 0.0`` turns a -0.0 into 0.0."""
     s = float(10 ** digits)
-    return f"(round_even(CAST({expr} AS DOUBLE) * {s!r}, 0) / {s!r})"
+    return f"(round_even(CAST({expr} AS DOUBLE) * {s!r}, 0) / {s!r} + 0.0)"
 
 
 def r6(expr: str) -> str:
