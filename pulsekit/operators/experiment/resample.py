@@ -144,12 +144,17 @@ def poisson_bootstrap(users: DataFrame, groups=(1, 2), n_bootstrap: int = 2000,
     return agg.withColumn("global_ctr", F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")))
 
 
-def bootstrap_diff(boot: DataFrame, a, b, group_col: str = "exp_group") -> DataFrame:
-    """Distribution summary of ctr_a - ctr_b over replicates."""
+def bootstrap_diffs(boot: DataFrame, a, b, group_col: str = "exp_group") -> DataFrame:
+    """(rep, diff): ctr_a - ctr_b per replicate."""
     per = boot.groupBy("rep").agg(
         F.max(F.when(F.col(group_col) == F.lit(a), F.col("global_ctr"))).alias("ctr_a"),
         F.max(F.when(F.col(group_col) == F.lit(b), F.col("global_ctr"))).alias("ctr_b"))
-    d = per.select((F.col("ctr_a") - F.col("ctr_b")).alias("diff"))
+    return per.select("rep", (F.col("ctr_a") - F.col("ctr_b")).alias("diff"))
+
+
+def bootstrap_diff(boot: DataFrame, a, b, group_col: str = "exp_group") -> DataFrame:
+    """Distribution summary of ctr_a - ctr_b over replicates."""
+    d = bootstrap_diffs(boot, a, b, group_col)
     return d.agg(
         F.count("diff").alias("n_reps"),
         F.avg("diff").alias("mean_diff"),

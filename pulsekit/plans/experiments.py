@@ -354,8 +354,10 @@ boot AS (SELECT rep, exp_group, CAST(sum(w * likes) AS BIGINT) AS likes, CAST(su
          FROM bw GROUP BY rep, exp_group)"""
 
 
-def _boot(spark, sf_dir):
-    return resample.poisson_bootstrap(_users(spark, sf_dir, AB), AB, P.n_bootstrap, SEED)
+def _boot(spark, sf_dir, reuse: bool = False):
+    boot = resample.poisson_bootstrap(_users(spark, sf_dir, AB), AB, P.n_bootstrap, SEED)
+    # groups x replicates rows; materialized when read twice (histogram range + bins)
+    return materialize(boot) if reuse else boot
 
 
 @register("poisson_bootstrap", with_fixture(UC, BOOT_SQL, f"""
@@ -365,15 +367,55 @@ def q_poisson_bootstrap(spark, sf_dir):
     return r6(_boot(spark, sf_dir))
 
 
-@register("bootstrap_diff", with_fixture(UC, BOOT_SQL, f"""
+BD_SQL = f"""
 bd AS (SELECT rep,
               max(CASE WHEN exp_group = {AB[0]} THEN CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) END)
             - max(CASE WHEN exp_group = {AB[1]} THEN CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) END)
               AS diff
-       FROM boot GROUP BY rep)""", f"""
+       FROM boot GROUP BY rep)"""
+
+
+@register("bootstrap_diff", with_fixture(UC, BOOT_SQL, BD_SQL, f"""
     SELECT count(diff) AS n_reps, {s6('avg(diff)')} AS mean_diff,
            {s6('CAST(count(CASE WHEN diff > 0 THEN 1 END) AS DOUBLE) / count(diff)')} AS share_positive,
            {s6('quantile_cont(diff, 0.025)')} AS q025, {s6('quantile_cont(diff, 0.975)')} AS q975
     FROM bd"""))
 def q_bootstrap_diff(spark, sf_dir):
     return r6(resample.bootstrap_diff(_boot(spark, sf_dir), *AB))
+
+
+# ------------------------------------------------------------ more distribution histograms
+def _hist(src_sql: str, value: str, by: str | None = "exp_group") -> str:
+    return _hist_sql(src_sql, value, P.hist_bins, by, f"min({value})", f"max({value})")
+
+
+@register("smoothed_ctr_histogram", with_fixture(UC, SMOOTH, _hist("sm", "smoothed_ctr"), "SELECT * FROM hist"))
+def q_smoothed_ctr_histogram(spark, sf_dir):
+    sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB, reuse=True), P.smooth_alpha)
+    return r6(hist.histogram(sm, "smoothed_ctr", P.hist_bins, ("exp_group",)))
+
+
+@register("lin_likes_histogram", with_fixture(UC, LIN, _hist("ll", "lin_likes"), "SELECT * FROM hist"))
+def q_lin_likes_histogram(spark, sf_dir):
+    ll = transforms.lin_likes(_users(spark, sf_dir, reuse=True), P.lin_control)
+    return r6(hist.histogram(ll, "lin_likes", P.hist_bins, ("exp_group",)))
+
+
+@register("bucket_ctr_histogram", with_fixture(UC, BUCKETS, _hist("bq", "bucket_ctr"), "SELECT * FROM hist"))
+def q_bucket_ctr_histogram(spark, sf_dir):
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "md5")
+    return r6(hist.histogram(b, "bucket_ctr", P.hist_bins, ("exp_group",)))
+
+
+@register("bootstrap_ctr_histogram", with_fixture(UC, BOOT_SQL, """
+bctr AS (SELECT rep, exp_group, CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) AS global_ctr
+         FROM boot)""", _hist("bctr", "global_ctr"), "SELECT * FROM hist"))
+def q_bootstrap_ctr_histogram(spark, sf_dir):
+    return r6(hist.histogram(_boot(spark, sf_dir, reuse=True), "global_ctr", P.hist_bins, ("exp_group",)))
+
+
+@register("bootstrap_diff_histogram", with_fixture(UC, BOOT_SQL, BD_SQL, _hist("bd", "diff", None),
+                                                   "SELECT * FROM hist"))
+def q_bootstrap_diff_histogram(spark, sf_dir):
+    d = resample.bootstrap_diffs(_boot(spark, sf_dir, reuse=True), *AB)
+    return r6(hist.histogram(d, "diff", P.hist_bins))
