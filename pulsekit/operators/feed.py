@@ -75,13 +75,14 @@ def feed_week(feed: DataFrame, as_of: dt.date, approx: bool = False) -> DataFram
     return feed_daily(feed, first, last, approx)
 
 
-def feed_yesterday(feed: DataFrame, as_of: dt.date) -> DataFrame:
+def feed_yesterday(feed: DataFrame, as_of: dt.date, approx: bool = False) -> DataFrame:
     """One row: the four headline metrics of ``as_of - 1`` (one scan, one
-    aggregate; an empty day still yields one row of zeros)."""
+    aggregate; an empty day still yields one row of zeros).  ``approx``
+    counts DAU with HyperLogLog++."""
     day = as_of - dt.timedelta(days=1)
     f = feed.filter(day_range(feed, "time", day, day))
     agg = f.agg(
-        F.count_distinct("user_id").alias("dau"),
+        _distinct_users(approx).alias("dau"),
         count_nonnull_if("user_id", _is(LIKE)).alias("likes"),
         count_nonnull_if("user_id", _is(VIEW)).alias("views"),
     )
