@@ -2,8 +2,7 @@
 
 ``local_session`` is for tests and the bench only; cluster jobs receive the
 session they run in.  ``shared_dir`` returns the cluster's reliable shared
-folder (``spark.checkpoint.dir``); a private one is created only when the
-session has none (local tests).
+folder (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -35,24 +34,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Reliable shared folder for checkpoints and job tables.
+    """The folder that the driver and all executors share: the session's
+    ``spark.checkpoint.dir``, also registered for ``checkpoint()``.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a private folder is created and registered.
+    On a cluster it must be set.  A ``local[...]`` master, where the driver is
+    the only process, may do without: its folder is then a temporary one.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
-    if not conf_dir:
-        # local tests only: the session names no shared folder
-        conf_dir = tempfile.mkdtemp(prefix="pulsekit-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", conf_dir)
-        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
-            pass
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir.rstrip("/")
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="pulsekit-ckpt-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
