@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsekit.llm.common import table
 
@@ -18,18 +19,53 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.kn_quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that people judged to be of good quality."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op2_byte_cnn_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.byte_cnn_lang import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsekit.llm.token_store import store_and_read
 
     return store_and_read(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), end_id=2)
 
 
+def op4_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.lz_fingerprint import edited_likeness
+
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op5_gbt_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.gbt_toxicity import toxicity
+
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsekit.llm.token_counts import count_tokens, over_limit
 
     return over_limit(count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER)), 2048)
 
 
+def op8_ann_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.ann_projection import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsekit.llm.bin_packing import pack_documents
 
@@ -43,7 +79,9 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_store, op6_token_counts, op9_bin_packing, op10_bpe_backtrack)
+    f.__name__: f for f in (
+        op1_kn_quality, op2_byte_cnn_lang, op3_token_store, op4_lz_fingerprint, op5_gbt_toxicity,
+        op6_token_counts, op8_ann_projection, op9_bin_packing, op10_bpe_backtrack)
 }
 
 #: DuckDB statements of the queries that SQL can express.
