@@ -154,12 +154,13 @@ def train(docs: DataFrame, trainable, docs_per_lang: int = 600, windows_per_doc:
     return model
 
 
-def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
-    """doc_id, lang_pred and score of every row."""
+def predict(docs: DataFrame, model: ByteCNN | None, carry: bool = False) -> DataFrame:
+    """doc_id, lang_pred and score of every row; with ``carry``, the rows
+    themselves with these as the columns __lang_pred and __score."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in pieces(batch, 2_000_000):
-                texts = b.column(1).to_pylist()
+            for b in pieces(batch, 2_000_000, "__text"):
+                texts = b.column(0).to_pylist()
                 known = [t is not None and any(map(str.isalpha, t)) and model is not None for t in texts]
                 lang = ["und"] * len(texts)
                 score = [0.0] * len(texts)
@@ -174,11 +175,13 @@ def predict(docs: DataFrame, model: ByteCNN | None) -> DataFrame:
                         lang[i] = model.classes[best[j]]
                         score[i] = min(1.0, float(mean[j, best[j]]))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(lang), pa.array(score, pa.float64())],
-                    names=["doc_id", "lang_pred", "score"])
+                    [*b.columns[1:], pa.array(lang), pa.array(score, pa.float64())], names=names)
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(work, "doc_id long, lang_pred string, score double"))
+    text = F.col("text").cast("string").alias("__text")
+    rows = docs.select(text, *(docs.columns if carry else [F.col("doc_id").cast("long").alias("doc_id")]))
+    names = rows.columns[1:] + (["__lang_pred", "__score"] if carry else ["lang_pred", "score"])
+    kinds = [f.dataType.simpleString() for f in rows.schema.fields[1:]] + ["string", "double"]
+    return rows.mapInArrow(work, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -67,3 +67,13 @@ def gather(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     ends = np.cumsum(lens)
     total = int(ends[-1]) if len(ends) else 0
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lens), lens)
+
+
+def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose document and text are in
+    ``kept`` (doc_id, text_key)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn("__llm_id", F.col("doc_id").cast("long")).withColumn("__llm_text", F.xxhash64(text))
+    keys = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_text")).distinct()
+    same = (F.col("__llm_text") == F.col("__kept_text")) & F.col("__llm_id").eqNullSafe(F.col("__kept_id"))
+    return keyed.join(keys, same, "left_semi").drop("__llm_id", "__llm_text")

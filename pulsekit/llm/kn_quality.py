@@ -327,7 +327,8 @@ def held_back():
 
 def quality(docs: DataFrame, trusted_ids: DataFrame, order: int = 5, quantile: float = 0.995,
             margin: float = 1.05, prior_bytes: int = 40) -> DataFrame:
-    """doc_id, lang, perplexity, smoothed, threshold and keep of every row.
+    """doc_id, lang, perplexity, smoothed, threshold and keep of every row, and,
+    to find the row again, text_key.
     ``trusted_ids``: a column doc_id.  A few bytes tell little, so a perplexity
     is smoothed by ``prior_bytes`` bytes at the median of the language's trusted
     texts; a text is kept when that is at most ``margin`` times the ``quantile``
@@ -336,7 +337,8 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, order: int = 5, quantile: f
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                       F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("n"))
+                       F.octet_length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("n"),
+                       F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"))
     trusted = written(trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id"))
                       .where("doc_id is not null").distinct(), folder, "trusted")
     own = rows.join(trusted, "doc_id", "left_semi").where("text != ''")
@@ -360,6 +362,6 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, order: int = 5, quantile: f
 
     return (by_language(smooth(scored), smooth(judges), "smoothed", quantile, "threshold")
             .withColumn("threshold", F.col("threshold") * margin)
-            .select("doc_id", "lang", "perplexity", "smoothed", "threshold",
+            .select("doc_id", "text_key", "lang", "perplexity", "smoothed", "threshold",
                     (F.col("perplexity").isNotNull()
                      & F.coalesce(F.col("smoothed") <= F.col("threshold"), F.lit(True))).alias("keep")))

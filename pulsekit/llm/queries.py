@@ -60,6 +60,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return over_limit(count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER)), 2048)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.jaccard_join import join
+
+    return join(table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+
+
 def op8_ann_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsekit.llm.ann_projection import search
 
@@ -81,7 +87,7 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_kn_quality, op2_byte_cnn_lang, op3_token_store, op4_lz_fingerprint, op5_gbt_toxicity,
-        op6_token_counts, op8_ann_projection, op9_bin_packing, op10_bpe_backtrack)
+        op6_token_counts, op7_jaccard_join, op8_ann_projection, op9_bin_packing, op10_bpe_backtrack)
 }
 
 #: DuckDB statements of the queries that SQL can express.
