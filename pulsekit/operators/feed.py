@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import count_nonnull_if, day_range, round_half_even, safe_div
-from pulsekit.operators.spread import share_counts
 
 LIKE, VIEW = "like", "view"
 
@@ -26,17 +25,25 @@ def _distinct_users(approx: bool, rsd: float = 0.01):
     return F.approx_count_distinct("user_id", rsd) if approx else F.count_distinct("user_id")
 
 
+def feed_counts(feed: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """Per event_date: likes, views, ctr.  No user is counted, so a task passes
+    on a row per day."""
+    f = feed.filter(day_range(feed, "time", first_day, last_day))
+    agg = f.groupBy(F.to_date("time").alias("event_date")).agg(
+        count_nonnull_if("user_id", _is(LIKE)).alias("likes"),
+        count_nonnull_if("user_id", _is(VIEW)).alias("views"))
+    return agg.withColumn("ctr", round_half_even(safe_div(F.col("likes"), F.col("views")), 2))
+
+
 def feed_user_days(feed: DataFrame, first_day: dt.date, last_day: dt.date) -> DataFrame:
-    """(event_date, user_id, likes, views, events): one row per active user
-    and day -- the shared first aggregate of the daily metrics and the
-    audience overlap (one exchange, reused by both)."""
+    """(event_date, user_id, likes, views): one row per active user
+    and day, the first aggregate of the metrics that count users."""
     f = feed.filter(day_range(feed, "time", first_day, last_day))
     days = f.groupBy(F.to_date("time").alias("event_date"), "user_id").agg(
         count_nonnull_if("user_id", _is(LIKE)).alias("likes"),
         count_nonnull_if("user_id", _is(VIEW)).alias("views"),
-        F.count(F.lit(1)).alias("events"),
     )
-    return share_counts(days, ["likes", "views", "events"])
+    return days
 
 
 def feed_daily(feed: DataFrame, first_day: dt.date, last_day: dt.date, approx: bool = False) -> DataFrame:

@@ -36,25 +36,20 @@ def user_day_merged(feed: DataFrame, messages: DataFrame, day: dt.date,
                     include_receivers: bool = False) -> DataFrame:
     """Outer merge of the message and feed slices on (user_id, gender, age, os).
 
-    NULL keys match each other (as in a pandas merge), missing measures and
-    keys become 0 (the reference fills the whole frame with 0), event_date
-    comes from whichever side has it.
+    Both slices have a row per key, so the merge is their union, with 0 for the
+    other's measures, added up by key: one shuffle, and NULL keys meet as in a
+    pandas merge.  Missing keys become 0 afterwards (the whole frame is filled).
     """
-    msg = message_user_slice(messages, day, include_receivers).alias("m")
-    fd = feed_user_slice(feed, day).alias("f")
     keys = ["user_id"] + DIMS
-    cond = [F.col(f"m.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
-    j = msg.join(fd, cond, "full")
-    key_cols = [
-        F.coalesce(F.col("m.user_id"), F.col("f.user_id"), F.lit(0)).cast("long").alias("user_id"),
-        F.coalesce(F.col("m.gender"), F.col("f.gender"), F.lit(0)).cast("int").alias("gender"),
-        F.coalesce(F.col("m.age"), F.col("f.age"), F.lit(0)).cast("int").alias("age"),
-        F.coalesce(F.col("m.os"), F.col("f.os"), F.lit("0")).alias("os"),
-    ]
-    measures = ([F.coalesce(F.col(f"m.{c}"), F.lit(0)).cast("long").alias(c) for c in MESSAGE_COUNTS]
-                + [F.coalesce(F.col(f"f.{c}"), F.lit(0)).cast("long").alias(c) for c in FEED_COUNTS])
-    event_date = F.coalesce(F.col("m.event_date"), F.col("f.event_date")).alias("event_date")
-    return j.select(*key_cols, *measures, event_date)
+    both = message_user_slice(messages, day, include_receivers).unionByName(
+        feed_user_slice(feed, day), allowMissingColumns=True)
+    measures = MESSAGE_COUNTS + FEED_COUNTS
+    merged = both.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in measures],
+        F.max("event_date").alias("event_date"))
+    zero = {"user_id": ("long", 0), "gender": ("int", 0), "age": ("int", 0), "os": ("string", "0")}
+    return merged.select(*[F.coalesce(F.col(k), F.lit(v)).cast(t).alias(k) for k, (t, v) in zero.items()],
+                         *measures, "event_date")
 
 
 def slice_mart(merged: DataFrame) -> DataFrame:

@@ -1,12 +1,10 @@
 """Messenger metrics: per-user slices and per-day totals.
 
-The message log is read once per job: it is reduced to (sender, receiver)
-pair counts -- one shuffle, partially aggregated map-side -- and every
-per-user figure derives from that pair table: messages sent / received are
-sums of pair counts, distinct receivers / senders are pair counts.  Spark
-reuses the single pair exchange for the sender side, the receiver side and
-the sender list, instead of four sub-queries each scanning the log.  Every
-aggregate is computed before any join, so no join multiplies rows.
+Each job scans the log once and reduces it to (sender, receiver) pair counts.
+Every pair then gives two rows, one for its sender and one for its receiver, and
+one aggregate by user adds them up: no join, and nothing is computed twice.  A
+message without a receiver makes its sender active, but is neither sent to nor
+received by anyone.
 """
 
 from __future__ import annotations
@@ -20,31 +18,34 @@ from pulsekit.functions.columns import day_range, safe_div
 from pulsekit.operators.feed import trailing_week
 
 DIMS = ["gender", "age", "os"]
-
-
-def message_pairs(msgs: DataFrame, keys: list[str] | None = None, dims: bool = False) -> DataFrame:
-    """(keys.., user_id, [dims..], receiver_id, n): messages per sender-receiver pair."""
-    keys = keys or []
-    extra = DIMS if dims else []
-    return (msgs.filter(F.col("user_id").isNotNull() & F.col("receiver_id").isNotNull())
-                .groupBy(*keys, "user_id", *extra, "receiver_id")
-                .agg(F.count(F.lit(1)).alias("n")))
-
-
-def sender_totals(pairs: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    keys = keys or []
-    return pairs.groupBy("user_id", *keys).agg(
-        F.sum("n").alias("messages_sent"),
-        F.count_distinct("receiver_id").alias("number_of_receivers"),
-    )
-
-
-def receiver_totals(pairs: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    keys = keys or []
-    return pairs.groupBy(F.col("receiver_id").alias("user_id"), *keys).agg(
-        F.sum("n").alias("messages_received"),
-        F.count_distinct("user_id").alias("number_of_senders"),
-    )
+COUNTS = ["messages_received", "number_of_receivers", "messages_sent", "number_of_senders"]
+
+
+def user_totals(msgs: DataFrame, keys: tuple[str, ...] = (), dims: bool = False) -> DataFrame:
+    """(keys.., user_id, rows, COUNTS.., [dims]): per user the log rows sent, and
+    what the user sent and received.  ``dims``: the distinct (gender, age, os) the
+    user sent with, as an array.  Users with ``rows`` = 0 only received."""
+    people = [F.collect_set(F.struct(*DIMS)).alias("dims")] if dims else []
+    pairs = (msgs.where("user_id is not null").groupBy(*keys, "user_id", "receiver_id")
+             .agg(F.count(F.lit(1)).alias("n"), *people))
+    to = F.col("receiver_id").isNotNull()
+
+    def side(user: str, rows, received, receivers, sent, senders):
+        kept = "dims" if user == "user_id" else "cast(null as array<struct<gender:int,age:int,os:string>>)"
+        return F.struct(F.col(user).alias("user_id"), F.expr(rows).alias("rows"),
+                        *[F.expr(e).cast("long").alias(c) for e, c in
+                          zip((received, receivers, sent, senders), COUNTS)],
+                        *([F.expr(kept).alias("dims")] if dims else []))
+
+    heard = "if(receiver_id is null, 0, {})".format
+    both = F.filter(F.array(side("user_id", "n", "0", heard("1"), heard("n"), "0"),
+                            F.when(to, side("receiver_id", "0L", "n", "0", "0", "1"))),
+                    lambda x: x.isNotNull())
+    sums = [F.sum(f"u.{c}").alias(c) for c in ("rows", *COUNTS)]
+    if dims:        # a set of the few sets that a user's pairs have
+        sums.append(F.array_distinct(F.flatten(F.collect_set("u.dims"))).alias("dims"))
+    return (pairs.select(*keys, F.explode(both).alias("u"))
+            .groupBy(*keys, "u.user_id").agg(*sums))
 
 
 def message_user_slice(messages: DataFrame, day: dt.date, include_receivers: bool = False) -> DataFrame:
@@ -55,25 +56,12 @@ def message_user_slice(messages: DataFrame, day: dt.date, include_receivers: boo
     ``include_receivers`` adds users who only received messages that day
     (their dimensions are unknown in the log and stay NULL).
     """
-    m = messages.filter(day_range(messages, "time", day, day))
-    pairs = message_pairs(m, dims=True)
-    # senders read the pair counts too (every pair has n >= 1), so all three
-    # branches share one pair exchange instead of pruning it differently
-    senders = (pairs.groupBy("user_id", *DIMS).agg(F.sum("n").alias("_sent"))
-                    .filter(F.col("_sent") > 0).drop("_sent"))
-    people = senders.withColumn("event_date", F.lit(day))
+    totals = user_totals(messages.filter(day_range(messages, "time", day, day)), dims=True)
+    people = totals.where("rows > 0").select("*", F.explode("dims").alias("d"))
+    columns = [F.col(f"d.{c}").alias(c) for c in DIMS]
     if include_receivers:
-        only_recv = (pairs.select(F.col("receiver_id").alias("user_id")).distinct()
-                          .join(senders.select("user_id"), "user_id", "left_anti")
-                          .select("user_id", *[F.lit(None).cast(t).alias(c) for c, t in
-                                               (("gender", "int"), ("age", "int"), ("os", "string"))],
-                                  F.lit(day).alias("event_date")))
-        people = people.unionByName(only_recv)
-    out = (people.join(sender_totals(pairs), "user_id", "left")
-                 .join(receiver_totals(pairs), "user_id", "left"))
-    counts = ["messages_received", "number_of_receivers", "messages_sent", "number_of_senders"]
-    return out.select("user_id", *DIMS, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in counts],
-                      "event_date")
+        people = totals.select("*", F.explode_outer("dims").alias("d"))
+    return people.select("user_id", *columns, *COUNTS, F.lit(day).alias("event_date"))
 
 
 def _daily_from_user_days(user_days: DataFrame) -> DataFrame:
@@ -103,20 +91,38 @@ def message_daily_weighted(messages: DataFrame, as_of: dt.date) -> DataFrame:
     multiplied by that count: identical sums without the row fan-out.
     """
     first, last = trailing_week(as_of)
-    m = messages.filter(day_range(messages, "time", first, last))
-    pairs = message_pairs(m.withColumn("event_date", F.to_date("time")), ["event_date"])
-    per_day = pairs.groupBy("event_date", "user_id").agg(F.sum("n").alias("n"))
-    j = (per_day.join(sender_totals(pairs), "user_id", "left")
-                .join(receiver_totals(pairs), "user_id", "left"))
-    n = F.col("n")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return _daily_from_user_days(j.select(
-        "event_date", "user_id",
-        (n * z("messages_received")).alias("w_received"),
-        (n * z("number_of_receivers")).alias("w_receivers"),
-        (n * z("messages_sent")).alias("w_sent"),
-        (n * z("number_of_senders")).alias("w_senders"),
-    ))
+    m = messages.filter(day_range(messages, "time", first, last)).withColumn("event_date", F.to_date("time"))
+    # the week's rows, not the days', hold a user's distinct receivers and
+    # senders: count rows per day beside the totals, in the same aggregate
+    days = [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+    totals = user_day_totals(m, days).where("rows > 0")
+    per_day = totals.select("user_id", *COUNTS, F.explode(F.map_from_arrays(
+        F.array(*[F.lit(d) for d in days]), F.array(*[F.col(f"d{k}") for k in range(len(days))])
+    )).alias("event_date", "n")).where("n > 0")
+    weighted = {"w_received": "messages_received", "w_receivers": "number_of_receivers",
+                "w_sent": "messages_sent", "w_senders": "number_of_senders"}
+    return _daily_from_user_days(per_day.select(
+        "event_date", "user_id", *[(F.col("n") * F.col(c)).alias(w) for w, c in weighted.items()]))
+
+
+def user_day_totals(msgs: DataFrame, days: list[dt.date]) -> DataFrame:
+    """``user_totals`` over all ``days`` with the rows the user sent on each of
+    them (d0, d1, ...)."""
+    on = [F.count_if(F.col("event_date") == F.lit(d)).alias(f"d{k}") for k, d in enumerate(days)]
+    pairs = (msgs.where("user_id is not null").groupBy("user_id", "receiver_id")
+             .agg(F.count(F.lit(1)).alias("n"), *on))
+    heard = F.col("receiver_id").isNotNull().cast("long")
+    zero = F.lit(0).cast("long")
+    sender = F.struct(F.col("user_id"), F.col("n").alias("rows"), zero.alias(COUNTS[0]), heard.alias(COUNTS[1]),
+                      (heard * F.col("n")).alias(COUNTS[2]), zero.alias(COUNTS[3]),
+                      *[F.col(f"d{k}") for k in range(len(days))])
+    receiver = F.struct(F.col("receiver_id").alias("user_id"), zero.alias("rows"), F.col("n").alias(COUNTS[0]),
+                        zero.alias(COUNTS[1]), zero.alias(COUNTS[2]), F.lit(1).cast("long").alias(COUNTS[3]),
+                        *[zero.alias(f"d{k}") for k in range(len(days))])
+    both = F.filter(F.array(sender, F.when(heard == 1, receiver)), lambda x: x.isNotNull())
+    names = ["rows", *COUNTS, *[f"d{k}" for k in range(len(days))]]
+    return (pairs.select(F.explode(both).alias("u")).groupBy("u.user_id")
+            .agg(*[F.sum(f"u.{c}").alias(c) for c in names]))
 
 
 def message_daily(messages: DataFrame, as_of: dt.date) -> DataFrame:
@@ -129,15 +135,8 @@ def message_daily(messages: DataFrame, as_of: dt.date) -> DataFrame:
 def message_daily_range(messages: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     m = messages.filter(day_range(messages, "time", first, last)).withColumn(
         "event_date", F.to_date("time"))
-    pairs = message_pairs(m, ["event_date"])
-    sent = sender_totals(pairs, ["event_date"])
-    recv = receiver_totals(pairs, ["event_date"])
-    j = sent.join(recv, ["user_id", "event_date"], "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return _daily_from_user_days(j.select(
-        "event_date", "user_id",
-        z("messages_received").alias("w_received"),
-        z("number_of_receivers").alias("w_receivers"),
-        z("messages_sent").alias("w_sent"),
-        z("number_of_senders").alias("w_senders"),
-    ))
+    senders = user_totals(m, ("event_date",)).where("rows > 0")
+    return _daily_from_user_days(senders.select(
+        "event_date", "user_id", F.col("messages_received").alias("w_received"),
+        F.col("number_of_receivers").alias("w_receivers"), F.col("messages_sent").alias("w_sent"),
+        F.col("number_of_senders").alias("w_senders")))

@@ -42,17 +42,3 @@ def materialize(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def share_counts(df: DataFrame, counts: list[str]) -> DataFrame:
-    """Keep the count columns of a shared aggregate referenced.
-
-    Counts are never negative, so the predicate keeps every row; it stops
-    column pruning from trimming the aggregate differently in each branch
-    that reads it, so all branches stay identical and AQE reuses one
-    exchange (one scan of the log) instead of recomputing per branch.
-    """
-    cond = None
-    for c in counts:
-        term = F.col(c) >= 0
-        cond = term if cond is None else cond & term
-    return df if cond is None else df.filter(cond)

@@ -12,31 +12,26 @@ START, END = intraday.alert_window(P.as_of_ts)
 WINDOW = f"time >= TIMESTAMP '{START:%Y-%m-%d %H:%M:%S}' AND time < TIMESTAMP '{END:%Y-%m-%d %H:%M:%S}'"
 N, A = P.band_n, P.band_a
 
+#: One stream of both logs, a row per bucket of its start; the label columns
+#: are derived from the start at the end.
 M15_SQL = f"""
-fb AS (
-    SELECT time_bucket(INTERVAL 15 MINUTE, time) AS ts,
-           CAST(time_bucket(INTERVAL 15 MINUTE, time) AS DATE) AS date,
-           strftime(time_bucket(INTERVAL 15 MINUTE, time), '%H:%M') AS hm,
-           count(DISTINCT user_id) AS users_feed,
-           count(CASE WHEN action = 'view' THEN user_id END) AS views,
-           count(CASE WHEN action = 'like' THEN user_id END) AS likes
-    FROM feed_actions WHERE {WINDOW} GROUP BY 1, 2, 3),
-mb AS (
-    SELECT time_bucket(INTERVAL 15 MINUTE, time) AS ts,
-           CAST(time_bucket(INTERVAL 15 MINUTE, time) AS DATE) AS date,
-           strftime(time_bucket(INTERVAL 15 MINUTE, time), '%H:%M') AS hm,
-           count(DISTINCT user_id) AS users_message,
-           count(user_id) AS sent_message
-    FROM message_actions WHERE {WINDOW} GROUP BY 1, 2, 3),
+stream AS (
+    SELECT epoch(time)::BIGINT // 900 AS slot, user_id, action, 'f' AS log FROM feed_actions WHERE {WINDOW}
+    UNION ALL
+    SELECT epoch(time)::BIGINT // 900, user_id, 'sent', 'm' FROM message_actions WHERE {WINDOW}),
+slots AS (
+    SELECT slot,
+           count(DISTINCT user_id) FILTER (WHERE log = 'f') AS users_feed,
+           count(user_id) FILTER (WHERE action = 'view') AS views,
+           count(user_id) FILTER (WHERE action = 'like') AS likes,
+           count(DISTINCT user_id) FILTER (WHERE log = 'm') AS users_message,
+           count(user_id) FILTER (WHERE action = 'sent') AS sent_message
+    FROM stream GROUP BY slot),
 m15 AS (
-    SELECT coalesce(fb.ts, mb.ts) AS ts, coalesce(fb.date, mb.date) AS date, coalesce(fb.hm, mb.hm) AS hm,
-           CAST(coalesce(users_feed, 0) AS BIGINT) AS users_feed,
-           CAST(coalesce(views, 0) AS BIGINT) AS views,
-           CAST(coalesce(likes, 0) AS BIGINT) AS likes,
-           CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) AS ctr,
-           CAST(coalesce(users_message, 0) AS BIGINT) AS users_message,
-           CAST(coalesce(sent_message, 0) AS BIGINT) AS sent_message
-    FROM fb FULL OUTER JOIN mb ON fb.date = mb.date AND fb.hm = mb.hm)"""
+    SELECT make_timestamp(slot * 900000000) AS ts, CAST(make_timestamp(slot * 900000000) AS DATE) AS date,
+           strftime(make_timestamp(slot * 900000000), '%H:%M') AS hm, users_feed, views, likes,
+           CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) AS ctr, users_message, sent_message
+    FROM slots)"""
 
 LONG_SQL = M15_SQL + ",\nlong AS (" + " UNION ALL ".join(
     f"SELECT ts, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM m15" for m in intraday.METRICS) + ")"

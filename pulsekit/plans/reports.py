@@ -7,7 +7,7 @@ from pulsekit.operators import reports
 from pulsekit.params import DEFAULT_PARAMS as P
 from pulsekit.plans.catalog import r6, register
 from pulsekit.plans.daily import (
-    AUDIENCE_ROWS, FEED_DAILY_SQL, WEEK, WEIGHTED_CTE, YESTERDAY, _message_ctes, days_where,
+    AUDIENCE_ROWS, FEED_DAILY_SQL, WEEK, WEIGHTED_CTE, YESTERDAY, _ledger, days_where,
 )
 from pulsekit.sources import load_fixture_tables
 
@@ -36,7 +36,7 @@ def q_daily_feed_report(spark, sf_dir):
     return r6(reports.daily_feed_report(fd, P.as_of))
 
 
-@register("daily_app_report", with_fixture(FEED_Y, _message_ctes(WEEK), WEIGHTED_CTE, f"""
+@register("daily_app_report", with_fixture(FEED_Y, _ledger(WEEK), WEIGHTED_CTE, f"""
 md AS (SELECT CAST(time AS DATE) AS event_date, count(receiver_id) AS messages_sent,
               count(DISTINCT user_id) AS messenger_dau
        FROM message_actions WHERE {YDAY} GROUP BY 1)""", """
@@ -67,7 +67,7 @@ fo AS (SELECT fr.event_date, count(DISTINCT fr.user_id) AS feed_only FROM fr LEF
        ON fr.user_id = mr.user_id AND fr.event_date = mr.event_date WHERE mr.user_id IS NULL GROUP BY 1)""", """
 mo AS (SELECT mr.event_date, count(DISTINCT mr.user_id) AS message_only FROM mr LEFT JOIN fr
        ON fr.user_id = mr.user_id AND fr.event_date = mr.event_date WHERE fr.user_id IS NULL GROUP BY 1)""",
-    _message_ctes(WEEK), WEIGHTED_CTE, f"""
+    _ledger(WEEK), WEIGHTED_CTE, f"""
 daily2 AS (SELECT *, {rnd(div('likes', 'views'), 2)} AS ctr, {div('likes', 'dau')} AS likes_per_user,
                   {div('views', 'dau')} AS views_per_user FROM daily)""",
     " UNION ALL ".join([

@@ -1,12 +1,15 @@
-"""The per-dimension daily mart: a parquet table partitioned by event_date.
+"""The per-dimension daily mart: a catalog table over Parquet files,
+partitioned by event_date.
 
-Re-running a day replaces that day's partition (dynamic partition
-overwrite) instead of appending a second copy, so task retries are
-idempotent.
+Writing a day replaces that day, also when it has become empty: a re-run leaves
+what one run leaves.  Rows of other days are refused.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,19 +34,28 @@ def create_mart_table(spark: SparkSession, name: str, path: str) -> None:
         f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
         f"PARTITIONED BY (event_date) LOCATION '{path}'"
     )
-
-
-def write_mart(mart: DataFrame, path: str) -> None:
-    """Write (replace) the mart's date partitions, rows sorted by dimension."""
-    out = mart.select(*[F.col(f.name).cast(f.dataType) for f in MART_SCHEMA.fields])
-    (out.repartition("event_date")
-        .sortWithinPartitions("event_date", "dimension", "dimension_value")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path))
-
-
-def read_mart(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema(MART_SCHEMA).parquet(path)
-    return df.select(*[f.name for f in MART_SCHEMA.fields])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    spark.sql(f"MSCK REPAIR TABLE {name}")      # days that the folder already holds
+
+
+def write_mart(mart: DataFrame, name: str, day: dt.date) -> None:
+    """Replace ``day`` in the table ``name`` by ``mart``, sorted by dimension."""
+    spark = mart.sparkSession
+    rows = mart.select(*[F.col(f.name).cast(f.dataType) for f in MART_SCHEMA.fields if f.name != "event_date"],
+                       F.when(F.col("event_date") == F.lit(day), F.col("event_date"))
+                       .otherwise(F.raise_error(F.lit(f"a row of another day than {day}")).cast("date"))
+                       .alias("event_date"))
+    view = f"_rows_of_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    columns = ", ".join(f.name for f in MART_SCHEMA.fields if f.name != "event_date")
+    try:
+        # a static partition is replaced as a whole, whether or not rows come
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (event_date = DATE '{day}') "
+                  f"SELECT {columns} FROM {view} WHERE event_date IS NOT NULL SORT BY dimension, dimension_value")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def read_mart(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name).select(*[f.name for f in MART_SCHEMA.fields])
