@@ -15,6 +15,5 @@ from pulsekit.functions.stats import (
     t_two_sided_p,
     normal_two_sided_p,
     welch_columns,
-    poisson1_weight,
-    POISSON1_CDF,
+    poisson_draw,
 )

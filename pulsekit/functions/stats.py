@@ -7,9 +7,9 @@ code-generated CASE trees.
 
 * Student t, two-sided: with t = sqrt(df) * tan(theta) the density becomes
   cos(theta)**(df-1), so p = I(theta0, pi/2) / I(0, pi/2) with
-  theta0 = atan(|t| / sqrt(df)); the normalising constant cancels.  For
-  df >= 200 the mass sits near 0, so both upper limits are cut where the
-  integrand is below exp(-1000) and the Simpson grid covers the peak.
+  theta0 = atan(|t| / sqrt(df)); the normalising constant cancels.  Both
+  integrals stop where that density has fallen by exp(-60), an angle that
+  follows df and nears pi/2 for small df, so the Simpson grid covers the peak.
 * Normal, two-sided: 2 * integral of the density from |z| to |z| + 12.
 """
 
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SIMPSON_STEPS = 2000          # even
-LARGE_DF = 200.0
-DF_CUT = 45.0
+#: The t integrals stop where the density has fallen by exp(-T_SPAN).
+T_SPAN = 60.0
 NORMAL_SPAN = 12.0
 _SQRT_2PI = math.sqrt(2.0 * math.pi)
 
@@ -57,9 +57,9 @@ def t_two_sided_p_np(t: np.ndarray, dof: np.ndarray, steps: int = SIMPSON_STEPS)
         with np.errstate(all="ignore"):
             at, sdf = np.abs(t), np.sqrt(dof)
             theta0 = np.arctan(at / sdf)
-            big = dof >= LARGE_DF
-            den_hi = np.where(big, np.arctan(DF_CUT / sdf), math.pi / 2.0)
-            num_hi = np.where(big, np.arctan((at + DF_CUT) / sdf), math.pi / 2.0)
+            fall = np.exp(-T_SPAN / np.maximum(dof - 1.0, 1e-9))
+            den_hi = np.arccos(fall)
+            num_hi = np.arccos(np.cos(theta0) * fall)
             ok = np.isfinite(t) & np.isfinite(dof) & (dof > 0)
             e = (np.where(ok, dof, 2.0) - 1.0)[:, None]
             th0 = np.where(ok, theta0, 0.0)
@@ -127,25 +127,21 @@ def welch_columns(n1: Column, m1: Column, v1: Column,
 
 
 def poisson_cdf_table(mean: float = 1.0) -> list[float]:
-    """P(X <= k) for X ~ Poisson(mean), k = 0.. until it rounds to 1.0.
+    """P(X <= k) for X ~ Poisson(mean), k = 0.. until it rounds to 1.0 or stops
+    growing.
 
-    Beyond the last entry the CDF equals 1.0 in double precision, so the
+    Beyond the last entry the CDF equals 1.0 to the last digits, so the
     inverse-CDF weight below is exact for every representable uniform.
     """
     out, term, acc, k = [], math.exp(-mean), 0.0, 0
-    while True:
+    while acc + term < 1.0 and (k <= mean or acc + term > acc):
         acc += term
-        if acc >= 1.0:
-            break
         out.append(acc)
         k += 1
         term *= mean / k
     return out
 
 
-POISSON1_CDF = poisson_cdf_table(1.0)
-
-
 def count_bounds_below(x: Column, bounds: list[float], inclusive: bool = False) -> Column:
     """Number of sorted ``bounds`` below ``x`` (``<=`` when inclusive), as a
     balanced CASE tree: log2(len) comparisons, fully code-generated."""
@@ -173,6 +169,6 @@ def count_bounds_below_sql(x_sql: str, bounds: list[float], inclusive: bool = Fa
     return rec(0, len(bounds))
 
 
-def poisson1_weight(u: Column) -> Column:
-    """Poisson(1) draw by inverse CDF: number of CDF points <= u."""
-    return count_bounds_below(u, POISSON1_CDF, inclusive=True).cast("long")
+def poisson_draw(u: Column, mean: float) -> Column:
+    """Poisson(mean) draw by inverse CDF: number of CDF points <= u."""
+    return count_bounds_below(u, poisson_cdf_table(mean), inclusive=True).cast("long")

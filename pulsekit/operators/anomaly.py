@@ -47,17 +47,21 @@ def anomaly_flags(bands: DataFrame, keys: tuple[str, ...] = ("metric",), order:
                          "r.up", "r.low", flag.alias("is_alert"))
 
 
-def alert_messages(flags: DataFrame, only_alerts: bool = False) -> DataFrame:
+def alert_messages(flags: DataFrame, only_alerts: bool = False, keys: tuple[str, ...] = ("metric",),
+                   order: str = "ts") -> DataFrame:
     """Alert text per series: current value (.2f) and change versus the
-    previous point, ``1 - current/previous`` (.2%).
+    previous point, ``1 - current/previous`` (.2%).  Slice keys besides the
+    metric stand in the output and, in brackets, in the text.
 
     ``only_alerts=False`` keeps every series (the reference sends them all).
     """
     change = F.lit(1.0) - safe_div(F.col("value"), F.col("prev_value"))
     text = F.concat(
-        F.lit("Metric "), F.col("metric"),
+        F.lit("Metric "), F.col("metric"), *[
+            x for k in keys if k != "metric"
+            for x in (F.lit(f" [{k} = "), F.coalesce(F.col(k).cast("string"), F.lit("none")), F.lit("]"))],
         F.lit(": current value "), fmt_fixed(F.col("value"), 2),
         F.lit(", change from previous value "), fmt_percent(change, 2),
     )
-    out = flags.select("metric", "ts", "is_alert", change.alias("change"), text.alias("message"))
+    out = flags.select(*keys, order, "is_alert", change.alias("change"), text.alias("message"))
     return out.filter(F.col("is_alert")) if only_alerts else out

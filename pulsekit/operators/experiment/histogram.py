@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 
 def histogram(df: DataFrame, value_col: str, bins: int = 20, group_cols: tuple = (),
               lo: float | None = None, hi: float | None = None) -> DataFrame:
-    v = df.filter(F.col(value_col).isNotNull()).select(*group_cols, F.col(value_col).cast("double").alias("v"))
-    if lo is None or hi is None:
-        # the range is two numbers: fetch them (a map-side partial aggregate,
-        # one row to the driver) and use them as literal edges -- no join
-        r = v.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-        lo = r.lo if lo is None else lo
-        hi = r.hi if hi is None else hi
-        if lo is None:          # no values at all
-            lo = hi = 0.0
-    v = v.withColumn("lo", F.lit(float(lo))).withColumn("hi", F.lit(float(hi)))
-    raw = F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(float(bins)))
+    value = F.col(value_col).cast("double")
+    v = df.filter(value.isNotNull() & ~F.isnan(value)).select(*group_cols, value.alias("v"))
+    # edges that aren't given are scalar subqueries: building the frame runs no job
+    low = F.lit(float(lo)) if lo is not None else v.agg(F.min("v")).scalar()
+    high = F.lit(float(hi)) if hi is not None else v.agg(F.max("v")).scalar()
+    v = v.withColumn("lo", low).withColumn("hi", high)
+    raw = F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")) * F.lit(float(bins)))
     b = F.when(F.col("hi") > F.col("lo"), F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).otherwise(F.lit(0))
     agg = v.groupBy(*group_cols, b.cast("int").alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
     w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))

@@ -5,30 +5,37 @@ every job is repeatable, survives task retries unchanged, and can be
 reproduced by any SQL engine.
 
 A/A simulation: users are numbered 0..n-1 inside their group (distributed
-prefix count).  Each (simulation, group) row draws indices
-``floor(u * n)`` and keeps the first ``k`` distinct ones: a uniform sample
-without replacement.  When ``k > n/2`` the ``n - k`` users left *out* are
-drawn instead and the sample's sums are the group's sums minus theirs, so a
-draw never needs more than n/2 distinct indices.  Only the sampled indices
-are joined to the users -- simulations are never crossed with users.
-
-Poisson bootstrap: every user row is expanded to its replicates inside the
-scan stage, weighted by an inverse-CDF Poisson(1) draw and partially
-aggregated per (group, replicate) before the shuffle, so the shuffle holds
-groups x replicates rows per task whatever the number of users.
+prefix count).  Each (simulation, group) row draws indices ``floor(u * n)`` and
+keeps the first ``k`` distinct ones: a uniform sample without replacement.  A
+group smaller than ``k``, or a draw that falls short of ``k``, is an error.
+Only the sampled indices are joined to the users -- simulations are never
+crossed with users.
+
+Poisson bootstrap: users with the same (group, likes, views) are one cell, and
+the sum of their Poisson(1) weights is one Poisson(m) draw for m users, made
+of a draw for each power of two in m.  Work and shuffle follow the number of
+distinct cells, not of users.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.hashing import uniform01
-from pulsekit.functions.stats import poisson1_weight, welch_columns
+from pulsekit.functions.stats import poisson_draw, welch_columns
 from pulsekit.operators.prefix import dense_index
 from pulsekit.operators.spread import spread
 
-DRAW_FACTOR, DRAW_SLACK = 2, 32
+#: Draws of the bootstrap use tables of Poisson(1), (2), (4) .. (1 << TOP_POWER).
+TOP_POWER = 6
+
+
+def draws_for(n: Column, k: int) -> Column:
+    """Candidates to draw from n for k distinct: four times the expected number
+    and 64, of which a shortfall is practically impossible (and raises)."""
+    n = n.cast("double")
+    return F.ceil(F.lit(4.0) * n * F.log(n / (n - F.lit(float(k)) + F.lit(0.5))) + F.lit(64.0)).cast("int")
 
 
 def indexed_users(df: DataFrame, value_col: str, groups, group_col: str = "exp_group") -> DataFrame:
@@ -45,49 +52,31 @@ def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10
     (``replace=True``: with replacement, a bootstrap-style A/A check)."""
     a, b = groups
     users = indexed_users(df, value_col, groups, group_col)
-    sizes = users.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("value").alias("tot1"),
-        F.sum(F.col("value") * F.col("value")).alias("tot2"))
     n = F.col("n")
-    k_eff = F.lit(k).cast("long") if replace else F.least(F.lit(k), n)
-    out_mode = F.lit(False) if replace else k_eff * 2 > n
-    draws_needed = F.when(out_mode, n - k_eff).otherwise(k_eff)
-    sims = sizes.select(
-        group_col, "n", "tot1", "tot2", k_eff.alias("k"), out_mode.alias("out_mode"),
-        draws_needed.alias("kk"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_sims - 1).cast("long"))).alias("sim"))
-    sims = spread(sims, group_col, "sim")
+    sizes = users.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
+    if not replace:
+        small = F.raise_error(F.concat(F.lit(f"an A/A sample of {k} from a group of "), n.cast("string"))).cast("long")
+        sizes = sizes.select(group_col, F.when(n >= k, n).otherwise(small).alias("n"))
+    m = F.lit(k) if replace else draws_for(n, k)
+    sims = spread(sizes.select(group_col, "n", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(n_sims - 1).cast("long"))).alias("sim")), group_col, "sim")
     # draws j = 1..m per (sim, group): one code-generated row each; the
-    # first kk distinct indices in draw order form the sample
-    m = (F.col("kk") if replace else F.col("kk") * DRAW_FACTOR + DRAW_SLACK).cast("int")
-    raw = sims.select(group_col, "sim", "kk", "n", F.explode(F.sequence(F.lit(1), m)).alias("j"))
-    raw = raw.select(group_col, "sim", "kk", "j", F.floor(
-        uniform01(F.lit(seed), F.col("sim"), F.col(group_col), F.col("j")) * F.col("n")).cast("long").alias("idx"))
+    # first k distinct indices in draw order form the sample
+    raw = sims.select(group_col, "sim", "n", F.explode(F.sequence(F.lit(1), m)).alias("j"))
+    raw = raw.select(group_col, "sim", "j", F.floor(
+        uniform01(F.lit(seed), F.col("sim"), F.col(group_col), F.col("j")) * n).cast("long").alias("idx"))
     if replace:
-        drawn = raw.filter(F.col("j") <= F.col("kk")).select(group_col, "sim", "idx")
+        drawn = raw.select(group_col, "sim", "idx")
     else:
-        first = raw.groupBy(group_col, "sim", "idx").agg(F.min("j").alias("j"), F.max("kk").alias("kk"))
+        first = raw.groupBy(group_col, "sim", "idx").agg(F.min("j").alias("j"))
         order = Window.partitionBy(group_col, "sim").orderBy("j")
         drawn = (first.withColumn("_r", F.row_number().over(order))
-                      .filter(F.col("_r") <= F.col("kk")).select(group_col, "sim", "idx"))
+                      .filter(F.col("_r") <= k).select(group_col, "sim", "idx"))
     picked = drawn.join(users.select(group_col, "idx", "value"), [group_col, "idx"])
-    sums = picked.groupBy(group_col, "sim").agg(
-        F.count(F.lit(1)).alias("c"), F.sum("value").alias("s1"),
-        F.sum(F.col("value") * F.col("value")).alias("s2"))
-    per = sims.join(sums, [group_col, "sim"], "left").select(
-        group_col, "sim",
-        F.when(F.col("out_mode"), F.col("n") - F.coalesce(F.col("c"), F.lit(0)))
-         .otherwise(F.coalesce(F.col("c"), F.lit(0))).alias("cnt"),
-        F.when(F.col("out_mode"), F.col("tot1") - F.coalesce(F.col("s1"), F.lit(0.0)))
-         .otherwise(F.col("s1")).alias("s1"),
-        F.when(F.col("out_mode"), F.col("tot2") - F.coalesce(F.col("s2"), F.lit(0.0)))
-         .otherwise(F.col("s2")).alias("s2"))
-    cnt = F.col("cnt").cast("double")
-    per = per.select(group_col, "sim", "cnt",
-                     (F.col("s1") / cnt).alias("mean"),
-                     F.when(cnt > 1, (F.col("s2") - F.col("s1") * F.col("s1") / cnt) / (cnt - F.lit(1.0)))
-                      .alias("var"))
+    per = picked.groupBy(group_col, "sim").agg(
+        F.count(F.lit(1)).alias("cnt"), F.avg("value").alias("mean"), F.var_samp("value").alias("var"))
+    short = F.raise_error(F.concat(F.lit(f"an A/A run drew fewer than {k}: "), F.col("cnt").cast("string"))).cast("long")
+    per = per.withColumn("cnt", F.when(F.col("cnt") == k, F.col("cnt")).otherwise(short))
 
     def side(g, col):
         return F.max(F.when(F.col(group_col) == F.lit(g), F.col(col)))
@@ -102,12 +91,13 @@ def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10
 
 
 def false_positive_rate(sims: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Share of simulations with p <= alpha."""
+    """Share of all simulations with p <= alpha, and how many have no p."""
+    significant = F.count_if(F.col("p_value") <= F.lit(alpha))
     return sims.agg(
-        F.count("p_value").alias("n_sims"),
-        F.count_if(F.col("p_value") <= F.lit(alpha)).alias("n_significant"),
-        F.try_divide(F.count_if(F.col("p_value") <= F.lit(alpha)).cast("double"),
-                     F.count("p_value").cast("double")).alias("share"))
+        F.count(F.lit(1)).alias("n_sims"),
+        significant.alias("n_significant"),
+        F.count_if(F.col("p_value").isNull()).alias("n_undefined"),
+        F.try_divide(significant.cast("double"), F.count(F.lit(1)).cast("double")).alias("share"))
 
 
 def prob_a_gt_b_mc(df: DataFrame, value_col: str, a, b, n_draws: int = 10000, seed: int = 0,
@@ -129,16 +119,33 @@ def prob_a_gt_b_mc(df: DataFrame, value_col: str, a, b, n_draws: int = 10000, se
     return j.agg(
         F.count(F.lit(1)).alias("n_draws"),
         F.count_if(F.col("va") > F.col("vb")).alias("a_gt_b"),
-        (F.count_if(F.col("va") > F.col("vb")) / F.count(F.lit(1))).alias("share"))
+        F.try_divide(F.count_if(F.col("va") > F.col("vb")).cast("double"),
+                     F.count(F.lit(1)).cast("double")).alias("share"))
 
 
 def poisson_bootstrap(users: DataFrame, groups=(1, 2), n_bootstrap: int = 2000, seed: int = 0,
                       group_col: str = "exp_group") -> DataFrame:
-    """Per (replicate, group): Poisson(1)-weighted likes, views and global CTR."""
-    u = spread(users.filter(F.col(group_col).isin(*groups)).select(group_col, "user_id", "likes", "views"),
-               "user_id")
-    reps = u.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_bootstrap - 1).cast("long"))).alias("rep"))
-    w = poisson1_weight(uniform01(F.lit(seed), F.col("rep"), F.col("user_id")))
+    """Per (replicate, group): Poisson(1)-weighted likes, views and global CTR.
+    The weight of m users in one cell is drawn as Poisson(m): one draw for each
+    power of two in m up to TOP_POWER, and one of TOP_POWER for each time it is
+    in the rest."""
+    cells = (users.filter(F.col(group_col).isin(*groups)).groupBy(group_col, "likes", "views")
+             .agg(F.count(F.lit(1)).alias("m")))
+    top = 1 << TOP_POWER
+    parts = F.concat(
+        *[F.when((F.col("m").bitwiseAND(1 << b)) != 0, F.array(F.struct(F.lit(b).alias("b"), F.lit(0).cast("long").alias("i"))))
+          .otherwise(F.array().cast("array<struct<b:int,i:bigint>>")) for b in range(TOP_POWER)],
+        F.when(F.col("m") >= top, F.transform(
+            F.sequence(F.lit(1).cast("long"), F.floor(F.col("m") / top).cast("long")),
+            lambda i: F.struct(F.lit(TOP_POWER).alias("b"), i.alias("i"))))
+        .otherwise(F.array().cast("array<struct<b:int,i:bigint>>")))
+    pieces = spread(cells.select(group_col, "likes", "views", F.explode(parts).alias("p")), group_col, "likes", "views", "p")
+    reps = pieces.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_bootstrap - 1).cast("long"))).alias("rep"))
+    u = uniform01(F.lit(seed), F.col("rep"), F.col(group_col), F.col("likes"), F.col("views"), F.col("p.b"), F.col("p.i"))
+    reps = reps.withColumn("u", u)
+    w = F.lit(0).cast("long")
+    for b in range(TOP_POWER + 1):
+        w = F.when(F.col("p.b") == b, poisson_draw(F.col("u"), float(1 << b))).otherwise(w)
     weighted = reps.select(group_col, "rep", (w * F.col("likes")).alias("wl"), (w * F.col("views")).alias("wv"))
     agg = weighted.groupBy("rep", group_col).agg(F.sum("wl").alias("likes"), F.sum("wv").alias("views"))
     return agg.withColumn("global_ctr", F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")))
@@ -158,6 +165,7 @@ def bootstrap_diff(boot: DataFrame, a, b, group_col: str = "exp_group") -> DataF
     return d.agg(
         F.count("diff").alias("n_reps"),
         F.avg("diff").alias("mean_diff"),
-        (F.count_if(F.col("diff") > 0) / F.count("diff")).alias("share_positive"),
+        F.try_divide(F.count_if(F.col("diff") > 0).cast("double"),
+                     F.count("diff").cast("double")).alias("share_positive"),
         F.percentile("diff", F.lit(0.025)).alias("q025"),
         F.percentile("diff", F.lit(0.975)).alias("q975"))

@@ -35,11 +35,12 @@ def lin_likes(users: DataFrame, control: dict[int, int], group_col: str = "exp_g
             .drop("control_group", "control_ctr")
 
 
-def bucket_ctr(users: DataFrame, n_buckets: int = 50, q: float = 0.9, method: str = "md5",
+def bucket_ctr(users: DataFrame, n_buckets: int = 50, q: float | None = 0.9, method: str = "md5",
                group_col: str = "exp_group", q_name: str = "ctr9") -> DataFrame:
     """Per (group, bucket): sum(likes)/sum(views) and the exact ``q`` quantile
     of user CTR: the element at 0-based position floor(q * n) of the sorted
-    values (NULL CTRs left out).
+    values (NULL CTRs left out).  ``q`` None leaves the quantile out, for tests
+    that read only the ratio.
 
     The quantile is found from value counts: distinct (bucket, ctr) cells are
     aggregated first, then a running count per bucket picks the element --
@@ -50,6 +51,8 @@ def bucket_ctr(users: DataFrame, n_buckets: int = 50, q: float = 0.9, method: st
     ratio = b.groupBy(*keys).agg(
         safe_div(F.sum("likes"), F.sum("views")).alias("bucket_ctr"),
         F.count("ctr").alias("_n"))
+    if q is None:
+        return ratio.drop("_n")
     cells = b.filter(F.col("ctr").isNotNull()).groupBy(*keys, "ctr").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*keys).orderBy("ctr").rowsBetween(Window.unboundedPreceding, 0)
     cum = cells.withColumn("_cum", F.sum("_c").over(w)).join(ratio.select(*keys, "_n"), keys)

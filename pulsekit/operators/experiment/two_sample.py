@@ -42,7 +42,7 @@ def welch_test(df: DataFrame, value_col: str, pairs, group_col: str = "exp_group
 
 
 def rank_counts(df: DataFrame, value_col: str, a, b, group_col: str = "exp_group",
-                n_ranges: int = 64) -> DataFrame:
+                n_ranges: int | None = None) -> DataFrame:
     """(value, n_a, n_b, before_all, before_b): counts at each distinct value
     and the counts strictly below it."""
     d = (df.filter(F.col(group_col).isin(a, b) & F.col(value_col).isNotNull())
@@ -54,7 +54,7 @@ def rank_counts(df: DataFrame, value_col: str, a, b, group_col: str = "exp_group
 
 
 def mann_whitney(df: DataFrame, value_col: str, a, b, group_col: str = "exp_group",
-                 n_ranges: int = 64) -> DataFrame:
+                 n_ranges: int | None = None) -> DataFrame:
     """One row: n_a, n_b, u_a (U of sample a), u_b, z, p_value, and the exact
     P(A > B) / P(A = B) over all cross-group pairs."""
     r = rank_counts(df, value_col, a, b, group_col, n_ranges)
@@ -62,17 +62,18 @@ def mann_whitney(df: DataFrame, value_col: str, a, b, group_col: str = "exp_grou
     t = F.col("n_all").cast("double")
     s = r.agg(
         F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"),
-        F.sum(F.col("n_a") * avg_rank).alias("r_a"),
+        F.sum(F.col("n_a").cast("double") * avg_rank).alias("r_a"),
         F.sum(t * t * t - t).alias("ties"),
-        F.sum(F.col("n_a") * F.col("before_n_b")).alias("gt"),
-        F.sum(F.col("n_a") * F.col("n_b")).alias("eq"),
+        # products of counts pass the range of a long
+        F.sum(F.col("n_a").cast("double") * F.col("before_n_b")).alias("gt"),
+        F.sum(F.col("n_a").cast("double") * F.col("n_b")).alias("eq"),
     )
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     n = na + nb
     u_a = F.col("r_a") - na * (na + F.lit(1.0)) / F.lit(2.0)
     u_b = na * nb - u_a
     mu = na * nb / F.lit(2.0)
-    sd = F.sqrt(na * nb / F.lit(12.0) * ((n + F.lit(1.0)) - F.col("ties") / (n * (n - F.lit(1.0)))))
+    sd = F.sqrt(na * nb / F.lit(12.0) * ((n + F.lit(1.0)) - F.try_divide(F.col("ties"), n * (n - F.lit(1.0)))))
     z = F.when(sd > 0, (F.greatest(u_a, u_b) - mu - F.lit(0.5)) / sd)
     pairs = na * nb
     return s.select(

@@ -64,7 +64,7 @@ def metrics_15m(feed: DataFrame, messages: DataFrame, as_of_ts: dt.datetime,
     j = f.join(m, "ts", "full")
     if densify:
         grid = bucket_grid(feed.sparkSession, start, end, feed.schema["time"].dataType)
-        j = F.broadcast(grid).join(j, "ts", "left")
+        j = grid.join(j, "ts", "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
     ctr = safe_div(F.col("likes"), F.col("views"))
     if ctr_default is not None:

@@ -2,9 +2,9 @@
 
 ``Window.orderBy(x)`` with no partition key moves every row into a single
 task.  Instead the order column is cut into ``n_ranges`` value ranges
-(boundaries from ``approxQuantile``: ``n_ranges - 1`` numbers, the only
-thing brought to the driver), block totals per range are summed (a tiny
-frame: keys x ranges rows), their running offsets are broadcast back, and
+(boundaries from ``approxQuantile``: ``n_ranges - 1`` numbers, which with the
+row count is all that comes to the driver), block totals per range are summed (a
+tiny frame: keys x ranges rows), their running offsets are joined back, and
 the running sum inside each range is a window partitioned by range.
 Equal order values always fall in the same range.
 
@@ -23,11 +23,18 @@ from pulsekit.functions.hashing import hash_bucket
 from pulsekit.functions.stats import count_bounds_below_sql
 from pulsekit.operators.spread import materialize
 
-DEFAULT_RANGES = 64
-MAX_BROADCAST_BLOCKS = 1_000_000
+#: Rows of a range or an index bucket to aim at; ranges follow the row count.
+RANGE_ROWS = 200_000
+LEAST_RANGES, MOST_RANGES = 8, 2048
 _RID = "_range_id"
 
 
+def ranges_for(df: DataFrame) -> int:
+    """Ranges for a materialized frame: one for every RANGE_ROWS rows, within
+    bounds that keep the boundaries few enough for the driver."""
+    return int(min(MOST_RANGES, max(LEAST_RANGES, -(-df.count() // RANGE_ROWS))))
+
+
 def range_id(order_col: str, bounds: list[float]) -> Column:
     """Number of boundaries strictly below the value (0 .. len(bounds))."""
     name = "`" + order_col.replace("`", "``") + "`"
@@ -43,7 +50,7 @@ def range_bounds(df: DataFrame, order_col: str, n_ranges: int, rel_err: float =
 
 
 def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], by: list[str] | tuple = (),
-                     n_ranges: int = DEFAULT_RANGES, prefix: str = "before_",
+                     n_ranges: int | None = None, prefix: str = "before_",
                      checkpoint: bool = True) -> DataFrame:
     """Adds ``before_<c>``: sum of ``c`` over rows of the same ``by`` group
     with a smaller ``order_col``.
@@ -53,17 +60,13 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], by: lis
     by = list(by)
     if checkpoint:
         df = materialize(df)
-    bounds = range_bounds(df, order_col, n_ranges)
+    bounds = range_bounds(df, order_col, n_ranges or ranges_for(df))
     tagged = df.withColumn(_RID, range_id(order_col, bounds))
     blocks = tagged.groupBy(*by, _RID).agg(*[F.sum(c).alias(c) for c in sum_cols])
     wb = Window.partitionBy(*by).orderBy(_RID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(*by, _RID, *[
         F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_off_{c}") for c in sum_cols])
-    # offsets hold (#by groups) x n_ranges rows; the input is materialized,
-    # so counting them is cheap.  Broadcast only below the limit, else a
-    # regular shuffle join.
-    if not by or blocks.count() <= MAX_BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
+    # offsets hold (#by groups) x n_ranges rows; the join is chosen by their size
     joined = tagged.join(offsets, [*by, _RID], "inner")
     wr = Window.partitionBy(*by, _RID).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     return joined.select(*df.columns, *[

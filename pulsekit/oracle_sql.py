@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import math
 
-from pulsekit.functions.stats import (
-    DF_CUT, LARGE_DF, NORMAL_SPAN, POISSON1_CDF, SIMPSON_STEPS,
-)
+# The oracle's own settings.  Tails are integrated on a finer grid than the
+# operators use, so that the two agree only if both are right.
+SIMPSON_STEPS = 3000
+NORMAL_SPAN = 13.0
 
 
 # ----------------------------------------------------------------- snippets
@@ -63,9 +64,9 @@ def t_p(t: str, dof: str) -> str:
     at = f"abs({t})"
     sdf = f"sqrt({dof})"
     theta0 = f"atan({at} / {sdf})"
-    half_pi = repr(math.pi / 2.0)
-    den_hi = f"(CASE WHEN {dof} >= {LARGE_DF!r} THEN atan({DF_CUT!r} / {sdf}) ELSE {half_pi} END)"
-    num_hi = f"(CASE WHEN {dof} >= {LARGE_DF!r} THEN atan(({at} + {DF_CUT!r}) / {sdf}) ELSE {half_pi} END)"
+    # from the angle of t to where cos(x) ** (dof - 1) is 1e-35 times smaller
+    fall = f"exp(-80.0 / greatest({dof} - 1.0, 1e-9))"
+    den_hi, num_hi = f"acos({fall})", f"acos(cos({theta0}) * {fall})"
 
     def dens(x):
         return f"exp(({dof} - 1.0) * ln(greatest(cos({x}), 1e-300)))"
@@ -83,8 +84,13 @@ def norm_p(z: str) -> str:
     return f"(CASE WHEN {z} IS NULL THEN NULL ELSE least(2.0 * {tail}, 1.0) END)"
 
 
-def poisson1(u: str) -> str:
-    table = ", ".join(repr(c) for c in POISSON1_CDF)
+def poisson(u: str, mean: int) -> str:
+    """Draw by inverse CDF, from the probabilities' logarithms."""
+    points, total = [], 0.0
+    for k in range(mean + 12 * int(math.sqrt(mean)) + 25):
+        total = math.fsum([total, math.exp(k * math.log(mean) - mean - math.lgamma(k + 1))])
+        points.append(min(total, 1.0))
+    table = ", ".join(repr(c) for c in points if c < 1.0)
     return f"CAST(len(list_filter([{table}], lambda c: c <= {u})) AS BIGINT)"
 
 

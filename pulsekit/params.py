@@ -31,7 +31,11 @@ class Params:
     bucket_quantile: float = 0.9
     n_bootstrap: int = 2000
     n_aa_sims: int = 10000
-    aa_sample_size: int = 10
+    # users drawn from each group in an A/A run
+    aa_sample_size: int = 500
+    # the fixture's groups hold a few dozen users (34 at the scale of the checks),
+    # so its A/A queries pass this sample size instead, explicitly
+    aa_fixture_sample: int = 20
     n_pair_draws: int = 10000
     alpha: float = 0.05
     seed: int = 20240115

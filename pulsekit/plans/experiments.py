@@ -4,14 +4,13 @@ smoothed, bucketed and linearized metrics, bootstrap and histograms."""
 from __future__ import annotations
 
 from pulsekit.oracle_sql import (
-    norm_p, poisson1, r6 as s6, split as s_split, uniform as s_uniform, welch_sql, with_fixture,
+    norm_p, poisson, r6 as s6, split as s_split, uniform as s_uniform, welch_sql, with_fixture,
 )
 from pulsekit.operators.experiment import histogram as hist
-from pulsekit.operators.experiment import resample, tests, transforms, user_metrics as um
+from pulsekit.operators.experiment import resample, transforms, two_sample, user_metrics as um
 from pulsekit.params import DEFAULT_PARAMS as P
 from pulsekit.plans.catalog import r6, register
 from pulsekit.plans.daily import days_where
-from pulsekit.operators.prefix import INDEX_BUCKETS
 from pulsekit.operators.spread import materialize
 from pulsekit.sources import load_fixture_tables
 
@@ -155,25 +154,25 @@ WELCH_OUT = (f"SELECT group_a, group_b, n_a, n_b, {s6('mean_a')} AS mean_a, {s6(
 
 @register("welch_ctr", with_fixture(UC, _welch_sql("uc", "ctr", P.welch_pairs), WELCH_OUT))
 def q_welch_ctr(spark, sf_dir):
-    return r6(tests.welch_test(_users(spark, sf_dir), "ctr", P.welch_pairs))
+    return r6(two_sample.welch_test(_users(spark, sf_dir), "ctr", P.welch_pairs))
 
 
 @register("welch_smoothed", with_fixture(UC, SMOOTH, _welch_sql("sm", "smoothed_ctr", [AB]), WELCH_OUT))
 def q_welch_smoothed(spark, sf_dir):
     sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB, reuse=True), P.smooth_alpha)
-    return r6(tests.welch_test(sm, "smoothed_ctr", [AB]))
+    return r6(two_sample.welch_test(sm, "smoothed_ctr", [AB]))
 
 
 @register("welch_bucket", with_fixture(UC, BUCKETS, _welch_sql("bq", "bucket_ctr", [AB]), WELCH_OUT))
 def q_welch_bucket(spark, sf_dir):
-    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "md5")
-    return r6(tests.welch_test(b, "bucket_ctr", [AB]))
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, None, "md5")
+    return r6(two_sample.welch_test(b, "bucket_ctr", [AB]))
 
 
 @register("welch_lin_likes", with_fixture(UC, LIN, _welch_sql("ll", "lin_likes", P.lin_pairs), WELCH_OUT))
 def q_welch_lin_likes(spark, sf_dir):
     ll = transforms.lin_likes(_users(spark, sf_dir, reuse=True), P.lin_control)
-    return r6(tests.welch_test(ll, "lin_likes", P.lin_pairs))
+    return r6(two_sample.welch_test(ll, "lin_likes", P.lin_pairs))
 
 
 # ------------------------------------------------------------ Mann-Whitney
@@ -211,26 +210,26 @@ MWU_OUT = (f"SELECT group_a, group_b, n_a, n_b, {s6('u_a')} AS u_a, {s6('u_b')}
 
 @register("mwu_ctr", with_fixture(UC, _mwu_sql("uc", "ctr", *AB), MWU_OUT))
 def q_mwu_ctr(spark, sf_dir):
-    return r6(tests.mann_whitney(_users(spark, sf_dir, AB), "ctr", *AB))
+    return r6(two_sample.mann_whitney(_users(spark, sf_dir, AB), "ctr", *AB))
 
 
 @register("prob_a_gt_b", with_fixture(UC, _mwu_sql("uc", "ctr", *AB), f"""
     SELECT group_a, group_b, {s6('prob_a_gt_b')} AS prob_a_gt_b, {s6('prob_a_eq_b')} AS prob_a_eq_b FROM mw"""))
 def q_prob_a_gt_b(spark, sf_dir):
-    m = tests.mann_whitney(_users(spark, sf_dir, AB), "ctr", *AB)
+    m = two_sample.mann_whitney(_users(spark, sf_dir, AB), "ctr", *AB)
     return r6(m.select("group_a", "group_b", "prob_a_gt_b", "prob_a_eq_b"))
 
 
 @register("mwu_smoothed", with_fixture(UC, SMOOTH, _mwu_sql("sm", "smoothed_ctr", *AB), MWU_OUT))
 def q_mwu_smoothed(spark, sf_dir):
     sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB, reuse=True), P.smooth_alpha)
-    return r6(tests.mann_whitney(sm, "smoothed_ctr", *AB))
+    return r6(two_sample.mann_whitney(sm, "smoothed_ctr", *AB))
 
 
 @register("mwu_bucket", with_fixture(UC, BUCKETS, _mwu_sql("bq", "bucket_ctr", *AB), MWU_OUT))
 def q_mwu_bucket(spark, sf_dir):
-    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "md5")
-    return r6(tests.mann_whitney(b, "bucket_ctr", *AB))
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, None, "md5")
+    return r6(two_sample.mann_whitney(b, "bucket_ctr", *AB))
 
 
 # ------------------------------------------------------------ histograms
@@ -257,38 +256,30 @@ def q_ctr_histogram(spark, sf_dir):
 
 
 # ------------------------------------------------------------ seeded resampling
-N_SIMS, K = P.n_aa_sims, P.aa_sample_size
-# users are numbered in (md5 bucket, user_id) order, as operators.prefix.dense_index does
-IDX_ORDER = f"{s_split('user_id', None, INDEX_BUCKETS)}, user_id"
+# an A/A run draws aa_sample_size (500) users of each group; the fixture's groups
+# are smaller, so these queries name their own sample size
+N_SIMS, K = P.n_aa_sims, P.aa_fixture_sample
+# users are numbered by (remainder of md5 by 64, user_id)
+IDX_ORDER = f"{s_split('user_id', None, 64)}, user_id"
 A0, B0 = AA
 
 
 def _aa_sql() -> str:
-    kk = f"CASE WHEN least({K}, n) * 2 > n THEN n - least({K}, n) ELSE least({K}, n) END"
+    """Each run keeps the first K distinct of many candidates: how many there are
+    doesn't matter, as long as K are found."""
     w = welch_sql("n_a", "mean_a", "var_a", "n_b", "mean_b", "var_b")
     return f"""
 ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY {IDX_ORDER}) - 1 AS idx,
               ctr AS value
        FROM uc WHERE exp_group IN ({A0}, {B0}) AND ctr IS NOT NULL),
-sz AS (SELECT exp_group, count(*) AS n, sum(value) AS tot1, sum(value * value) AS tot2 FROM ui GROUP BY exp_group),
-sz2 AS (SELECT *, least({K}, n) * 2 > n AS out_mode, {kk} AS kk FROM sz),
-sims AS (SELECT sz2.*, r.sim FROM sz2 CROSS JOIN range(0, {N_SIMS}) r(sim)),
-dr AS (SELECT exp_group, sim, kk, n,
-              unnest(range(1, kk * {resample.DRAW_FACTOR} + {resample.DRAW_SLACK} + 1)) AS j FROM sims),
-dr2 AS (SELECT exp_group, sim, kk, j,
-               CAST(floor({s_uniform(str(SEED), 'sim', 'exp_group', 'j')} * n) AS BIGINT) AS idx FROM dr),
-fo AS (SELECT exp_group, sim, kk, idx, min(j) AS j FROM dr2 GROUP BY exp_group, sim, kk, idx),
+sz AS (SELECT exp_group, count(*) AS n FROM ui GROUP BY exp_group),
+dr AS (SELECT exp_group, sim, j, CAST(floor({s_uniform(str(SEED), 'sim', 'exp_group', 'j')} * n) AS BIGINT) AS idx
+       FROM sz, range(0, {N_SIMS}) r(sim), range(1, {6 * K}) t(j)),
+fo AS (SELECT exp_group, sim, idx, min(j) AS j FROM dr GROUP BY exp_group, sim, idx),
 pk AS (SELECT exp_group, sim, idx FROM fo
-       QUALIFY row_number() OVER (PARTITION BY exp_group, sim ORDER BY j) <= kk),
-sums AS (SELECT pk.exp_group, pk.sim, count(*) AS c, sum(value) AS s1, sum(value * value) AS s2
+       QUALIFY row_number() OVER (PARTITION BY exp_group, sim ORDER BY j) <= {K}),
+per2 AS (SELECT pk.exp_group, pk.sim, count(*) AS cnt, avg(value) AS mean, var_samp(value) AS var
          FROM pk JOIN ui ON ui.exp_group = pk.exp_group AND ui.idx = pk.idx GROUP BY pk.exp_group, pk.sim),
-per AS (SELECT sims.exp_group, sims.sim,
-               CASE WHEN out_mode THEN n - coalesce(c, 0) ELSE coalesce(c, 0) END AS cnt,
-               CASE WHEN out_mode THEN tot1 - coalesce(s1, 0.0) ELSE s1 END AS s1,
-               CASE WHEN out_mode THEN tot2 - coalesce(s2, 0.0) ELSE s2 END AS s2
-        FROM sims LEFT JOIN sums ON sums.exp_group = sims.exp_group AND sums.sim = sims.sim),
-per2 AS (SELECT exp_group, sim, cnt, s1 / cnt AS mean,
-                CASE WHEN cnt > 1 THEN (s2 - s1 * s1 / cnt) / (cnt - 1.0) END AS var FROM per),
 wide AS (SELECT sim,
                 max(CASE WHEN exp_group = {A0} THEN cnt END) AS n_a, max(CASE WHEN exp_group = {B0} THEN cnt END) AS n_b,
                 max(CASE WHEN exp_group = {A0} THEN mean END) AS mean_a,
@@ -314,8 +305,9 @@ def q_aa_simulation(spark, sf_dir):
 
 
 @register("aa_false_positive_rate", with_fixture(UC, _aa_sql(), f"""
-    SELECT count(p_value) AS n_sims, count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS n_significant,
-           {s6(f"CAST(count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS DOUBLE) / NULLIF(count(p_value), 0)")}
+    SELECT count(*) AS n_sims, count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS n_significant,
+           count(*) - count(p_value) AS n_undefined,
+           {s6(f"CAST(count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS DOUBLE) / NULLIF(count(*), 0)")}
              AS share
     FROM aa"""))
 def q_aa_false_positive_rate(spark, sf_dir):
@@ -347,9 +339,13 @@ def q_prob_a_gt_b_mc(spark, sf_dir):
 
 
 BOOT_SQL = f"""
-bw AS (SELECT r.rep, uc.exp_group, uc.likes, uc.views,
-              {poisson1(s_uniform(str(SEED), 'r.rep', 'uc.user_id'))} AS w
-       FROM uc CROSS JOIN range(0, {P.n_bootstrap}) r(rep) WHERE uc.exp_group IN ({_in(AB)})),
+cell AS (SELECT exp_group, likes, views, count(*) AS m FROM uc WHERE exp_group IN ({_in(AB)}) GROUP BY ALL),
+bit AS (SELECT exp_group, likes, views, b, 0 AS i FROM cell, range(0, 6) r(b) WHERE (m >> b) % 2 = 1
+        UNION ALL
+        SELECT exp_group, likes, views, 6, unnest(range(1, m // 64 + 1)) FROM cell),
+bu AS (SELECT r.rep, bit.*, {s_uniform(str(SEED), 'r.rep', 'exp_group', 'likes', 'views', 'b', 'i')} AS u
+       FROM bit, range(0, {P.n_bootstrap}) r(rep)),
+bw AS (SELECT *, CASE b {' '.join(f'WHEN {b} THEN {poisson("u", 2 ** b)}' for b in range(7))} END AS w FROM bu),
 boot AS (SELECT rep, exp_group, CAST(sum(w * likes) AS BIGINT) AS likes, CAST(sum(w * views) AS BIGINT) AS views
          FROM bw GROUP BY rep, exp_group)"""
 
@@ -403,7 +399,7 @@ def q_lin_likes_histogram(spark, sf_dir):
 
 @register("bucket_ctr_histogram", with_fixture(UC, BUCKETS, _hist("bq", "bucket_ctr"), "SELECT * FROM hist"))
 def q_bucket_ctr_histogram(spark, sf_dir):
-    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "md5")
+    b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, None, "md5")
     return r6(hist.histogram(b, "bucket_ctr", P.hist_bins, ("exp_group",)))
 
 
