@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -54,3 +55,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(shared_dir(spark), *parts)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the executors' Python workers, once per application:
+    their import path is not the driver's."""
+    context = spark.sparkContext
+    if getattr(context, "_pulsekit_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="pulsekit-"), "pulsekit-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._pulsekit_shipped = True
