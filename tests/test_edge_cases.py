@@ -1,6 +1,9 @@
 """Hand-made frames for the semantic traps listed in FIXTURES.md section 3."""
 
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pandas as pd
 import pytest
@@ -8,8 +11,10 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import fmt_fixed, fmt_percent, round_half_even
 from pulsekit.operators import anomaly, audience, mart, messaging
-from pulsekit.operators.experiment import transforms, user_metrics as um
-from pulsekit.sources import read_mart, write_mart
+from pulsekit.operators.experiment import resample, transforms, two_sample, user_metrics as um
+from pulsekit.operators.experiment.histogram import histogram
+from pulsekit.sources import create_mart_table, read_mart, write_mart
+from tests.conftest import ROOT, SF_SMALL
 
 FEED = "user_id long, time timestamp_ntz, action string, gender int, age int, os string, exp_group int"
 MSG = "user_id long, receiver_id long, time timestamp_ntz, gender int, age int, os string"
@@ -82,16 +87,115 @@ def test_receive_only_user_option(spark):
     assert got[99].messages_received == 1 and got[99].number_of_senders == 1
 
 
-def test_mart_rerun_replaces_partition(spark, tmp_path):
-    day = dt.datetime(2024, 1, 15, 9, 0)
-    f = feed_rows(spark, [(1, day, "view", 0, 20, "iOS", 1)])
-    m = spark.createDataFrame([(1, 2, day, 0, 20, "iOS")], MSG)
-    mt = mart.daily_slice_mart(f, m, AS_OF)
-    path = str(tmp_path / "mart")
-    write_mart(mt, path)
-    n1 = read_mart(spark, path).count()
-    write_mart(mt, path)
-    assert read_mart(spark, path).count() == n1 == 3
+@pytest.fixture
+def mart_table(spark, tmp_path):
+    name = "test_mart_" + tmp_path.name.replace("-", "_")
+    create_mart_table(spark, name, str(tmp_path / "mart"))
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def day_mart(spark, day):
+    at = dt.datetime.combine(day, dt.time(9))
+    f = feed_rows(spark, [(1, at, "view", 0, 20, "iOS", 1)])
+    m = spark.createDataFrame([(1, 2, at, 0, 20, "iOS")], MSG)
+    return mart.daily_slice_mart(f, m, day)
+
+
+def test_mart_rerun_replaces_partition(spark, mart_table):
+    before = AS_OF - dt.timedelta(days=1)
+    write_mart(day_mart(spark, before), mart_table, before)
+    for _ in range(2):
+        write_mart(day_mart(spark, AS_OF), mart_table, AS_OF)
+        assert read_mart(spark, mart_table).count() == 6
+        assert spark.table(mart_table).where(F.col("event_date") == F.lit(AS_OF)).count() == 3
+
+
+def test_mart_rerun_with_an_empty_day_clears_it(spark, mart_table):
+    before = AS_OF - dt.timedelta(days=1)
+    write_mart(day_mart(spark, before), mart_table, before)
+    write_mart(day_mart(spark, AS_OF), mart_table, AS_OF)
+    write_mart(day_mart(spark, AS_OF).where("false"), mart_table, AS_OF)
+    assert {r.event_date for r in read_mart(spark, mart_table).collect()} == {before}
+
+
+def test_mart_refuses_rows_of_another_day(spark, mart_table):
+    with pytest.raises(Exception, match="a row of another day"):
+        write_mart(day_mart(spark, AS_OF), mart_table, AS_OF - dt.timedelta(days=1))
+
+
+def test_messages_without_receiver_keep_their_sender(spark):
+    at, day = dt.datetime(2024, 1, 14, 10), dt.date(2024, 1, 14)
+    f = feed_rows(spark, [(1, at, "view", 0, 20, "iOS", 1), (2, at, "view", 1, 30, "iOS", 1)])
+    m = spark.createDataFrame([(1, 9, at, 0, 20, "iOS"), (2, None, at, 1, 30, "iOS")], MSG)
+    assert audience.dau_both(f, m, AS_OF).first().users == 2
+    assert audience.dau_feed_only(f, m, AS_OF).collect() == []
+    rows = {r.user_id: r for r in messaging.message_user_slice(m, day).collect()}
+    assert set(rows) == {1, 2}
+    assert (rows[2].messages_sent, rows[2].number_of_receivers) == (0, 0)
+    assert (rows[1].messages_sent, rows[1].number_of_receivers) == (1, 1)
+    for daily in (messaging.message_daily, messaging.message_daily_weighted):
+        r = daily(m, AS_OF).first()
+        assert (r.number_of_user_id, r.messages_sent, r.number_of_receivers) == (2, 1, 1)
+
+
+def test_sender_with_two_looks_has_two_rows_with_the_same_totals(spark):
+    at, day = dt.datetime(2024, 1, 14, 10), dt.date(2024, 1, 14)
+    m = spark.createDataFrame([(1, 9, at, 0, 20, "iOS"), (1, 9, at, 0, 20, "Android"), (9, 1, at, 1, 30, "iOS")], MSG)
+    rows = [r for r in messaging.message_user_slice(m, day).collect() if r.user_id == 1]
+    assert {r.os for r in rows} == {"iOS", "Android"}
+    assert all((r.messages_sent, r.number_of_receivers, r.messages_received, r.number_of_senders) == (2, 1, 1, 1)
+               for r in rows)
+
+
+def test_alert_text_names_its_slice(spark):
+    rows = [("dau", os, dt.datetime(2024, 1, 15, 10, 15 * i), float(v)) for os in ("iOS", "Android")
+            for i, v in enumerate((1, 2))]
+    keys = ("metric", "os")
+    bands = anomaly.anomaly_bands(spark.createDataFrame(rows, "metric string, os string, ts timestamp_ntz, value double"),
+                                  keys=keys)
+    got = anomaly.alert_messages(anomaly.anomaly_flags(bands, keys), keys=keys).collect()
+    assert {r.os for r in got} == {"iOS", "Android"}
+    assert all(f"[os = {r.os}]" in r.message for r in got)
+
+
+def test_histogram_leaves_nan_out(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,), (3.0,)], "v double")
+    rows = sorted(histogram(df, "v", 2).collect(), key=lambda r: r.bin)
+    assert [(r.bin, r.lower, r.upper, r["count"]) for r in rows] == [(0, 1.0, 2.0, 1), (1, 2.0, 3.0, 2)]
+    assert histogram(df.where("v is null"), "v", 2).collect() == []
+
+
+def test_tests_on_tiny_groups_give_null(spark):
+    one = spark.createDataFrame([(1, 0.5)], "exp_group int, ctr double")
+    r = two_sample.mann_whitney(one, "ctr", 1, 2).first()
+    assert r.n_a == 1 and r.n_b == 0 and r.p_value is None and r.prob_a_gt_b is None
+    assert two_sample.welch_test(one, "ctr", [(1, 2)]).first().p_value is None
+    users = one.withColumn("user_id", F.lit(1).cast("long"))
+    assert resample.prob_a_gt_b_mc(users, "ctr", 1, 2, 10).first().share is None
+    boot = spark.createDataFrame([(0, 1, 0.5)], "rep long, exp_group int, global_ctr double")
+    assert resample.bootstrap_diff(boot, 1, 2).first().share_positive is None
+
+
+def test_rank_sums_of_billions(spark, monkeypatch):
+    counts = spark.createDataFrame([(0.1, 4 * 10**9, 4 * 10**9, 8 * 10**9, 0, 0),
+                                    (0.2, 4 * 10**9, 4 * 10**9, 8 * 10**9, 8 * 10**9, 4 * 10**9)],
+                                   "value double, n_a long, n_b long, n_all long, before_n_all long, before_n_b long")
+    monkeypatch.setattr(two_sample, "rank_counts", lambda *a, **k: counts)
+    r = two_sample.mann_whitney(counts, "value", 1, 2).first()
+    assert r.prob_a_gt_b == pytest.approx(0.25) and r.prob_a_eq_b == pytest.approx(0.5)
+
+
+def test_workers_get_the_package(tmp_path):
+    """A job started in another folder: the package is only on the driver's path."""
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "import __spark_entry__ as E\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "print('ROWS', E.queries()['welch_ctr'](s, %r).count())\n" % (ROOT, SF_SMALL))
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300,
+                         env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert "ROWS 3" in out.stdout, out.stderr[-2000:]
 
 
 def test_bucket_quantile_edge(spark):

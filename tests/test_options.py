@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.operators import feed as feedm, intraday
@@ -49,12 +51,38 @@ def test_aa_with_replacement(spark):
     assert all(r.p_value is None or 0.0 <= r.p_value <= 1.0 for r in rows)
 
 
-def test_aa_without_replacement_complement_mode(spark):
-    # k > n/2 draws the users left out; sample sizes are still exactly k
+def test_aa_draws_exactly_k_up_to_the_whole_group(spark):
     fd, _ = load_fixture_tables(spark, "/root/testdata/sf0.01")
     users = um.user_ctr(fd, P.exp_start, P.exp_end, P.aa_groups)
-    sizes = {r.exp_group: r.n for r in users.filter(F.col("ctr").isNotNull())
-             .groupBy("exp_group").agg(F.count("*").alias("n")).collect()}
-    k = min(sizes.values()) - 3
-    rows = resample.aa_simulation(users, "ctr", P.aa_groups, n_sims=50, k=k, seed=9).collect()
-    assert all(r.n_a == k and r.n_b == k for r in rows)
+    n = min(r.n for r in users.filter(F.col("ctr").isNotNull())
+            .groupBy("exp_group").agg(F.count("*").alias("n")).collect())
+    for k in (2, n // 2, n - 3, n):
+        rows = resample.aa_simulation(users, "ctr", P.aa_groups, n_sims=50, k=k, seed=9).collect()
+        assert len(rows) == 50 and all(r.n_a == k and r.n_b == k for r in rows)
+    with pytest.raises(Exception, match="an A/A sample of"):
+        resample.aa_simulation(users, "ctr", P.aa_groups, n_sims=5, k=n + 1, seed=9).collect()
+    assert P.aa_sample_size == 500
+
+
+def test_aa_variance_of_large_values(spark):
+    rows = [(g, 100 * g + i, 1e9 + i % 7) for g in (2, 3) for i in range(20)]
+    users = spark.createDataFrame(rows, "exp_group int, user_id long, ctr double")
+    got = resample.aa_simulation(users, "ctr", (2, 3), n_sims=20, k=20, seed=1).collect()
+    want = pd.Series([1e9 + i % 7 for i in range(20)])
+    assert all(abs(r.mean_a - want.mean()) < 1e-3 and r.t_stat == 0 and abs(r.dof - 38) < 1e-6 for r in got)
+    got = resample.aa_simulation(users, "ctr", (2, 3), n_sims=20, k=15, seed=1).collect()
+    assert all(r.p_value is not None and 0 <= r.p_value <= 1 for r in got)
+    share = resample.false_positive_rate(spark.createDataFrame([(0.01,), (None,), (0.5,), (0.6,)], "p_value double")).first()
+    assert (share.n_sims, share.n_significant, share.n_undefined, share.share) == (4, 1, 1, 0.25)
+
+
+def test_bootstrap_weights_are_poisson_of_the_cell(spark):
+    m = 200                                          # 64 three times, and 8
+    users = spark.createDataFrame([(1, i, 1, 1) for i in range(m)] + [(2, 1000, 1, 1)],
+                                  "exp_group int, user_id long, likes long, views long")
+    got = resample.poisson_bootstrap(users, (1, 2), 4000, seed=3).toPandas()
+    w = got[got.exp_group == 1].views
+    assert abs(w.mean() - m) < 4 * (m / 4000) ** 0.5
+    assert 0.9 < w.var() / m < 1.1
+    one = got[got.exp_group == 2].views
+    assert abs(one.mean() - 1) < 0.1 and 0.9 < one.var() < 1.1

@@ -3,11 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.conftest import SF_SMALL
+from pulsekit.plans import catalog
+from tests.conftest import SF_MID, SF_SMALL
 from tools.oracle_check import compare, duck, type_mismatches
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+catalog.load_all()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
+#: The A/A sample is larger than the smallest fixture's groups.
+MID_ONLY = {"aa_simulation", "aa_false_positive_rate", "p_value_histogram"}
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +18,15 @@ def con():
     return duck(SF_SMALL)
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+
+
+def test_a_group_below_the_sample_size_is_an_error(spark):
+    with pytest.raises(Exception, match="an A/A sample of 20 from a group of"):
+        QUERIES["aa_simulation"](spark, SF_SMALL).collect()
+
+
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
@@ -29,7 +41,9 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    frame = QUERIES[name](spark, SF_SMALL)
+    sf = SF_MID if name in MID_ONLY else SF_SMALL
+    con = duck(sf) if name in MID_ONLY else con
+    frame = QUERIES[name](spark, sf)
     got = frame.toPandas()
     want = con.sql(ORACLE[name]).df()
     assert compare(got, want) is None

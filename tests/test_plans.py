@@ -4,10 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
-from tests.conftest import SF_SMALL
+from pulsekit.plans import catalog
+from tests.conftest import SF_MID, SF_SMALL
 
-QUERIES = E.queries()
+catalog.load_all()
+QUERIES = catalog.QUERIES
 
 
 def _plan(df) -> str:
@@ -21,7 +22,8 @@ def _final_plan(df) -> str:
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products(spark, name):
-    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    sf = SF_MID if name.startswith(("aa_", "p_value")) else SF_SMALL
+    plan = _plan(QUERIES[name](spark, sf))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
@@ -37,10 +39,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert set(f.split(":")[0] for f in schema.split(",")) == {"ts", "user_id", "event_type"}
 
 
-def test_message_log_scanned_once(spark):
-    plan = _final_plan(QUERIES["message_user_slice"](spark, SF_SMALL))
-    assert plan.count("FileScan parquet") == 1
-    assert "ReusedExchange" in plan
+@pytest.mark.parametrize("name,scans,exchanges", [
+    ("likes_7d", 1, 1), ("views_7d", 1, 1), ("ctr_7d", 1, 1),
+    ("message_user_slice", 1, 2), ("message_daily", 1, 3), ("message_daily_weighted", 1, 3),
+    ("user_day_merged", 2, 4), ("welch_bucket", 0, 2),
+])
+def test_scans_and_exchanges(spark, name, scans, exchanges):
+    plan = _final_plan(QUERIES[name](spark, SF_SMALL))
+    assert plan.count("FileScan parquet") == scans
+    assert len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange ", plan)) <= exchanges
 
 
 def test_mart_is_one_grouping_sets_aggregate(spark):
@@ -52,3 +59,5 @@ def test_bootstrap_partially_aggregates_before_shuffle(spark):
     plan = _plan(QUERIES["poisson_bootstrap"](spark, SF_SMALL))
     # replicate rows are generated and partially summed in one stage
     assert re.search(r"HashAggregate\(keys=\[rep#\d+L?, exp_group#\d+\], functions=\[partial_sum", plan)
+    # of cells, not users
+    assert re.search(r"HashAggregate\(keys=\[exp_group#\d+, likes#\d+L?, views#\d+L?\], functions=\[partial_count", plan)

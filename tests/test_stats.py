@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from pulsekit.functions.hashing import ab_split, uniform01
 from pulsekit.functions.stats import (
-    POISSON1_CDF, normal_two_sided_p_np, poisson1_weight, t_two_sided_p_np,
+    normal_two_sided_p_np, poisson_cdf_table, poisson_draw, t_two_sided_p_np,
 )
-from pulsekit.operators.experiment import tests as T
+from pulsekit.operators.experiment import two_sample as T
 from pulsekit.operators.prefix import exclusive_prefix
 
 
@@ -59,8 +59,8 @@ def test_split_matches_python_md5(spark):
 
 
 def test_poisson_weights(spark):
-    assert POISSON1_CDF[0] == pytest.approx(math.exp(-1))
-    df = spark.range(200000).select(poisson1_weight(uniform01(F.lit(7), F.col("id"))).alias("w"))
+    assert poisson_cdf_table(1.0)[0] == pytest.approx(math.exp(-1))
+    df = spark.range(200000).select(poisson_draw(uniform01(F.lit(7), F.col("id")), 1.0).alias("w"))
     row = df.agg(F.avg("w").alias("m"), F.var_samp("w").alias("v"), F.min("w").alias("lo")).first()
     assert row.lo == 0
     assert abs(row.m - 1.0) < 0.01 and abs(row.v - 1.0) < 0.02
@@ -124,10 +124,9 @@ def test_welch_matches_formula(spark):
     assert r.p_value == pytest.approx(float(t_two_sided_p_np(np.array([t]), np.array([dof]))[0]))
 
 
-def test_prefix_sums_without_broadcast(spark, monkeypatch):
-    # above the size limit the offsets are joined without a broadcast hint
+def test_prefix_sums_whatever_the_ranges(spark):
     import pulsekit.operators.prefix as prefix
-    monkeypatch.setattr(prefix, "MAX_BROADCAST_BLOCKS", 0)
+    assert prefix.ranges_for(spark.range(10)) == prefix.LEAST_RANGES
     rows = [(g, float(v), 1) for g in (1, 2, 3) for v in range(200)]
     df = spark.createDataFrame(rows, "g int, x double, c long")
     got = prefix.exclusive_prefix(df, "x", ["c"], by=["g"], n_ranges=8).toPandas()
@@ -141,3 +140,17 @@ def test_dense_index_is_a_bijection(spark):
     out = dense_index(spark.createDataFrame(rows, "g int, user_id long"), ["g"], "user_id").toPandas()
     for g, part in out.groupby("g"):
         assert sorted(part["idx"]) == list(range(len(part)))
+
+
+@pytest.mark.parametrize("t,df,p", [
+    (12.706204736432095, 1.0, 0.05), (2.2281388519649385, 10.0, 0.05), (1.0, 8.0, 0.34659350708733416),
+    (1.9719565442493954, 199.0, 0.05), (1.9718962236316089, 200.0, 0.05), (1.9718365041462513, 201.0, 0.05),
+    (1.9599663568160847, 1e6, 0.05)])
+def test_t_tail_at_known_points(t, df, p):
+    assert t_two_sided_p_np(np.array([t]), np.array([df]))[0] == pytest.approx(p, abs=2e-8)
+
+
+def test_t_tail_has_no_step():
+    df = np.linspace(150, 250, 401)
+    p = t_two_sided_p_np(np.full(len(df), 2.0), df)
+    assert (np.diff(p) < 0).all() and np.abs(np.diff(p, 2)).max() < 2e-8
