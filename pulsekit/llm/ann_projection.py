@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulsekit.session import ship
 from pulsekit.llm.common import job_dir, written
 
 
@@ -129,6 +130,7 @@ class Cells:
 
 def valid_vectors(embeddings: DataFrame) -> DataFrame:
     """vec_id and vec (doubles) of the rows that take part."""
+    ship(embeddings.sparkSession)
     vec = F.col("embedding").cast("array<double>")
     ok = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) \
         & F.exists(vec, lambda x: x != 0)
@@ -166,15 +168,24 @@ def search(embeddings: DataFrame, is_query, k: int = 5, dims: int = 12, confiden
     limit = chi_square_limit(confidence, dims)
     n = rows.count()
     wanted = max(1, -(-n // cell_rows))
-    # the sample: at most sample_rows vectors come to the driver
     share = min(1.0, 0.8 * sample_rows / max(1, n))
+
+    def projected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, x in by_dimension(b, 0):
+                p = unit(x + 0.0) @ projection(x.shape[1], dims, seed)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x.shape[1]] * len(x), pa.int32()), pa.array(p.tolist(), pa.list_(pa.float64()))],
+                    names=["size", "point"])
+
+    # at most sample_rows points of ``dims`` coordinates come to the driver
     sample = (rows.where(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20))
-              .select("vec").distinct().limit(sample_rows).toArrow().combine_chunks())
-    cells: dict[int, Cells] = {}
-    for batch in sample.to_batches():
-        for _, x in by_dimension(batch, 0):
-            size = x.shape[1]
-            cells[size] = Cells(unit(x) @ projection(size, dims, seed), min(wanted, max(1, len(x) // 16)))
+              .select("vec").mapInArrow(projected, "size int, point array<double>")
+              .distinct().limit(sample_rows).toArrow())
+    size_of = np.asarray(sample.column("size"))
+    points = np.array(sample.column("point").to_pylist(), float).reshape(-1, dims)
+    cells = {int(size): Cells(points[size_of == size], min(wanted, max(1, int((size_of == size).sum()) // 16)))
+             for size in np.unique(size_of)}
     n_shards = max(1, -(-n // (cell_rows * sum((len(c.boxes) for c in cells.values()), 0) or 1)))
 
     def cell_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsekit.session import ship
 from pulsekit.llm.common import pieces
 
 WIDTHS = (2, 3, 4, 5)
@@ -120,6 +121,7 @@ def train(docs: DataFrame, trainable, docs_per_lang: int = 600, windows_per_doc:
           window: int = 256, seed: int = 7) -> ByteCNN | None:
     """A network for the languages of the ``trainable`` rows; at most
     docs_per_lang x windows_per_doc windows of each come to the driver."""
+    ship(docs.sparkSession)
     rows = docs.where(trainable).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
@@ -177,6 +179,7 @@ def predict(docs: DataFrame, model: ByteCNN | None, carry: bool = False) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[1:], pa.array(lang), pa.array(score, pa.float64())], names=names)
 
+    ship(docs.sparkSession)
     text = F.col("text").cast("string").alias("__text")
     rows = docs.select(text, *(docs.columns if carry else [F.col("doc_id").cast("long").alias("doc_id")]))
     names = rows.columns[1:] + (["__lang_pred", "__score"] if carry else ["lang_pred", "score"])

@@ -11,16 +11,18 @@ import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsekit.session import shared_path
+from pulsekit.session import shared_path, ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def job_dir(spark: SparkSession, name: str) -> str:
     """A new folder for this job's tables and files, in the shared folder the
     cluster names in ``spark.checkpoint.dir``."""
+    ship(spark)
     return shared_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
@@ -35,6 +37,7 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns an operator reads, whatever else (and however
     named) the table carries; a null text is the empty text."""
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
