@@ -1,7 +1,7 @@
 """Metric transforms: smoothed CTR, linearized likes, hash buckets.
 
 Group-level numbers (global CTR per group, the control mapping) are one
-row per experiment group, so they are broadcast to the user rows.
+row per experiment group; they are broadcast to the user rows if they are few.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from pulsekit.functions.columns import safe_div
 from pulsekit.functions.hashing import hash_bucket
 from pulsekit.operators.experiment.user_metrics import global_ctr
+from pulsekit.operators.spread import broadcast_if_few
 
 
 def smoothed_ctr(users: DataFrame, alpha: float = 5.0, group_col: str = "exp_group") -> DataFrame:
     """(likes + alpha * G) / (views + alpha), G = global CTR of the user's group."""
     g = global_ctr(users, group_col).select(group_col, "global_ctr")
-    j = users.join(F.broadcast(g), group_col, "left")
+    j = users.join(broadcast_if_few(g), group_col, "left")
     sm = (F.col("likes") + F.lit(alpha) * F.col("global_ctr")) / (F.col("views") + F.lit(alpha))
     return j.withColumn("smoothed_ctr", sm).drop("global_ctr")
 
@@ -30,7 +31,7 @@ def lin_likes(users: DataFrame, control: dict[int, int], group_col: str = "exp_g
     g = global_ctr(users, group_col).select(F.col(group_col).alias("control_group"),
                                             F.col("global_ctr").alias("control_ctr"))
     m = cmap.join(g, "control_group")        # one row per mapped group
-    j = users.join(F.broadcast(m), group_col, "inner")
+    j = users.join(broadcast_if_few(m), group_col, "inner")
     return j.withColumn("lin_likes", F.col("likes") - F.col("control_ctr") * F.col("views")) \
             .drop("control_group", "control_ctr")
 

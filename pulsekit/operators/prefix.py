@@ -74,26 +74,29 @@ def exclusive_prefix(df: DataFrame, order_col: str, sum_cols: list[str], by: lis
         for c in sum_cols])
 
 
-INDEX_BUCKETS = 64
+#: Users are numbered by this many md5 buckets, then by id.
+INDEX_ORDER = 1 << 20
 
 
-def dense_index(df: DataFrame, by: list[str], order_col: str, name: str = "idx",
-                n_buckets: int = INDEX_BUCKETS) -> DataFrame:
+def dense_index(df: DataFrame, by: list[str], order_col: str, name: str = "idx") -> DataFrame:
     """0-based position of each row within its ``by`` group, in the order
     (md5 bucket of ``order_col``, ``order_col``) -- a fixed bijection onto
-    0..n-1 that needs no global sort: rows per (group, bucket) are counted,
-    their running offsets (groups x n_buckets rows, broadcast) are joined
-    back, and positions inside a bucket come from a window partitioned by
-    (group, bucket).  Values of ``order_col`` must be unique per group.
+    0..n-1 that needs no global sort: the buckets are cut into as many runs as the
+    rows ask for, rows per (group, run) are counted, their running offsets (groups x
+    runs rows) are joined back, and positions inside a run come from a window
+    partitioned by (group, run).  Values of ``order_col`` must be unique per group.
 
-    The result is materialized: callers read it several times (sizes, joins).
-    ``by`` is meant for a handful of groups (experiment groups).
+    Input and result are materialized: callers read them several times (sizes,
+    joins).  ``by`` is meant for a handful of groups (experiment groups).
     """
-    tagged = df.withColumn("_ib", hash_bucket(F.col(order_col), n_buckets, "md5"))
-    blocks = tagged.groupBy(*by, "_ib").agg(F.count(F.lit(1)).alias("_c"))
-    wb = Window.partitionBy(*by).orderBy("_ib").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(*by, "_ib", F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
-    joined = tagged.join(F.broadcast(offsets), [*by, "_ib"], "inner")
-    wr = Window.partitionBy(*by, "_ib").orderBy(order_col)
+    df = materialize(df)
+    runs = 1 << (ranges_for(df) - 1).bit_length()
+    tagged = (df.withColumn("_ib", hash_bucket(F.col(order_col), INDEX_ORDER, "md5"))
+              .withColumn("_ir", F.floor(F.col("_ib") * runs / INDEX_ORDER).cast("int")))
+    blocks = tagged.groupBy(*by, "_ir").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*by).orderBy("_ir").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*by, "_ir", F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
+    joined = tagged.join(offsets, [*by, "_ir"], "inner")
+    wr = Window.partitionBy(*by, "_ir").orderBy("_ib", order_col)
     out = joined.withColumn(name, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
-    return materialize(out.drop("_ib", "_off"))
+    return materialize(out.drop("_ib", "_ir", "_off"))

@@ -42,3 +42,13 @@ def materialize(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+
+#: Rows of a frame that goes to every task.
+FEW_ROWS = 100_000
+
+
+def broadcast_if_few(df: DataFrame, rows: int = FEW_ROWS) -> DataFrame:
+    """``df`` with the hint to broadcast it if it has at most ``rows`` rows; a
+    larger one is left to the join's own choice.  Counts the frame once."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -259,8 +259,8 @@ def q_ctr_histogram(spark, sf_dir):
 # an A/A run draws aa_sample_size (500) users of each group; the fixture's groups
 # are smaller, so these queries name their own sample size
 N_SIMS, K = P.n_aa_sims, P.aa_fixture_sample
-# users are numbered by (remainder of md5 by 64, user_id)
-IDX_ORDER = f"{s_split('user_id', None, 64)}, user_id"
+# users are numbered by (remainder of md5 by 2 ** 20, user_id)
+IDX_ORDER = f"{s_split('user_id', None, 1048576)}, user_id"
 A0, B0 = AA
 
 
