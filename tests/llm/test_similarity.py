@@ -84,8 +84,11 @@ def brute_components(rows, words, num, den):
     return [(doc, len(s), least.get(find(i)) if s else doc) for i, ((doc, _), s) in enumerate(zip(rows, sets))]
 
 
-@pytest.mark.parametrize("words,num,den,list_rows,bits", [(4, 85, 100, 64, 20), (3, 30, 100, 3, 8)])
-@pytest.mark.parametrize("name", ["edge_docs", "small_docs", "copies"])
+CONTRACT, HARD = (4, 85, 100, 64, 20), (3, 30, 100, 3, 8)
+
+
+@pytest.mark.parametrize("name,words,num,den,list_rows,bits", [
+    ("edge_docs", *CONTRACT), ("small_docs", *HARD), ("copies", *CONTRACT), ("copies", *HARD)])
 def test_op7(name, words, num, den, list_rows, bits, spark, request):
     if name == "copies":
         rng = np.random.default_rng(3)
