@@ -7,6 +7,9 @@ that end so; the discounts of each order come from its counts of counts; a
 table of probabilities and one of back-off weights follow by joins on contexts
 and shorter n-grams, order by order.
 
+Which documents are trusted is looked up by id, block by block, and written to
+the shared folder, so that the counting reads texts where they are.
+
 Documents are read in blocks.  A block asks for its distinct n-grams, packed by
 shard; the distinct n-grams of all blocks are joined to the tables, and those
 not seen in training back off by further joins, order by order; each shard then
@@ -37,6 +40,10 @@ from pulsekit.llm.common import job_dir, pieces, splitmix, written
 
 #: Probability of a byte of which nothing is known.
 FLAT = 1 / 256
+#: Text of a block.
+BLOCK_BYTES = 32_000_000
+#: A table of a row per language goes to every task if it has at most so many.
+MOST_LANGUAGES = 10_000
 
 
 def ngram_keys(text: bytes, order: int) -> np.ndarray:
@@ -135,9 +142,94 @@ def raw_texts(b: pa.RecordBatch) -> list[bytes]:
     return b.column(0).cast(pa.binary()).to_pylist()
 
 
-def count_ngrams(texts: DataFrame, order: int, limit: int = 1_000_000) -> DataFrame:
-    """(g, c) of a table with one column text; a task adds up to ``limit``
-    distinct n-grams before it passes them on."""
+def put_files(parts: DataFrame, folder: str) -> DataFrame:
+    """The column ``data`` of a block's rows, in the order of ``part``, becomes
+    the file ``folder``/block; a row per file."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        store, root = file_store(folder)
+        store.create_dir(root, recursive=True)
+        block, held = None, []
+
+        def close():
+            own = f"{root}/_{block}.{TaskContext.get().taskAttemptId()}"
+            with store.open_output_stream(own) as f:
+                f.write(b"".join(held))
+            store.move(own, f"{root}/{block}")
+            return pa.RecordBatch.from_arrays([pa.array([block])], names=["block"])
+
+        for b in batches:
+            for name, data in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                if block not in (None, name):
+                    yield close()
+                    held = []
+                block = name
+                held.append(data)
+        if block:
+            yield close()
+
+    return (parts.select("block", "part", "data").repartition("block").sortWithinPartitions("block", "part")
+            .mapInArrow(put, "block string"))
+
+
+def file_store(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+
+
+def get_file(store, root: str, block: str) -> bytes:
+    from pyarrow import fs
+
+    if store.get_file_info(f"{root}/{block}").type == fs.FileType.NotFound:
+        raise ValueError("the documents came in another order on their second reading: write the table first")
+    with store.open_input_file(f"{root}/{block}") as f:
+        return f.read()
+
+
+def marked(docs: DataFrame, ids: DataFrame, folder: str, block_bytes: int) -> str:
+    """A folder with a file for each block of ``docs`` (text, doc_id, ...): a byte
+    per document, 1 if its doc_id is in ``ids``.  Only ids move."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, held in blocks_of(batches, block_bytes):
+            at = 0
+            for b in held:
+                n = b.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * n), pa.array(np.arange(at, at + n)), b.column(1)], names=["block", "part", "id"])
+                at += n
+
+    asked = docs.mapInArrow(ask, "block string, part long, id long")
+    known = ids.select(F.col("doc_id").alias("id"), F.lit(1).alias("yes"))
+    bit = F.when(F.col("yes") == 1, F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00")))
+    files = put_files(asked.join(known, "id", "left").select("block", "part", bit.alias("data")), f"{folder}/marks")
+    written(files, folder, "marked")
+    return f"{folder}/marks"
+
+
+def count_marked(docs: DataFrame, marks: str, order: int, block_bytes: int, limit: int = 1_000_000) -> DataFrame:
+    """As ``count_ngrams``, of the marked texts that are not held back."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = file_store(marks)
+        for name, held in blocks_of(batches, block_bytes):
+            data = np.frombuffer(get_file(store, root, name), np.uint8)
+            at = 0
+            for b in held:
+                use = (data[at:at + b.num_rows] == 1) & ~np.asarray(b.column(2))
+                at += b.num_rows
+                yield b.filter(pa.array(use))
+
+    return count_ngrams(docs, order, limit, texts)
+
+
+def count_ngrams(texts: DataFrame, order: int, limit: int = 1_000_000, chosen=lambda batches: batches) -> DataFrame:
+    """(g, c) of the first column of a table (text), of the rows that ``chosen``
+    leaves; a task adds up to ``limit`` distinct n-grams before it passes them
+    on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -146,7 +238,7 @@ def count_ngrams(texts: DataFrame, order: int, limit: int = 1_000_000) -> DataFr
             for lo in range(0, len(x[0]), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(v[lo:lo + 100_000]) for v in x], names=["g", "c"])
 
-        for batch in batches:
+        for batch in chosen(batches):
             for b in pieces(batch):
                 held = merged(held, distinct(raw_texts(b), order))
                 if len(held[0]) > limit:
@@ -161,9 +253,10 @@ class Model:
     """Tables of each order k: ``seen[k]`` (g, p) and, for contexts of the order,
     ``back[k]`` (h, w): what is left for shorter contexts."""
 
-    def __init__(self, texts: DataFrame, order: int, folder: str):
+    def __init__(self, ngrams: DataFrame, order: int, folder: str):
+        """``ngrams``: (g, c) of the trusted texts, of the order."""
         self.order = order
-        counts = {order: written(count_ngrams(texts, order), folder, f"counts{order}")}
+        counts = {order: written(ngrams, folder, f"counts{order}")}
         for k in range(order - 1, 0, -1):
             shorter = counts[k + 1].select((F.col("g") % (1 << 8 * k)).alias("g"))
             counts[k] = written(shorter.groupBy("g").agg(F.count("*").alias("c")), folder, f"counts{k}")
@@ -209,7 +302,7 @@ class Model:
         return out.unionByName(rest.select("g", F.log(F.col("w") * FLAT).alias("lp")))
 
 
-def perplexities(docs: DataFrame, model: Model, folder: str, block_bytes: int = 32_000_000) -> DataFrame:
+def perplexities(docs: DataFrame, model: Model, folder: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (text, then other columns of the caller) with ``perplexity``."""
     spark = docs.sparkSession
     order = model.order
@@ -248,46 +341,15 @@ def perplexities(docs: DataFrame, model: Model, folder: str, block_bytes: int =
         got = [lp[np.searchsorted(known, unpack_keys(x.as_py()))].tobytes() for x in right.column("keys")]
         return pa.table({"block": right.column("block"), "shard": right.column("shard"), "lp": pa.array(got, pa.binary())})
 
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Answers of a block, sorted by shard, become its file."""
-        from pyarrow import fs
-        from pyspark import TaskContext
-
-        store, root = fs.FileSystem.from_uri(answers if "://" in answers else f"file://{answers}")
-        store.create_dir(root, recursive=True)
-        block, parts = None, []
-
-        def close():
-            own = f"{root}/_{block}.{TaskContext.get().taskAttemptId()}"
-            with store.open_output_stream(own) as f:
-                f.write(b"".join(parts))
-            store.move(own, f"{root}/{block}")
-            return pa.RecordBatch.from_arrays([pa.array([block])], names=["block"])
-
-        for b in batches:
-            for name, part in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
-                if block not in (None, name):
-                    yield close()
-                    parts = []
-                block = name
-                parts.append(part)
-        if block:
-            yield close()
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(answers if "://" in answers else f"file://{answers}")
+        store, root = file_store(answers)
         for name, held in blocks_of(batches, block_bytes):
             keys = np.zeros(0, np.int64)
             for b in held:
                 keys = np.union1d(keys, distinct(raw_texts(b), order)[0])
             lp = np.zeros(0, np.float32)
             if len(keys):
-                if store.get_file_info(f"{root}/{name}").type == fs.FileType.NotFound:
-                    raise ValueError("the documents came in another order on their second reading: write the table first")
-                with store.open_input_file(f"{root}/{name}") as f:
-                    lp = np.frombuffer(f.read(), np.float32)
+                lp = np.frombuffer(get_file(store, root, name), np.float32)
                 keys = keys[np.argsort(shard_of(keys, shards), kind="stable")]
             find = Lookup(keys)
             for b in held:
@@ -314,7 +376,7 @@ def perplexities(docs: DataFrame, model: Model, folder: str, block_bytes: int =
               .applyInArrow(packed, "shard int, known binary, lp binary"))
     answered = (tables.groupBy("shard").cogroup(requests.groupBy("shard"))
                 .applyInArrow(answer, "block string, shard int, lp binary"))
-    written(answered.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(put, "block string"),
+    written(put_files(answered.select("block", F.col("shard").alias("part"), F.col("lp").alias("data")), answers),
             folder, "answered")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[1:])
     return docs.mapInArrow(score, f"{fields}, perplexity double")
@@ -341,17 +403,22 @@ def quality(docs: DataFrame, trusted_ids: DataFrame, order: int = 5, quantile: f
                        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text_key"))
     trusted = written(trusted_ids.select(F.col("doc_id").cast("long").alias("doc_id"))
                       .where("doc_id is not null").distinct(), folder, "trusted")
-    own = rows.join(trusted, "doc_id", "left_semi").where("text != ''")
-    model = Model(own.where(~held_back()).select("text"), order, folder)
-    scored = written(perplexities(rows.withColumn("back", held_back()), model, folder), folder, "scored")
+    rows = rows.select("text", "doc_id", held_back().alias("back"), "lang", "n", "text_key")
+    marks = marked(rows, trusted, folder, BLOCK_BYTES)
+    model = Model(count_marked(rows, marks, order, BLOCK_BYTES), order, folder)
+    scored = written(perplexities(rows, model, folder), folder, "scored")
     judges = scored.join(trusted, "doc_id", "left_semi").where("back and perplexity is not null")
 
+    few = scored.agg(F.approx_count_distinct("lang").alias("n")).first()["n"] <= MOST_LANGUAGES
+
     def by_language(df: DataFrame, judges: DataFrame, column: str, q: float, name: str) -> DataFrame:
         """``df`` with the quantile of its language's judges, or of all: those
         of all languages are one number, which comes to the driver."""
         at = F.percentile_approx(column, q, 100_000)
         every = judges.agg(at.alias("t")).first()["t"]
-        return (df.join(judges.groupBy("lang").agg(at.alias(name)), "lang", "left")
+        own = judges.groupBy("lang").agg(at.alias(name))
+        own = F.broadcast(own) if few else own
+        return (df.join(own, "lang", "left")
                 .withColumn(name, F.coalesce(name, F.lit(every).cast("double"))))
 
     def smooth(df: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def test_perplexity_is_the_direct_models(spark, order):
     texts = ["abracadabra", "the cat sat on the mat", "the dog sat", "été à la plage", "aaaa", "abab the end", "mat cat"]
     others = ["the cat", "zzz", "été", "q", "abracadabra the dog on the mat"]
     folder = job_dir(spark, "test-kn")
-    model = kn_quality.Model(spark.createDataFrame([(t,) for t in texts], "text string"), order, folder)
+    model = kn_quality.Model(kn_quality.count_ngrams(spark.createDataFrame([(t,) for t in texts], "text string"), order), order, folder)
     docs = spark.createDataFrame([(t, i) for i, t in enumerate([*texts, *others, ""])], "text string, i int")
     got = {r["i"]: r["perplexity"] for r in kn_quality.perplexities(docs, model, folder, block_bytes=20).collect()}
     want = direct_kneser_ney([t.encode() for t in texts], order)
@@ -65,7 +65,8 @@ def test_perplexity_is_the_direct_models(spark, order):
 
 def test_probabilities_sum_to_one(spark):
     texts = ["abracadabra", "the cat sat on the mat", "the dog sat"]
-    model = kn_quality.Model(spark.createDataFrame([(t,) for t in texts], "text string"), 3, job_dir(spark, "test-kn"))
+    ngrams = kn_quality.count_ngrams(spark.createDataFrame([(t,) for t in texts], "text string"), 3)
+    model = kn_quality.Model(ngrams, 3, job_dir(spark, "test-kn"))
     for h in (b"th", b"zz", b"xa"):
         base = int.from_bytes(h, "big") << 8
         asked = spark.createDataFrame([(base + b,) for b in range(256)], "g long")
