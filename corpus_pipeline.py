@@ -36,8 +36,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     similarity of at least 0.8, the smallest doc_id stays, its rows once."""
     from pulsekit.llm.jaccard_join import join
 
-    kept = rows_of(docs, join(docs, words=5, num=80, den=100).where("stays"))
-    return kept.dropDuplicates(["doc_id", "text"])
+    return rows_of(docs, join(docs, words=5, num=80, den=100).where("stays"), once=True)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

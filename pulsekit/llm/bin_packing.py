@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import id_and_text, job_dir, pieces, written
+from pulsekit.llm.common import id_and_text, job_dir, pieces, release, written
 from pulsekit.llm.units import encoder
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
@@ -46,7 +46,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
         enc = encoder(tokenizer)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for b in pieces(batch):
+            for b in pieces(batch, 1_000_000):
                 ids, lens = enc.encode(b.column(1).to_pylist())
                 ids = np.insert(ids, np.cumsum(lens), end_id)
                 lens = lens + 1
@@ -69,6 +69,8 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
                      pa.array(np.full(len(row), block)), pa.array(place)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "block", "place"])
                 block += 1
+        enc.forget()
+        release()
 
     return id_and_text(docs).mapInArrow(work, PIECES)
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.session import ship
-from pulsekit.llm.common import pieces
+from pulsekit.llm.common import pieces, release
 
 WIDTHS = (2, 3, 4, 5)
 
@@ -178,6 +178,7 @@ def predict(docs: DataFrame, model: ByteCNN | None, carry: bool = False) -> Data
                         score[i] = min(1.0, float(mean[j, best[j]]))
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns[1:], pa.array(lang), pa.array(score, pa.float64())], names=names)
+        release()
 
     ship(docs.sparkSession)
     text = F.col("text").cast("string").alias("__text")

@@ -58,6 +58,20 @@ def pieces(batch: pa.RecordBatch, max_chars: int = 4_000_000, column: str = "tex
             lo = hi
 
 
+def release() -> None:
+    """Give freed memory back at the end of a task: a worker lives on, and other
+    processes of its executor share the limit."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:                                 # not glibc
+        pass
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64 over an array of uint64."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -72,11 +86,20 @@ def gather(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lens), lens)
 
 
-def rows_of(docs: DataFrame, kept: DataFrame) -> DataFrame:
+#: Stands for a null doc_id where rows are matched.
+NULL_ID = -(1 << 63)
+
+
+def rows_of(docs: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame:
     """The rows of ``docs``, with their columns, whose document and text are in
-    ``kept`` (doc_id, text_key)."""
+    ``kept`` (doc_id, text_key); ``once``: one of the rows that share both."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("__llm_id", F.col("doc_id").cast("long")).withColumn("__llm_text", F.xxhash64(text))
-    keys = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_key").alias("__kept_text")).distinct()
-    same = (F.col("__llm_text") == F.col("__kept_text")) & F.col("__llm_id").eqNullSafe(F.col("__kept_id"))
-    return keyed.join(keys, same, "left_semi").drop("__llm_id", "__llm_text")
+    keys = ["__llm_id", "__llm_text"]
+    keyed = (docs.withColumn(keys[0], F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+             .withColumn(keys[1], F.xxhash64(text)))
+    wanted = kept.select(F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias(keys[0]),
+                         F.col("text_key").alias(keys[1])).distinct()
+    found = keyed.join(wanted, keys, "left_semi")
+    if once:            # joined by the same keys: no row moves again
+        found = found.dropDuplicates(keys)
+    return found.select(*docs.columns)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import id_and_text, job_dir, pieces, splitmix, written
+from pulsekit.llm.common import id_and_text, job_dir, pieces, release, splitmix, written
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -46,13 +46,17 @@ _POWERS: list[np.ndarray] = []
 
 
 def powers(n: int) -> list[np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        _POWERS.clear()
-        for b in (BASE, INVERSE):
-            p = np.full(n, b, np.uint64)
-            p[:1] = 1
-            _POWERS.append(np.multiply.accumulate(p))
-    return _POWERS
+    """Powers of BASE and INVERSE below n; a worker keeps those of usual lengths."""
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS
+    made = []
+    for b in (BASE, INVERSE):
+        p = np.full(n, b, np.uint64)
+        p[:1] = 1
+        made.append(np.multiply.accumulate(p))
+    if n <= 1 << 22:
+        _POWERS[:] = made
+    return made
 
 
 def shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +109,7 @@ def counters(docs: DataFrame, words: int, bits: int, rows: int = 1 << 14) -> np.
             for b in pieces(batch, 2_000_000):
                 _, h = shingles(b.column(1).cast(pa.binary()).to_pylist(), words)
                 count += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        release()
         for lo in range(0, 1 << bits, rows):
             part = count[lo:lo + rows]
             if part.any():
@@ -161,6 +166,7 @@ def prefixes(docs: DataFrame, words: int, num: int, den: int, order: np.ndarray)
                     names=["doc_id", "text_key", "n", "key", "head", "prefix"])
                 if len(told) > 500_000:
                     told.clear()
+        release()
 
     return docs.mapInArrow(work, SETS)
 
@@ -330,6 +336,7 @@ def whole_sets(docs: DataFrame, words: int, keys: DataFrame, bits: int = 23) ->
                         lists.append(h[cut[i]:cut[i + 1]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keep, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["key", "set"])
+        release()
 
     return (docs.mapInArrow(work, "key long, set array<long>").join(keys, "key", "left_semi")
             .groupBy("key").agg(F.first("set").alias("set")))

@@ -36,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import job_dir, pieces, splitmix, written
+from pulsekit.llm.common import job_dir, pieces, release, splitmix, written
 
 #: Probability of a byte of which nothing is known.
 FLAT = 1 / 256
-#: Text of a block.
-BLOCK_BYTES = 32_000_000
+#: Text whose n-grams are sorted at once, and of a block.
+PIECE_BYTES = 2_000_000
+BLOCK_BYTES = 16_000_000
 #: A table of a row per language goes to every task if it has at most so many.
 MOST_LANGUAGES = 10_000
 
@@ -128,7 +129,7 @@ def blocks_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[st
         return f"{part:07d}-{seq:04d}-{crc:08x}"
 
     for batch in batches:
-        for b in pieces(batch, min(size, 4_000_000)):
+        for b in pieces(batch, min(size, PIECE_BYTES)):
             held.append(b)
             n += b.column(0).nbytes
             if n >= size:
@@ -136,6 +137,8 @@ def blocks_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[st
                 held, n, seq = [], 0, seq + 1
     if held:
         yield name(), held
+    held = []
+    release()
 
 
 def raw_texts(b: pa.RecordBatch) -> list[bytes]:
@@ -239,7 +242,7 @@ def count_ngrams(texts: DataFrame, order: int, limit: int = 1_000_000, chosen=la
                 yield pa.RecordBatch.from_arrays([pa.array(v[lo:lo + 100_000]) for v in x], names=["g", "c"])
 
         for batch in chosen(batches):
-            for b in pieces(batch):
+            for b in pieces(batch, PIECE_BYTES):
                 held = merged(held, distinct(raw_texts(b), order))
                 if len(held[0]) > limit:
                     yield from rows(held)

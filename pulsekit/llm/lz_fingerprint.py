@@ -38,14 +38,19 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> list[np.ndarray]:
-    """BASE ** i and BASE ** -i for i below n, kept by the worker."""
+    """BASE ** i and BASE ** -i for i below n; a worker keeps those of usual
+    lengths."""
     have = len(_POWERS[0])
-    if have < n:
-        for k, b in enumerate((BASE, INVERSE)):
-            p = np.full(max(n, 2 * have), b, np.uint64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS
+    if have >= n:
+        return _POWERS
+    made = []
+    for b in (BASE, INVERSE):
+        p = np.full(max(n, min(2 * have, 1 << 20)), b, np.uint64)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p))
+    if n <= 1 << 22:
+        _POWERS[:] = made
+    return made
 
 
 def phrases(text: str, seen: set[str], ends: list[int], start: int) -> None:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import id_and_text, job_dir, pieces, written
+from pulsekit.llm.common import id_and_text, job_dir, pieces, release, written
 from pulsekit.llm.units import encoder
 
 MAGIC = b"PKS8B\0\0\1"
@@ -201,7 +201,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
         n = 0
         for batch in batches:
-            for b in pieces(batch):
+            for b in pieces(batch, 1_000_000):
                 ids, lens = enc.encode(b.column(1).to_pylist())
                 ends = np.cumsum(lens)
                 held.append((np.asarray(b.column(0).fill_null(NULL_ID)), lens + 1,
@@ -212,6 +212,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                     n = 0
         if held:
             yield flush()
+        enc.forget()
+        release()
 
     ordered = (id_and_text(docs).repartitionByRange("doc_id")
                .sortWithinPartitions("doc_id", "text"))

@@ -34,7 +34,7 @@ def is_byte_unit(u: str) -> bool:
 class UnitEncoder:
     """ids of whole texts; ``limit`` bounds the units a worker remembers."""
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -109,8 +109,9 @@ class UnitEncoder:
 _ENCODERS: dict[tuple[str, int], UnitEncoder] = {}
 
 
-def encoder(path: str, limit: int = 800_000) -> UnitEncoder:
-    """The worker's encoder of a tokenizer file, kept between tasks."""
+def encoder(path: str, limit: int = 300_000) -> UnitEncoder:
+    """The worker's encoder of a tokenizer file, kept between tasks; a task that
+    is done calls ``forget``, so that the worker's memory is free for the next."""
     key = (path, limit)
     if key not in _ENCODERS:
         _ENCODERS[key] = UnitEncoder(path, limit)
