@@ -22,15 +22,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsekit.llm.common import id_and_text, pieces
+from pulsekit.llm.common import id_and_text, pieces, release
+from pulsekit.llm.units import load
 
 ODD = re.compile("[\x1c-\x1f]")
 COUNTS = "doc_id long, n_bytes long, n_tokens long"
 
 
+_LOADED: dict[str, object] = {}
+
+
+def loaded(path: str):
+    """The worker's tokenizer of a file, kept between tasks."""
+    if path not in _LOADED:
+        _LOADED[path] = load(path)
+    return _LOADED[path]
+
+
 def words_of(text: str) -> list[str]:
     return [text] if ODD.search(text) else text.split()
 
@@ -46,11 +58,10 @@ def unpack_ints(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows of two kinds: (block, pos, word) for each distinct pre-token of a
-    block, and (block, frequencies) with the block's documents.  The block's
-    name holds a checksum of its rows, so that a block read again from rows
-    that came in another order can't be taken for the same."""
+def read_blocks(docs: DataFrame, block_bytes: int, schema: str, rows) -> DataFrame:
+    """``rows`` of every block of about ``block_bytes`` of text.  A block's name
+    holds a checksum of its texts, so that a block read again from rows that came
+    in another order can't be taken for the same."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -59,63 +70,73 @@ def blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
         size, seq = 0, 0
 
-        def flush():
-            ids: list[int | None] = []
-            n_bytes, ends, idx, freq = [], [], [], []
-            pos: dict[str, int] = {}
-            crc = 0
+        def name() -> str:
+            crc = n = 0
             for b in held:
-                ids += b.column(0).to_pylist()
-                for raw in b.column(1).cast(pa.binary()).to_pylist():
-                    crc = zlib.crc32(raw, crc)
-                    n_bytes.append(len(raw))
-                    own: dict[int, int] = {}
-                    for w in words_of(raw.decode()):
-                        k = pos.setdefault(w, len(pos))
-                        own[k] = own.get(k, 0) + 1
-                    keys = sorted(own)
-                    idx.append(np.array(keys, np.int64))
-                    freq.append(np.array([own[k] for k in keys], np.int64))
-                    ends.append(len(keys))
-            deltas = np.concatenate([np.diff(x, prepend=0) for x in idx])
-            blob = [pack_ints(x) for x in (n_bytes, ends, deltas, np.concatenate(freq))]
-            name = f"{part}-{seq}-{crc}-{len(ids)}"
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([None], pa.int32()), pa.array([None], pa.string()),
-                 pa.array([ids], pa.list_(pa.int64())), pa.array([blob], pa.list_(pa.binary()))],
-                names=["block", "pos", "word", "doc_ids", "freqs"])
-            words = list(pos)
-            for lo in range(0, len(words), 50_000):
-                w = words[lo:lo + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(w)), pa.array(np.arange(lo, lo + len(w), dtype=np.int32)),
-                     pa.array(w), pa.nulls(len(w), pa.list_(pa.int64())),
-                     pa.nulls(len(w), pa.list_(pa.binary()))],
-                    names=["block", "pos", "word", "doc_ids", "freqs"])
+                n += b.num_rows
+                for t in b.column(1).cast(pa.binary()):
+                    crc = zlib.crc32(t.as_buffer(), crc)
+            return f"{part}-{seq}-{crc}-{n}"
 
         for batch in batches:
-            for b in pieces(batch):
+            for b in pieces(batch, min(block_bytes, 2_000_000)):
                 held.append(b)
                 size += b.nbytes
                 if size >= block_bytes:
-                    yield from flush()
+                    yield from rows(name(), held)
                     held, size, seq = [], 0, seq + 1
+                    release()
         if held:
-            yield from flush()
-
-    return id_and_text(docs).mapInArrow(
-        work, "block string, pos int, word string, doc_ids array<long>, freqs array<binary>")
-
-
-def count_tokens(docs: DataFrame, tokenizer: str, block_bytes: int = 48_000_000) -> DataFrame:
+            yield from rows(name(), held)
+        held = []
+        release()
+
+    return id_and_text(docs).mapInArrow(work, schema)
+
+
+def vocabulary(name: str, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, pos, word): the block's distinct pre-tokens, numbered as they come."""
+    seen: dict[str, None] = {}
+    for b in held:
+        for text in b.column(1).to_pylist():
+            seen.update(dict.fromkeys(words_of(text)))
+    words = list(seen)
+    del seen
+    for lo in range(0, len(words), 20_000):
+        w = words[lo:lo + 20_000]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(w)), pa.array(np.arange(lo, lo + len(w), dtype=np.int32)), pa.array(w)],
+            names=["block", "pos", "word"])
+
+
+def frequencies(name: str, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row: the block's documents and, packed, how often each holds which
+    pre-token, by the numbers that ``vocabulary`` gives them."""
+    ids: list[int | None] = []
+    n_bytes, ends, deltas, freq = [], [], [], []
+    pos: dict[str, int] = {}
+    for b in held:
+        ids += b.column(0).to_pylist()
+        n_bytes += pa.compute.binary_length(b.column(1)).to_pylist()
+        for text in b.column(1).to_pylist():
+            codes = np.array([pos.setdefault(w, len(pos)) for w in words_of(text)], np.int32)
+            own, n = np.unique(codes, return_counts=True)
+            ends.append(len(own))
+            deltas.append(np.diff(own, prepend=np.int32(0)))
+            freq.append(n.astype(np.int32))
+    del pos
+    blob = [pack_ints(x) for x in (n_bytes, ends, np.concatenate(deltas), np.concatenate(freq))]
+    del deltas, freq
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([name]), pa.array([ids], pa.list_(pa.int64())), pa.array([blob], pa.list_(pa.binary()))],
+        names=["block", "doc_ids", "freqs"])
+
+
+def count_tokens(docs: DataFrame, tokenizer: str, block_bytes: int = 16_000_000) -> DataFrame:
     """doc_id, n_bytes (UTF-8) and n_tokens of every row."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(tokenizer)
-        tok.no_truncation()
-        tok.no_padding()
+        tok = loaded(tokenizer)
         last, last_n = None, 0
         out: dict[str, list[np.ndarray]] = {}
         held = 0
@@ -129,8 +150,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, block_bytes: int = 48_000_000)
         for b in batches:           # sorted by word: equal words are neighbours
             words = b.column(2).dictionary_encode()
             new = words.dictionary.to_pylist()
-            n = np.array([len(e.ids) for e in tok.encode_batch_fast(
-                new[1:] if new[0] == last else new, add_special_tokens=False)], np.int64)
+            own = new[1:] if new[0] == last else new
+            n = np.array([len(e.ids) for lo in range(0, len(own), 1000) for e in tok.encode_batch_fast(
+                own[lo:lo + 1000], add_special_tokens=False)], np.int64)
             if new[0] == last:
                 n = np.concatenate([[last_n], n])
             last, last_n = new[-1], int(n[-1])
@@ -146,6 +168,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, block_bytes: int = 48_000_000)
                 yield from flush()
                 out, held = {}, 0
         yield from flush()
+        out = {}
+        release()
 
     def total(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows != 1:
@@ -164,11 +188,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, block_bytes: int = 48_000_000)
         totals = np.bincount(doc, weights=n_of[idx] * freq, minlength=len(ends)).astype(np.int64)
         return pa.table({"doc_id": doc_ids, "n_bytes": n_bytes, "n_tokens": totals})
 
-    rows = blocks(docs, block_bytes)
-    counted = (rows.where("word is not null").select("block", "pos", "word")
-               .repartition("word").sortWithinPartitions("word")
+    words = read_blocks(docs, block_bytes, "block string, pos int, word string", vocabulary)
+    counted = (words.repartition("word").sortWithinPartitions("word")
                .mapInArrow(count, "block string, at binary, n binary"))
-    freqs = rows.where("word is null").select("block", "doc_ids", "freqs")
+    freqs = read_blocks(docs, block_bytes, "block string, doc_ids array<long>, freqs array<binary>", frequencies)
     return freqs.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(total, COUNTS)
 
 

@@ -11,6 +11,7 @@ tokenizer's special strings is given to the library whole.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -31,15 +32,23 @@ def is_byte_unit(u: str) -> bool:
     return body != "" and body.split() == [body]
 
 
+def load(path: str):
+    """A file's tokenizer without truncation and padding, in one thread: Spark
+    gives a task one core, and threads of the library keep memory of their own."""
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return tok
+
+
 class UnitEncoder:
     """ids of whole texts; ``limit`` bounds the units a worker remembers."""
 
     def __init__(self, path: str, limit: int = 300_000):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        self.tok = load(path)
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.limit = limit
         (self.feed,) = self.tok.encode("\n", add_special_tokens=False).ids
