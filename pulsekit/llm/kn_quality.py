@@ -390,14 +390,15 @@ def held_back():
     return F.pmod(F.xxhash64("text"), F.lit(5)) == 0
 
 
-def quality(docs: DataFrame, trusted_ids: DataFrame, order: int = 5, quantile: float = 0.995,
-            margin: float = 1.05, prior_bytes: int = 40) -> DataFrame:
+def quality(docs: DataFrame, trusted_ids: DataFrame, order: int = 5, quantile: float = 0.95,
+            margin: float = 1.05, prior_bytes: int = 400) -> DataFrame:
     """doc_id, lang, perplexity, smoothed, threshold and keep of every row, and,
     to find the row again, text_key.
     ``trusted_ids``: a column doc_id.  A few bytes tell little, so a perplexity
     is smoothed by ``prior_bytes`` bytes at the median of the language's trusted
     texts; a text is kept when that is at most ``margin`` times the ``quantile``
-    of its language's trusted texts."""
+    of its language's trusted texts.  A higher quantile is set by one or two short
+    texts full of numbers, and long texts of a repeated word pass it."""
     folder = job_dir(docs.sparkSession, "quality")
     rows = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.col("doc_id").cast("long").alias("doc_id"),

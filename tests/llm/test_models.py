@@ -90,6 +90,28 @@ def test_op1_keeps_good_and_rejects_junk(spark):
     assert got[got.quality == 0].keep.mean() < 0.3
 
 
+def kind_of_junk(text):
+    words = text.split()
+    if any(words[i:i + 1] * 5 == words[i:i + 5] for i in range(len(words) - 4)):
+        return "repeated"
+    if sum(text.count(x) for x in ("***", "$$$", "%%%", "&&&")) > 3:
+        return "symbols"
+    if text.count(" | ") > 3:
+        return "table"
+    return "caps" if sum(w.isupper() for w in words) > 0.4 * len(words) else "other"
+
+
+def test_op1_rejects_each_kind_of_junk(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = (kn_quality.quality(docs, labels.where("quality = 1").select("doc_id")).join(labels, "doc_id")
+           .join(docs.select("doc_id", "text").distinct(), "doc_id").toPandas())
+    assert got[got.quality == 1].keep.mean() > 0.99
+    junk = got[got.quality == 0]
+    kept = junk.groupby(junk.text.fillna("").map(kind_of_junk)).keep.mean()
+    assert all(kept[k] < 0.02 for k in ("caps", "symbols", "table"))
+    assert kept["repeated"] < 0.2
+
+
 def test_op2(spark, edge_docs, no_docs):
     docs = spark.read.parquet(f"{MID}/documents.parquet")
     model = byte_cnn_lang.train(docs, ~byte_cnn_lang.held_out())
