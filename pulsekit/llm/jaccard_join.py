@@ -9,8 +9,8 @@ shingles) meet.  Classes of one size and prefix are a group; prefixes are
 compared between groups only.  Pairs of groups pass a size and a positional
 filter, are expanded to their classes, and the classes' whole sets decide.
 
-Only the components of the links are asked for, so work on links inside a
-component can be left out.  First round: all pairs of groups that meet in a
+``join`` asks only for the components of the links, so it leaves out work on links
+inside a component; ``links`` then counts all links there.  First round: all pairs of groups that meet in a
 shingle of at most ``list_rows`` groups; of longer lists, and of a group's own
 classes, each with the first only (the one with the fewest rare shingles, as the
 original among its copies).  Second round: every other candidate pair whose two
@@ -29,6 +29,7 @@ component.  A table without rows gives none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -377,13 +378,9 @@ def components(links: DataFrame, folder: str, name: str) -> DataFrame:
     return edges.select(F.col("a").alias("key"), F.col("b").alias("label"))
 
 
-def join(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows: int = 64,
-         sketch_bits: int = 20) -> DataFrame:
-    """doc_id, n_shingles, component_id and links_seen (links of the document's set
-    that the search needed) of every row, and, to find it again, text_key; stays
-    is true for one document of each component, that of the smallest doc_id (its
-    repeated rows share it).  Sets link when den * intersection >= num * union."""
-    folder = job_dir(docs.sparkSession, "jaccard")
+def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sketch_bits: int, folder: str):
+    """The tables (rows, sets, classes), the links that the search needed (a, b),
+    and (key, label) of every end of one."""
     rows = id_and_text(docs).withColumn("text_key", F.xxhash64("text"))
     order = counters(rows, words, sketch_bits)
     sets = written(prefixes(rows, words, num, den, order), folder, "prefixes")
@@ -438,9 +435,128 @@ def join(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows:
             links = links.unionByName(more)
             labels = components(links, folder, "2")
 
+    return rows, sets, classes, links, labels
+
+
+def all_links(rows: DataFrame, classes: DataFrame, labels: DataFrame, words: int, num: int, den: int,
+              folder: str, block: int = 1024, shingles_: int = 500_000) -> DataFrame:
+    """(key, links): with how many other classes a class links, of classes with a
+    link.  A link's ends share a component, and the smaller set has at least
+    num / den of the larger one's shingles: a component's classes are dealt by
+    that ratio of sizes, and by a hash of the class, into blocks of about
+    ``block`` rows and at most about ``shingles_`` shingles.  A task's cell
+    compares two blocks on whole sets, so no list is cut, no pair becomes a row,
+    and each pair is in one cell."""
+    ends = labels.unionByName(labels.select(F.col("label").alias("key"), "label").distinct())
+    # sets that can link are of one size class or of neighbours
+    width = max(math.log(den / num) * (1 + 1e-9), 1e-9)
+    ends = (ends.join(classes.select("key", "n"), "key")
+            .withColumn("size", F.floor(F.log(F.col("n").cast("double")) / width)))
+    most = F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(shingles_))
+    many = written(ends.groupBy("label", "size").agg(F.ceil(most).cast("int").alias("blocks")), folder, "blocks")
+
+    def of(shift: int, name: str) -> DataFrame:
+        return many.select("label", (F.col("size") + shift).alias("size"), F.col("blocks").alias(name))
+
+    def cells(n: str, lo, i, next_, j, side):
+        """The cells of a row with each of the ``n`` blocks."""
+        each = F.sequence(F.lit(0), F.col(n) - 1)
+        cell = F.transform(each, lambda x: F.struct(lo.alias("lo"), i(x).cast("int").alias("i"), F.lit(next_).alias("next"),
+                                                    j(x).cast("int").alias("j"), side(x).cast("int").alias("side")))
+        return F.when(F.coalesce(F.col(n), F.lit(0)) > 0, cell).otherwise(F.array().cast(
+            "array<struct<lo:bigint,i:int,next:int,j:int,side:int>>"))
+
+    me, size = F.col("me"), F.col("size")
+    placed = (ends.join(many, ["label", "size"]).join(of(-1, "above"), ["label", "size"], "left")
+              .join(of(1, "below"), ["label", "size"], "left")
+              .withColumn("me", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+              .select("key", "label", F.concat(
+                  cells("blocks", size, lambda x: F.least(x, me), 0, lambda x: F.greatest(x, me), lambda x: me > x),
+                  cells("above", size, lambda x: me, 1, lambda x: x, lambda x: F.lit(0)),
+                  cells("below", size - 1, lambda x: x, 1, lambda x: me, lambda x: F.lit(1))).alias("cells")))
+    whole = whole_sets(rows, words, ends.select("key"))
+    cell = ["label", "cell.lo", "cell.i", "cell.next", "cell.j"]
+    dealt = (placed.join(whole, "key").select("label", F.explode("cells").alias("cell"), "key", "set")
+             .select(*cell, "cell.side", "key", "set"))
+
+    def compare(name: tuple, side: np.ndarray, key: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(key, links within the cell)."""
+        own = name[2] == name[4] and not name[3]           # a block with itself
+        n = np.array([len(x) for x in sets], np.int64)
+        row = np.repeat(np.arange(len(sets)), n)
+        _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        more = count > 1                                   # only these can be shared
+        renamed = np.cumsum(more) - 1
+        row, at = row[more[at]], renamed[at[more[at]]]
+        by = np.argsort(at, kind="stable")
+        row, at = row[by], at[by]
+        a, b = (np.arange(len(sets)),) * 2 if own else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        common = np.zeros((len(a), len(b)), np.float32)
+        total = int(more.sum())
+        for lo in range(0, total, 2048):
+            p, q = np.searchsorted(at, [lo, lo + 2048])
+            held = np.zeros((len(sets), min(2048, total - lo)), np.float32)
+            held[row[p:q], at[p:q] - lo] = 1
+            common += held[a] @ held[b].T
+        common = common.astype(np.int64)
+        link = den * common >= num * (n[a, None] + n[None, b] - common)
+        if own:
+            np.fill_diagonal(link, False)
+            return key, link.sum(axis=1)
+        return np.concatenate([key[a], key[b]]), np.concatenate([link.sum(axis=1), link.sum(axis=0)])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, []
+
+        def closed():
+            side, key = (np.array([x[k] for x in held], np.int64) for k in (0, 1))
+            out = compare(name, side, key, [x[2] for x in held])
+            return pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)) for v in out], names=["key", "links"])
+
+        for b in batches:
+            names = zip(*(b.column(k).to_pylist() for k in range(5)))
+            for i, (new, side, key) in enumerate(zip(names, b.column(5).to_pylist(), b.column(6).to_pylist())):
+                if new != name and held:
+                    yield closed()
+                    held = []
+                name = new
+                # copied: a view would hold the whole batch
+                held.append((side, key, np.array(b.column(7)[i].values)))
+        if held:
+            yield closed()
+        release()
+
+    cols = ["label", "lo", "i", "next", "j"]
+    return (dealt.repartition(*cols).sortWithinPartitions(*cols).select(*cols, "side", "key", "set")
+            .mapInArrow(work, "key long, links long").groupBy("key").agg(F.sum("links").alias("links")))
+
+
+def links(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows: int = 64, sketch_bits: int = 20,
+          block: int = 1024) -> DataFrame:
+    """doc_id, n_shingles, links and, to find the row again, text_key, of every row:
+    links is with how many other sets the document's set links, all of them
+    verified.  Documents with one set are one."""
+    folder = job_dir(docs.sparkSession, "jaccard")
+    rows, sets, classes, _, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder)
+    found = written(all_links(rows, classes, labels, words, num, den, folder, block), folder, "all")
+    return (sets.join(found, "key", "left")
+            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                    F.coalesce("links", F.lit(0)).cast("long").alias("links"), "text_key"))
+
+
+def join(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows: int = 64,
+         sketch_bits: int = 20) -> DataFrame:
+    """doc_id, n_shingles, component_id and links_seen (links of the document's set
+    that the search needed; ``links`` counts all) of every row, and, to find it
+    again, text_key; stays is true for one document of each component, that of the
+    smallest doc_id (its repeated rows share it).  Sets link when
+    den * intersection >= num * union."""
+    folder = job_dir(docs.sparkSession, "jaccard")
+    _, sets, classes, links, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder)
     degree = (links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key")
               .agg(F.count("*").alias("links")))
-    named = (labelled(classes.select("key"), "key", "label").join(degree, "key", "left"))
+    named = (classes.select("key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+             .join(degree, "key", "left"))
     ids = sets.select("doc_id", "text_key", "n", "key")
     me = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     firsts = ids.where("n > 0").groupBy("key").agg(F.min(me).alias("first"))

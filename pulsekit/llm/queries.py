@@ -67,6 +67,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op7_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.jaccard_join import links
+
+    return links(table(spark, sf_dir, "documents"), words=4, num=85, den=100).select(
+        "doc_id", "n_shingles", "links")
+
+
 def op8_ann_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsekit.llm.ann_projection import search
 
@@ -88,7 +95,8 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_kn_quality, op2_byte_cnn_lang, op3_token_store, op4_lz_fingerprint, op5_gbt_toxicity,
-        op6_token_counts, op7_jaccard_join, op8_ann_projection, op9_bin_packing, op10_bpe_backtrack)
+        op6_token_counts, op7_jaccard_join, op7_jaccard_links, op8_ann_projection, op9_bin_packing,
+        op10_bpe_backtrack)
 }
 
 #: All pairs of documents that share a shingle, and what they reach.
@@ -119,5 +127,30 @@ reach(doc_id, other) AS (
 SELECT s.doc_id, CAST(len(any_value(s.s)) AS BIGINT) AS n_shingles, min(r.other) AS component_id
 FROM sets s JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id"""
 
+#: With how many other sets each document's set links.
+JACCARD_LINKS_SQL = r"""
+WITH
+split AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+sets AS (
+    SELECT doc_id, list_sort(CASE WHEN len(w) = 0 THEN []
+                        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct(list_transform(range(1, len(w) - 2),
+                                                          lambda i: array_to_string(w[i:i + 3], ' '))) END) AS s
+    FROM split),
+class AS (SELECT s, row_number() OVER () AS c FROM (SELECT DISTINCT s FROM sets)),
+member AS (SELECT c, unnest(s) AS t FROM class),
+shared AS (
+    SELECT a.c AS a, b.c AS b, count(*) AS n
+    FROM member a JOIN member b ON a.t = b.t AND a.c <> b.c GROUP BY ALL),
+found AS (
+    SELECT a, count(*) AS links FROM shared JOIN class x ON x.c = a JOIN class y ON y.c = b
+    WHERE 100 * n >= 85 * (len(x.s) + len(y.s) - n) GROUP BY a)
+SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, CAST(coalesce(f.links, 0) AS BIGINT) AS links
+FROM sets JOIN class ON class.s = sets.s LEFT JOIN found f ON f.a = class.c"""
+
 #: DuckDB statements of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op7_jaccard_join": JACCARD_SQL}
+ORACLE: dict[str, str] = {"op7_jaccard_join": JACCARD_SQL, "op7_jaccard_links": JACCARD_LINKS_SQL}

@@ -110,6 +110,45 @@ def test_op7(name, words, num, den, list_rows, bits, spark, request):
     assert len(stay) == len({r["component_id"] for r in got if r["n_shingles"]})
 
 
+def brute_links(rows, words, num, den):
+    """(doc_id, shingles, other sets that link) of every row."""
+    sets = []
+    for _, text in rows:
+        w = re.findall(rb"[^\x20\x09-\x0d]+", (text or "").encode().lower())
+        k = min(words, len(w))
+        sets.append(frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if w else frozenset())
+    other = set(sets) - {frozenset()}
+    return [(i, len(s), sum(s != o and den * len(s & o) >= num * len(s | o) for o in other) if s else 0)
+            for (i, _), s in zip(rows, sets)]
+
+
+@pytest.mark.parametrize("num,list_rows,block", [(17, 4, 8), (17, 64, 1024), (12, 4, 16)])
+def test_op7_links_are_all_links(num, list_rows, block, spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(3):                                     # a large group of near copies, and smaller ones
+        for _ in range((150, 20, 3)[g]):
+            w = [f"{g}w{i}" for i in range(80)]
+            for i in rng.integers(0, 80, rng.integers(0, 4)):
+                w[i] = f"x{rng.integers(1000)}"
+            rows.append((len(rows), " ".join(w[:80 - int(rng.integers(0, 20))]), "en"))
+    rows += [(900, rows[0][1], "en"), (901, "", "en"), (902, None, "en"), (903, "one", "en"), (None, rows[1][1], "en")]
+    got = jaccard_join.links(frame(spark, rows), 4, num, 20, list_rows, block=block).collect()
+    want = brute_links([(i, t) for i, t, _ in rows], 4, num, 20)
+    assert sorted(((r["doc_id"], r["n_shingles"], r["links"]) for r in got), key=repr) == sorted(want, key=repr)
+    seen = jaccard_join.join(frame(spark, rows), 4, num, 20, list_rows).agg(F.sum("links_seen")).first()[0]
+    assert sum(x[2] for x in want) > seen or list_rows == 64
+
+
+def test_op7_links_match_their_sql(spark, no_docs):
+    from pulsekit.llm.queries import ORACLE, QUERIES
+    from tools.oracle_check import compare, duck
+
+    sf = "/root/testdata/sf0.001"
+    assert compare(QUERIES["op7_jaccard_links"](spark, sf).toPandas(), duck(sf).sql(ORACLE["op7_jaccard_links"]).df()) is None
+    assert jaccard_join.links(no_docs).collect() == []
+
+
 def test_op7_no_rows(no_docs):
     assert jaccard_join.join(no_docs).collect() == []
     assert lz_fingerprint.edited_likeness(no_docs).collect() == []
