@@ -260,40 +260,77 @@ def meet(postings: DataFrame, num: int, den: int, list_rows: int) -> DataFrame:
             .sortWithinPartitions("token", "pos", "n", "gid").mapInArrow(work, MET))
 
 
-def differing(lists: DataFrame, num: int, den: int, block: int = 1024) -> DataFrame:
+def in_cells(rows: DataFrame, group: str, num: int, den: int, most, folder: str, name: str) -> DataFrame:
+    """``rows`` (group, key, n, ...) with ``cells``: where a row is compared.  A
+    group's rows are dealt by their size n, so that sets which can link are of one
+    class of sizes or of neighbours, and by a hash of the key, into ``most``
+    blocks (an aggregate).  Each two blocks that can have a link are one cell
+    (group, lo, i, next, j), in which side is 0 or 1; a block with itself is one
+    in which side is 0."""
+    width = max(math.log(den / num) * (1 + 1e-9), 1e-9)
+    sized = rows.withColumn("size", F.floor(F.log(F.col("n").cast("double")) / width))
+    many = written(sized.groupBy(group, "size").agg(F.ceil(most).cast("int").alias("blocks")), folder, name)
+
+    def of(shift: int, name: str) -> DataFrame:
+        return many.select(group, (F.col("size") + shift).alias("size"), F.col("blocks").alias(name))
+
+    def cells(n: str, lo, i, next_, j, side):
+        """The cells of a row with each of the ``n`` blocks."""
+        each = F.sequence(F.lit(0), F.col(n) - 1)
+        cell = F.transform(each, lambda x: F.struct(lo.alias("lo"), i(x).cast("int").alias("i"), F.lit(next_).alias("next"),
+                                                    j(x).cast("int").alias("j"), side(x).cast("int").alias("side")))
+        return F.when(F.coalesce(F.col(n), F.lit(0)) > 0, cell).otherwise(F.array().cast(
+            "array<struct<lo:bigint,i:int,next:int,j:int,side:int>>"))
+
+    me, size = F.col("me"), F.col("size")
+    return (sized.join(many, [group, "size"]).join(of(-1, "above"), [group, "size"], "left")
+            .join(of(1, "below"), [group, "size"], "left")
+            .withColumn("me", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+            .select(*rows.columns, F.concat(
+                cells("blocks", size, lambda x: F.least(x, me), 0, lambda x: F.greatest(x, me), lambda x: me > x),
+                cells("above", size, lambda x: me, 1, lambda x: x, lambda x: F.lit(0)),
+                cells("below", size - 1, lambda x: x, 1, lambda x: me, lambda x: F.lit(1))).alias("cells")))
+
+
+def differing(lists: DataFrame, num: int, den: int, folder: str, block: int = 1024) -> DataFrame:
     """Candidate pairs of long lists whose ends have different labels.  ``lists``:
-    token, n, pos, key, label."""
+    token, n, pos, key, label.  A task's cell compares two blocks of about
+    ``block`` rows of a list."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = np.zeros((5, 0), np.int64)
+        rest = np.zeros((10, 0), np.int64)
 
         def closed(rows: np.ndarray):
-            _, n, pos, key, label = rows
-            for lo in range(0, len(n), block):
-                a = slice(lo, lo + block)
-                for at in range(lo, len(n), block):
-                    b = slice(at, at + block)
-                    ok = (label[a, None] != label[None, b]) & passes(
-                        n[a, None], n[None, b], pos[a, None], pos[None, b], num, den)
-                    i, j = np.nonzero(ok)
-                    if len(i):
-                        p = np.unique(np.sort(np.stack([key[a][i], key[b][j]]), axis=0), axis=1)
-                        yield pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1])], names=["a", "b"])
+            side, (n, pos, key, label) = rows[5], rows[6:]
+            own = rows[2, 0] == rows[4, 0] and not rows[3, 0]  # a block with itself
+            a, b = (np.arange(len(n)),) * 2 if own else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+            for lo in range(0, len(a), block):                 # a hash may give a block some more
+                x = a[lo:lo + block, None]
+                ok = (label[x] != label[None, b]) & passes(n[x], n[None, b], pos[x], pos[None, b], num, den)
+                if own:
+                    ok &= key[x] < key[None, b]
+                i, j = np.nonzero(ok)
+                if len(i):
+                    p = np.unique(np.sort(np.stack([key[x[i, 0]], key[b[j]]]), axis=0), axis=1)
+                    yield pa.RecordBatch.from_arrays([pa.array(p[0]), pa.array(p[1])], names=["a", "b"])
 
         for b in batches:
             rows = np.concatenate([rest, np.stack([np.asarray(c).astype(np.int64) for c in b.columns])], axis=1)
-            last = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0
-            cut = np.flatnonzero(np.diff(rows[0, :last])) + 1
-            for part in np.split(rows[:, :last], cut, axis=1):
-                if part.shape[1]:
-                    yield from closed(part)
-            rest = rows[:, last:]
+            cut = np.flatnonzero((np.diff(rows[:5]) != 0).any(axis=0)) + 1
+            *whole, rest = np.split(rows, cut, axis=1)
+            for part in whole:
+                yield from closed(part)
         if rest.shape[1]:
             yield from closed(rest)
 
     mixed = lists.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi")
-    return (lists.join(mixed.select("token"), "token", "left_semi").select("token", "n", "pos", "key", "label")
-            .repartition("token").sortWithinPartitions("token").mapInArrow(work, "a long, b long"))
+    lists = lists.join(mixed.select("token"), "token", "left_semi").select("token", "n", "pos", "key", "label")
+    lists = written(lists, folder, "lists")
+    cols = ["token", "lo", "i", "next", "j"]
+    return (in_cells(lists, "token", num, den, F.count("*") / F.lit(block), folder, "list_blocks")
+            .select(F.explode("cells").alias("cell"), "token", "n", "pos", "key", "label")
+            .select("token", "cell.*", "n", "pos", "key", "label")
+            .repartition(*cols).sortWithinPartitions(*cols).mapInArrow(work, "a long, b long"))
 
 
 def whole_sets(docs: DataFrame, words: int, keys: DataFrame, bits: int = 23) -> DataFrame:
@@ -378,7 +415,8 @@ def components(links: DataFrame, folder: str, name: str) -> DataFrame:
     return edges.select(F.col("a").alias("key"), F.col("b").alias("label"))
 
 
-def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sketch_bits: int, folder: str):
+def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sketch_bits: int, folder: str,
+           block: int = 1024):
     """The tables (rows, sets, classes), the links that the search needed (a, b),
     and (key, label) of every end of one."""
     rows = id_and_text(docs).withColumn("text_key", F.xxhash64("text"))
@@ -427,7 +465,7 @@ def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sket
     lists = (met.where("kind = 1").select(F.col("a").alias("gid"), "token", "n", "pos")
              .join(grown, "gid", "left").select("token", "n", "pos", F.coalesce("key", "gid").alias("key")))
     lists = lists.unionByName(members.select(F.col("gid").alias("token"), "n", F.lit(0).alias("pos"), "key"))
-    left = left.unionByName(differing(labelled(lists, "key", "label"), num, den))
+    left = left.unionByName(differing(labelled(lists, "key", "label"), num, den, folder, block))
     left = written(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), folder, "left")
     if not left.isEmpty():
         more = verified(rows, left, words, num, den, folder, "2")
@@ -448,36 +486,12 @@ def all_links(rows: DataFrame, classes: DataFrame, labels: DataFrame, words: int
     compares two blocks on whole sets, so no list is cut, no pair becomes a row,
     and each pair is in one cell."""
     ends = labels.unionByName(labels.select(F.col("label").alias("key"), "label").distinct())
-    # sets that can link are of one size class or of neighbours
-    width = max(math.log(den / num) * (1 + 1e-9), 1e-9)
-    ends = (ends.join(classes.select("key", "n"), "key")
-            .withColumn("size", F.floor(F.log(F.col("n").cast("double")) / width)))
+    ends = ends.join(classes.select("key", "n"), "key")
     most = F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(shingles_))
-    many = written(ends.groupBy("label", "size").agg(F.ceil(most).cast("int").alias("blocks")), folder, "blocks")
-
-    def of(shift: int, name: str) -> DataFrame:
-        return many.select("label", (F.col("size") + shift).alias("size"), F.col("blocks").alias(name))
-
-    def cells(n: str, lo, i, next_, j, side):
-        """The cells of a row with each of the ``n`` blocks."""
-        each = F.sequence(F.lit(0), F.col(n) - 1)
-        cell = F.transform(each, lambda x: F.struct(lo.alias("lo"), i(x).cast("int").alias("i"), F.lit(next_).alias("next"),
-                                                    j(x).cast("int").alias("j"), side(x).cast("int").alias("side")))
-        return F.when(F.coalesce(F.col(n), F.lit(0)) > 0, cell).otherwise(F.array().cast(
-            "array<struct<lo:bigint,i:int,next:int,j:int,side:int>>"))
-
-    me, size = F.col("me"), F.col("size")
-    placed = (ends.join(many, ["label", "size"]).join(of(-1, "above"), ["label", "size"], "left")
-              .join(of(1, "below"), ["label", "size"], "left")
-              .withColumn("me", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-              .select("key", "label", F.concat(
-                  cells("blocks", size, lambda x: F.least(x, me), 0, lambda x: F.greatest(x, me), lambda x: me > x),
-                  cells("above", size, lambda x: me, 1, lambda x: x, lambda x: F.lit(0)),
-                  cells("below", size - 1, lambda x: x, 1, lambda x: me, lambda x: F.lit(1))).alias("cells")))
+    placed = in_cells(ends, "label", num, den, most, folder, "blocks")
     whole = whole_sets(rows, words, ends.select("key"))
-    cell = ["label", "cell.lo", "cell.i", "cell.next", "cell.j"]
     dealt = (placed.join(whole, "key").select("label", F.explode("cells").alias("cell"), "key", "set")
-             .select(*cell, "cell.side", "key", "set"))
+             .select("label", "cell.*", "key", "set"))
 
     def compare(name: tuple, side: np.ndarray, key: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(key, links within the cell)."""
@@ -537,7 +551,7 @@ def links(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows
     links is with how many other sets the document's set links, all of them
     verified.  Documents with one set are one."""
     folder = job_dir(docs.sparkSession, "jaccard")
-    rows, sets, classes, _, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder)
+    rows, sets, classes, _, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder, block)
     found = written(all_links(rows, classes, labels, words, num, den, folder, block), folder, "all")
     return (sets.join(found, "key", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
@@ -545,14 +559,14 @@ def links(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows
 
 
 def join(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows: int = 64,
-         sketch_bits: int = 20) -> DataFrame:
+         sketch_bits: int = 20, block: int = 1024) -> DataFrame:
     """doc_id, n_shingles, component_id and links_seen (links of the document's set
     that the search needed; ``links`` counts all) of every row, and, to find it
     again, text_key; stays is true for one document of each component, that of the
     smallest doc_id (its repeated rows share it).  Sets link when
     den * intersection >= num * union."""
     folder = job_dir(docs.sparkSession, "jaccard")
-    _, sets, classes, links, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder)
+    _, sets, classes, links, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder, block)
     degree = (links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key")
               .agg(F.count("*").alias("links")))
     named = (classes.select("key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))

@@ -140,6 +140,23 @@ def test_op7_links_are_all_links(num, list_rows, block, spark):
     assert sum(x[2] for x in want) > seen or list_rows == 64
 
 
+def test_op7_a_long_list_is_dealt_by_blocks(spark):
+    """Texts that share a passage and don't link: no task compares more than two blocks."""
+    rows = [(t, 100 + k % 40, 0, 7919 * k + t, 7919 * k + t) for t in (1, 2) for k in range(400)]
+    rows += [(3, 50, 0, k, 5) for k in range(30)]          # of one label: nothing to do
+    lists = spark.createDataFrame(rows, "token long, n int, pos int, key long, label long")
+    folder = jaccard_join.job_dir(spark, "test-jaccard")
+    got = jaccard_join.differing(lists, 17, 20, folder, block=16)
+    n = {t: [(k, m) for u, m, _, k, _ in rows if u == t] for t in (1, 2)}
+    want = {(min(a, b), max(a, b)) for t in n for a, x in n[t] for b, y in n[t]
+            if a < b and 20 * min(x, y) >= 17 * max(x, y)}
+    found = [(r["a"], r["b"]) for r in got.collect()]
+    assert set(found) == want and len(found) == len(want)
+    cells = jaccard_join.in_cells(lists, "token", 17, 20, F.count("*") / F.lit(16), folder, "again")
+    cells = cells.select("token", F.explode("cells").alias("c")).groupBy("token", "c.lo", "c.i", "c.next", "c.j").count()
+    assert cells.agg(F.max("count")).first()[0] < 4 * 16
+
+
 def test_op7_links_match_their_sql(spark, no_docs):
     from pulsekit.llm.queries import ORACLE, QUERIES
     from tools.oracle_check import compare, duck
