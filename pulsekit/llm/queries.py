@@ -67,7 +67,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
-def op7_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+def jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pulsekit.llm.jaccard_join import links
 
     return links(table(spark, sf_dir, "documents"), words=4, num=85, den=100).select(
@@ -95,7 +95,7 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_kn_quality, op2_byte_cnn_lang, op3_token_store, op4_lz_fingerprint, op5_gbt_toxicity,
-        op6_token_counts, op7_jaccard_join, op7_jaccard_links, op8_ann_projection, op9_bin_packing,
+        op6_token_counts, op7_jaccard_join, jaccard_links, op8_ann_projection, op9_bin_packing,
         op10_bpe_backtrack)
 }
 
@@ -153,4 +153,4 @@ SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, CAST(coalesce(f.l
 FROM sets JOIN class ON class.s = sets.s LEFT JOIN found f ON f.a = class.c"""
 
 #: DuckDB statements of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op7_jaccard_join": JACCARD_SQL, "op7_jaccard_links": JACCARD_LINKS_SQL}
+ORACLE: dict[str, str] = {"op7_jaccard_join": JACCARD_SQL, "jaccard_links": JACCARD_LINKS_SQL}

@@ -162,7 +162,7 @@ def test_op7_links_match_their_sql(spark, no_docs):
     from tools.oracle_check import compare, duck
 
     sf = "/root/testdata/sf0.001"
-    assert compare(QUERIES["op7_jaccard_links"](spark, sf).toPandas(), duck(sf).sql(ORACLE["op7_jaccard_links"]).df()) is None
+    assert compare(QUERIES["jaccard_links"](spark, sf).toPandas(), duck(sf).sql(ORACLE["jaccard_links"]).df()) is None
     assert jaccard_join.links(no_docs).collect() == []
 
 
