@@ -92,11 +92,17 @@ def op10_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
 
 
+def op11_cover_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.cover_topk import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_kn_quality, op2_byte_cnn_lang, op3_token_store, op4_lz_fingerprint, op5_gbt_toxicity,
         op6_token_counts, op7_jaccard_join, jaccard_links, op8_ann_projection, op9_bin_packing,
-        op10_bpe_backtrack)
+        op10_bpe_backtrack, op11_cover_topk)
 }
 
 #: All pairs of documents that share a shingle, and what they reach.
@@ -152,5 +158,22 @@ found AS (
 SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, CAST(coalesce(f.links, 0) AS BIGINT) AS links
 FROM sets JOIN class ON class.s = sets.s LEFT JOIN found f ON f.a = class.c"""
 
+#: Every query against every other vector.
+COVER_TOPK_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(list_sum(list_transform(
+               range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])), 0) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) AND q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM pairs
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
 #: DuckDB statements of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op7_jaccard_join": JACCARD_SQL, "jaccard_links": JACCARD_LINKS_SQL}
+ORACLE: dict[str, str] = {"op7_jaccard_join": JACCARD_SQL, "jaccard_links": JACCARD_LINKS_SQL,
+                          "op11_cover_topk": COVER_TOPK_SQL}
