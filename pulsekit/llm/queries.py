@@ -98,11 +98,17 @@ def op11_cover_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.word_runs import digests, planted, runs
+
+    return digests(runs(table(spark, sf_dir, "documents"), edit=planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_kn_quality, op2_byte_cnn_lang, op3_token_store, op4_lz_fingerprint, op5_gbt_toxicity,
         op6_token_counts, op7_jaccard_join, jaccard_links, op8_ann_projection, op9_bin_packing,
-        op10_bpe_backtrack, op11_cover_topk)
+        op10_bpe_backtrack, op11_cover_topk, op12_word_runs)
 }
 
 #: All pairs of documents that share a shingle, and what they reach.
