@@ -104,11 +104,18 @@ def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(runs(table(spark, sf_dir, "documents"), edit=planted))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsekit.llm.turn_repair import damaged, digests, repair
+
+    conversations = table(spark, sf_dir, "conversations")
+    return digests(repair(damaged(conversations)), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_kn_quality, op2_byte_cnn_lang, op3_token_store, op4_lz_fingerprint, op5_gbt_toxicity,
         op6_token_counts, op7_jaccard_join, jaccard_links, op8_ann_projection, op9_bin_packing,
-        op10_bpe_backtrack, op11_cover_topk, op12_word_runs)
+        op10_bpe_backtrack, op11_cover_topk, op12_word_runs, op13_turn_repair)
 }
 
 #: All pairs of documents that share a shingle, and what they reach.
