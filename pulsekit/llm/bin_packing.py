@@ -69,7 +69,6 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
                      pa.array(np.full(len(row), block)), pa.array(place)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32", "block", "place"])
                 block += 1
-        enc.forget()
         release()
 
     return id_and_text(docs).mapInArrow(work, PIECES)

@@ -212,7 +212,6 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                     n = 0
         if held:
             yield flush()
-        enc.forget()
         release()
 
     ordered = (id_and_text(docs).repartitionByRange("doc_id")

@@ -44,48 +44,63 @@ def load(path: str):
     return tok
 
 
+class Generation:
+    """ids of units by code, end to end.  Code 0 is IRREGULAR, without ids; code 1
+    the line feed."""
+
+    def __init__(self, feed: int):
+        self.codes: dict[str, int] = {"\n": 1}
+        self.flat = np.array([feed], np.uint32)
+        self.off = np.array([0, 0, 1])
+
+    def add(self, units: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
+        base = len(self.off) - 1
+        self.codes.update(zip(units, range(base, base + len(units))))
+        self.flat = np.concatenate([self.flat, ids])
+        self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(lens)])
+
+
 class UnitEncoder:
-    """ids of whole texts; ``limit`` bounds the units a worker remembers."""
+    """ids of whole texts.  A worker remembers units in two generations of about
+    ``limit``: when the young one is full it becomes the old one, and the old one's
+    units that are met again move to the young; others are forgotten with it."""
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.tok = load(path)
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.limit = limit
         (self.feed,) = self.tok.encode("\n", add_special_tokens=False).ids
-        self.forget()
-
-    def forget(self) -> None:
-        # code 0 is IRREGULAR, without ids; code 1 the line feed
-        self.codes: dict[str, int] = {}
-        self.codes["\n"] = 1
-        self.flat = np.array([self.feed], np.uint32)
-        self.off = np.array([0, 0, 1])
+        self.young, self.old = Generation(self.feed), Generation(self.feed)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def learn(self, units: list[str]) -> None:
+        """Put units that the young generation lacks into it."""
+        get = self.old.codes.get
+        codes = np.fromiter((get(u, -1) for u in units), np.int64, len(units))
+        met = np.flatnonzero(codes > IRREGULAR)
+        lens = self.old.off[codes[met] + 1] - self.old.off[codes[met]]
+        self.young.add([units[i] for i in met.tolist()], self.old.flat[gather(self.old.off[codes[met]], lens)], lens)
         good = []
-        for u in units:
+        for i in np.flatnonzero(codes <= IRREGULAR).tolist():
+            u = units[i]
             if is_byte_unit(u) and not ODD.search(u) and not any(s in u for s in self.specials):
                 good.append(u)
             else:
-                self.codes[u] = IRREGULAR
+                self.young.codes[u] = IRREGULAR
         # one call for many units: line feeds part them and are ids of their own
         runs = ["\n".join(good[i:i + 256]) for i in range(0, len(good), 256)]
         ids = np.concatenate([np.zeros(0, np.uint32)] + [
             np.array([*e.ids, self.feed], np.uint32)
             for e in self.tok.encode_batch_fast(runs, add_special_tokens=False)])
         ends = np.flatnonzero(ids == self.feed)
-        base = len(self.off) - 1
-        self.codes.update(zip(good, range(base, base + len(good))))
-        self.flat = np.concatenate([self.flat, ids[ids != self.feed]])
-        self.off = np.concatenate([self.off, self.off[-1] + ends - np.arange(len(ends))])
+        self.young.add(good, ids[ids != self.feed], np.diff(ends - np.arange(len(ends)), prepend=0))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text)."""
-        if len(self.codes) > self.limit:
-            self.forget()
+        if len(self.young.codes) > self.limit:
+            self.young, self.old = Generation(self.feed), self.young
         units: list[str] = []
         ends, alone = [], {}
         for i, t in enumerate(texts):
@@ -94,18 +109,19 @@ class UnitEncoder:
             elif t:
                 units += byte_units(t)
             ends.append(len(units))
-        get = self.codes.get
+        get = self.young.codes.get
         codes = np.fromiter((get(u, -1) for u in units), np.int64, len(units))
         missing = np.flatnonzero(codes < 0)
         if len(missing):
             self.learn(list(dict.fromkeys(units[i] for i in missing.tolist())))
-            codes[missing] = np.fromiter((self.codes[units[i]] for i in missing.tolist()),
+            codes[missing] = np.fromiter((self.young.codes[units[i]] for i in missing.tolist()),
                                          np.int64, len(missing))
         ends_a = np.array(ends, np.int64)
         for i in np.searchsorted(ends_a, np.flatnonzero(codes == IRREGULAR), side="right").tolist():
             alone[i] = None
-        lens = self.off[codes + 1] - self.off[codes]
-        ids = self.flat[gather(self.off[codes], lens)]
+        off = self.young.off
+        lens = off[codes + 1] - off[codes]
+        ids = self.young.flat[gather(off[codes], lens)]
         csum = np.concatenate([[0], np.cumsum(lens)])
         bounds = np.concatenate([[0], csum[ends_a]])
         if not alone:
@@ -118,9 +134,9 @@ class UnitEncoder:
 _ENCODERS: dict[tuple[str, int], UnitEncoder] = {}
 
 
-def encoder(path: str, limit: int = 300_000) -> UnitEncoder:
-    """The worker's encoder of a tokenizer file, kept between tasks; a task that
-    is done calls ``forget``, so that the worker's memory is free for the next."""
+def encoder(path: str, limit: int = 400_000) -> UnitEncoder:
+    """The worker's encoder of a tokenizer file, kept between tasks with the units
+    it knows."""
     key = (path, limit)
     if key not in _ENCODERS:
         _ENCODERS[key] = UnitEncoder(path, limit)
