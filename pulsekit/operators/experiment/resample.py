@@ -12,8 +12,8 @@ Only the sampled indices are joined to the users -- simulations are never
 crossed with users.
 
 Poisson bootstrap: users with the same (group, likes, views) are one cell, and
-the sum of their Poisson(1) weights is one Poisson(m) draw for m users, made
-of a draw for each power of two in m.  Work and shuffle follow the number of
+the sum of their Poisson(1) weights is one Poisson(m) draw for m users, of a few
+uniforms for any m (``functions.poisson``).  Work and shuffle follow the number of
 distinct cells, not of users.
 """
 
@@ -23,13 +23,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.hashing import uniform01
-from pulsekit.functions.stats import poisson_draw, welch_columns
+from pulsekit.functions.poisson import parts_of, poisson_part, quoted
+from pulsekit.functions.stats import welch_columns
 from pulsekit.operators.prefix import dense_index
 from pulsekit.operators.spread import spread
 
-#: Draws of the bootstrap use tables of Poisson(1), (2), (4) .. (1 << TOP_POWER).
-TOP_POWER = 6
-
 
 def draws_for(n: Column, k: int) -> Column:
     """Candidates to draw from n for k distinct: four times the expected number
@@ -123,30 +121,29 @@ def prob_a_gt_b_mc(df: DataFrame, value_col: str, a, b, n_draws: int = 10000, se
                      F.count(F.lit(1)).cast("double")).alias("share"))
 
 
+def poisson_weights(cells: DataFrame, keys: list[str], n_reps: int, seed: int, m: str = "m") -> DataFrame:
+    """(rep, *keys, m, part, weight): for each replicate and cell the parts of a
+    Poisson(m) draw, to be added up.  ``keys`` name a cell; a cell has one part, or
+    the powers of two in an m below SMALL."""
+    cells = cells.select(*keys, F.col(m).cast("long").alias("m"))
+    parts = spread(cells.select("*", F.explode(parts_of("m")).alias("part")), *keys, "part")
+    reps = parts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_reps - 1).cast("long"))).alias("rep"))
+    at = [F.lit(seed), F.col("rep"), *[F.col(k) for k in keys]]
+    reps = reps.withColumn("u", uniform01(*at, F.col("part"), F.lit(0)))
+    weight = poisson_part("part", "m", "u", [str(seed), "rep", *map(quoted, keys), "'m'"])
+    return reps.select("rep", *keys, "m", "part", weight.alias("weight"))
+
+
 def poisson_bootstrap(users: DataFrame, groups=(1, 2), n_bootstrap: int = 2000, seed: int = 0,
                       group_col: str = "exp_group") -> DataFrame:
     """Per (replicate, group): Poisson(1)-weighted likes, views and global CTR.
-    The weight of m users in one cell is drawn as Poisson(m): one draw for each
-    power of two in m up to TOP_POWER, and one of TOP_POWER for each time it is
-    in the rest."""
+    The weight of m users in one cell is one Poisson(m) draw, of a few uniforms
+    whatever m is, so the work follows the distinct cells."""
     cells = (users.filter(F.col(group_col).isin(*groups)).groupBy(group_col, "likes", "views")
              .agg(F.count(F.lit(1)).alias("m")))
-    top = 1 << TOP_POWER
-    parts = F.concat(
-        *[F.when((F.col("m").bitwiseAND(1 << b)) != 0, F.array(F.struct(F.lit(b).alias("b"), F.lit(0).cast("long").alias("i"))))
-          .otherwise(F.array().cast("array<struct<b:int,i:bigint>>")) for b in range(TOP_POWER)],
-        F.when(F.col("m") >= top, F.transform(
-            F.sequence(F.lit(1).cast("long"), F.floor(F.col("m") / top).cast("long")),
-            lambda i: F.struct(F.lit(TOP_POWER).alias("b"), i.alias("i"))))
-        .otherwise(F.array().cast("array<struct<b:int,i:bigint>>")))
-    pieces = spread(cells.select(group_col, "likes", "views", F.explode(parts).alias("p")), group_col, "likes", "views", "p")
-    reps = pieces.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_bootstrap - 1).cast("long"))).alias("rep"))
-    u = uniform01(F.lit(seed), F.col("rep"), F.col(group_col), F.col("likes"), F.col("views"), F.col("p.b"), F.col("p.i"))
-    reps = reps.withColumn("u", u)
-    w = F.lit(0).cast("long")
-    for b in range(TOP_POWER + 1):
-        w = F.when(F.col("p.b") == b, poisson_draw(F.col("u"), float(1 << b))).otherwise(w)
-    weighted = reps.select(group_col, "rep", (w * F.col("likes")).alias("wl"), (w * F.col("views")).alias("wv"))
+    w = F.col("weight")
+    weighted = (poisson_weights(cells, [group_col, "likes", "views"], n_bootstrap, seed)
+                .select(group_col, "rep", (w * F.col("likes")).alias("wl"), (w * F.col("views")).alias("wv")))
     agg = weighted.groupBy("rep", group_col).agg(F.sum("wl").alias("likes"), F.sum("wv").alias("views"))
     return agg.withColumn("global_ctr", F.try_divide(F.col("likes").cast("double"), F.col("views").cast("double")))
 

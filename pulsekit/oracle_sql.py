@@ -94,6 +94,25 @@ def poisson(u: str, mean: int) -> str:
     return f"CAST(len(list_filter([{table}], lambda c: c <= {u})) AS BIGINT)"
 
 
+def poisson_any(mean: str, u: str, part: str, *key: str) -> str:
+    """A draw of a part: by inverse CDF for a power of two (part >= 0), or for part -1
+    by rejection, every attempt listed and the first accepted one taken."""
+    m = f"CAST({mean} AS DOUBLE)"
+    h = f"md5(concat_ws('-', {', '.join(key)}, j))"
+    u1, v = (f"(CAST(('0x' || substr({h}, {at}, 13))::BIGINT AS DOUBLE) / {float(2 ** 52)!r})" for at in (1, 14))
+    b = f"(0.931 + 2.53 * sqrt({m}))"
+    a = f"(0.02483 * {b} - 0.059)"
+    tries = f"""list_transform(list_transform(range(0, 32),
+        lambda j: {{'u': {u1} - 0.5, 'v': {v}}}),
+        lambda t: {{'s': 0.5 - abs(t.u), 'v': t.v, 'k': floor((2.0 * {a} / (0.5 - abs(t.u)) + {b}) * t.u + {m} + 0.43)}})"""
+    good = f"""list_filter({tries}, lambda t: (t.s >= 0.07 AND t.v <= 0.9277 - 3.6224 / ({b} - 2.0))
+        OR (t.k >= 0 AND NOT (t.s < 0.013 AND t.v > t.s)
+            AND ln(t.v * (1.1239 + 1.1328 / ({b} - 3.4)) / ({a} / (t.s * t.s) + {b}))
+                <= t.k * ln({m}) - {m} - lgamma(greatest(t.k, 0.0) + 1.0)))"""
+    tables = " ".join(f"WHEN {b} THEN {poisson(u, 2 ** b)}" for b in range(4))
+    return f"CASE {part} {tables} ELSE CAST({good}[1].k AS BIGINT) END"
+
+
 def welch_sql(n1, m1, v1, n2, m2, v2) -> dict[str, str]:
     a, b = f"({v1} / {n1})", f"({v2} / {n2})"
     se2 = f"({a} + {b})"

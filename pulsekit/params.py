@@ -31,6 +31,8 @@ class Params:
     bucket_quantile: float = 0.9
     n_bootstrap: int = 2000
     n_aa_sims: int = 10000
+    # resampled histories of the daily view counts
+    n_day_reps: int = 50
     # users drawn from each group in an A/A run
     aa_sample_size: int = 500
     # the fixture's groups hold a few dozen users (34 at the scale of the checks),

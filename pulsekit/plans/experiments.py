@@ -4,8 +4,11 @@ smoothed, bucketed and linearized metrics, bootstrap and histograms."""
 from __future__ import annotations
 
 from pulsekit.oracle_sql import (
-    norm_p, poisson, r6 as s6, split as s_split, uniform as s_uniform, welch_sql, with_fixture,
+    norm_p, poisson_any, r6 as s6, split as s_split, uniform as s_uniform, welch_sql, with_fixture,
 )
+from pyspark.sql import functions as F
+
+from pulsekit.functions.columns import day_range
 from pulsekit.operators.experiment import histogram as hist
 from pulsekit.operators.experiment import resample, transforms, two_sample, user_metrics as um
 from pulsekit.params import DEFAULT_PARAMS as P
@@ -340,12 +343,12 @@ def q_prob_a_gt_b_mc(spark, sf_dir):
 
 BOOT_SQL = f"""
 cell AS (SELECT exp_group, likes, views, count(*) AS m FROM uc WHERE exp_group IN ({_in(AB)}) GROUP BY ALL),
-bit AS (SELECT exp_group, likes, views, b, 0 AS i FROM cell, range(0, 6) r(b) WHERE (m >> b) % 2 = 1
+bit AS (SELECT exp_group, likes, views, m, b AS part FROM cell, range(0, 4) r(b) WHERE m < 16 AND (m >> b) % 2 = 1
         UNION ALL
-        SELECT exp_group, likes, views, 6, unnest(range(1, m // 64 + 1)) FROM cell),
-bu AS (SELECT r.rep, bit.*, {s_uniform(str(SEED), 'r.rep', 'exp_group', 'likes', 'views', 'b', 'i')} AS u
+        SELECT exp_group, likes, views, m, -1 FROM cell WHERE m >= 16),
+bu AS (SELECT r.rep, bit.*, {s_uniform(str(SEED), 'r.rep', 'exp_group', 'likes', 'views', 'part', '0')} AS u
        FROM bit, range(0, {P.n_bootstrap}) r(rep)),
-bw AS (SELECT *, CASE b {' '.join(f'WHEN {b} THEN {poisson("u", 2 ** b)}' for b in range(7))} END AS w FROM bu),
+bw AS (SELECT *, {poisson_any('m', 'u', 'part', str(SEED), 'rep', 'exp_group', 'likes', 'views', "'m'")} AS w FROM bu),
 boot AS (SELECT rep, exp_group, CAST(sum(w * likes) AS BIGINT) AS likes, CAST(sum(w * views) AS BIGINT) AS views
          FROM bw GROUP BY rep, exp_group)"""
 
@@ -363,6 +366,24 @@ def q_poisson_bootstrap(spark, sf_dir):
     return r6(_boot(spark, sf_dir))
 
 
+@register("poisson_day_views", with_fixture(f"""
+cell AS (SELECT exp_group, CAST(time AS DATE) AS day, count(*) AS m FROM feed_actions
+         WHERE {EXP} AND action = 'view' GROUP BY ALL)""", f"""
+bit AS (SELECT *, b AS part FROM cell, range(0, 4) r(b) WHERE m < 16 AND (m >> b) % 2 = 1
+        UNION ALL SELECT *, NULL, -1 FROM cell WHERE m >= 16)""", f"""
+bu AS (SELECT bit.*, r.rep, {s_uniform(str(SEED), 'r.rep', 'exp_group', 'day', 'part', '0')} AS u
+       FROM bit, range(0, {P.n_day_reps}) r(rep))""", f"""
+    SELECT rep, exp_group, day, m, CAST(sum({poisson_any('m', 'u', 'part', str(SEED), 'rep', 'exp_group', 'day', "'m'")}) AS BIGINT) AS views
+    FROM bu GROUP BY rep, exp_group, day, m"""))
+def q_poisson_day_views(spark, sf_dir):
+    """Resampled views of each (group, day): Poisson draws around large counts."""
+    fd, _ = load_fixture_tables(spark, sf_dir)
+    days = (fd.filter(day_range(fd, "time", P.exp_start, P.exp_end) & (F.col("action") == "view"))
+            .groupBy("exp_group", F.to_date("time").alias("day")).agg(F.count(F.lit(1)).alias("m")))
+    drawn = resample.poisson_weights(days, ["exp_group", "day"], P.n_day_reps, SEED)
+    return drawn.groupBy("rep", "exp_group", "day", "m").agg(F.sum("weight").alias("views"))
+
+
 BD_SQL = f"""
 bd AS (SELECT rep,
               max(CASE WHEN exp_group = {AB[0]} THEN CAST(likes AS DOUBLE) / NULLIF(CAST(views AS DOUBLE), 0) END)
