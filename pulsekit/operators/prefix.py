@@ -32,7 +32,11 @@ _RID = "_range_id"
 def ranges_for(df: DataFrame) -> int:
     """Ranges for a materialized frame: one for every RANGE_ROWS rows, within
     bounds that keep the boundaries few enough for the driver."""
-    return int(min(MOST_RANGES, max(LEAST_RANGES, -(-df.count() // RANGE_ROWS))))
+    return ranges_of(df.count())
+
+
+def ranges_of(rows: int) -> int:
+    return int(min(MOST_RANGES, max(LEAST_RANGES, -(-rows // RANGE_ROWS))))
 
 
 def range_id(order_col: str, bounds: list[float]) -> Column:

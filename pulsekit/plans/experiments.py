@@ -208,10 +208,33 @@ mw AS (SELECT {a} AS group_a, {b} AS group_b, CAST(s.n_a AS BIGINT) AS n_a, CAST
 
 MWU_OUT = (f"SELECT group_a, group_b, n_a, n_b, {s6('u_a')} AS u_a, {s6('u_b')} AS u_b, {s6('z')} AS z, "
            f"{s6('p_value')} AS p_value, method, {s6('prob_a_gt_b')} AS prob_a_gt_b, "
-           f"{s6('prob_a_eq_b')} AS prob_a_eq_b FROM mw")
-
-
-@register("mwu_ctr", with_fixture(UC, _mwu_sql("uc", "ctr", *AB), MWU_OUT))
+           f"{s6('prob_a_eq_b')} AS prob_a_eq_b FROM ex")
+# few values without ties: in how many ways each sum of the ranks of the smaller sample
+# comes about, one rank more at a time (ways: by number of ranks taken, then sum)
+EXACT_SQL = """
+few AS (SELECT CAST(least(n_a, n_b) AS BIGINT) AS k, CAST(n_a + n_b AS BIGINT) AS n,
+               CAST(least(n_a, n_b) * (n_a + n_b) + 1 AS BIGINT) AS width
+        FROM s WHERE ties = 0 AND least(n_a, n_b) BETWEEN 1 AND 8 AND greatest(n_a, n_b) <= 10000),
+ways(r, w) AS (
+    SELECT CAST(0 AS BIGINT), list_transform(range(0, (k + 1) * width), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE 0.0 END) FROM few
+    UNION ALL
+    SELECT r + 1, list_transform(range(0, (k + 1) * width), lambda i:
+               w[i + 1] + CASE WHEN i >= width AND i % width > r THEN w[i - width - r] ELSE 0.0 END)
+    FROM ways, few WHERE r < n),
+last AS (SELECT k, list_slice(w, k * width + 1, (k + 1) * width) AS w FROM ways, few WHERE r = n),
+ex AS (SELECT mw.* EXCLUDE (p_value, method),
+              CASE WHEN k IS NULL THEN mw.p_value
+                   ELSE least(1.0, 2.0 * list_sum(list_slice(w, 1, CAST(least(u_a, u_b) AS BIGINT) + k * (k + 1) // 2 + 1)) / list_sum(w))
+              END AS p_value,
+              CASE WHEN k IS NULL THEN 'asymptotic' ELSE 'exact' END AS method
+       FROM mw LEFT JOIN last ON true)"""
+
+
+def _mwu_all(*ctes: str) -> str:
+    return with_fixture(*ctes, EXACT_SQL, MWU_OUT).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("mwu_ctr", _mwu_all(UC, _mwu_sql("uc", "ctr", *AB)))
 def q_mwu_ctr(spark, sf_dir):
     return r6(two_sample.mann_whitney(_users(spark, sf_dir, AB), "ctr", *AB))
 
@@ -223,18 +246,35 @@ def q_prob_a_gt_b(spark, sf_dir):
     return r6(m.select("group_a", "group_b", "prob_a_gt_b", "prob_a_eq_b"))
 
 
-@register("mwu_smoothed", with_fixture(UC, SMOOTH, _mwu_sql("sm", "smoothed_ctr", *AB), MWU_OUT))
+@register("mwu_smoothed", _mwu_all(UC, SMOOTH, _mwu_sql("sm", "smoothed_ctr", *AB)))
 def q_mwu_smoothed(spark, sf_dir):
     sm = transforms.smoothed_ctr(_users(spark, sf_dir, AB, reuse=True), P.smooth_alpha)
     return r6(two_sample.mann_whitney(sm, "smoothed_ctr", *AB))
 
 
-@register("mwu_bucket", with_fixture(UC, BUCKETS, _mwu_sql("bq", "bucket_ctr", *AB), MWU_OUT))
+@register("mwu_bucket", _mwu_all(UC, BUCKETS, _mwu_sql("bq", "bucket_ctr", *AB)))
 def q_mwu_bucket(spark, sf_dir):
     b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, None, "md5")
     return r6(two_sample.mann_whitney(b, "bucket_ctr", *AB))
 
 
+WEEKDAYS = f"""
+wd AS (SELECT exp_group, dayofweek(time) + 1 AS weekday,
+              CAST(count(CASE WHEN action = 'like' THEN 1 END) AS DOUBLE)
+                / NULLIF(count(CASE WHEN action = 'view' THEN 1 END), 0) AS ctr
+       FROM feed_actions WHERE {EXP} GROUP BY ALL)"""
+
+
+@register("mwu_weekday", _mwu_all(WEEKDAYS, _mwu_sql("wd", "ctr", *AB)))
+def q_mwu_weekday(spark, sf_dir):
+    """Two groups' CTR by day of the week: samples of seven, so an exact p."""
+    fd, _ = load_fixture_tables(spark, sf_dir)
+    liked, viewed = (F.count_if(F.col("action") == x).cast("double") for x in ("like", "view"))
+    days = (fd.filter(day_range(fd, "time", P.exp_start, P.exp_end)).groupBy("exp_group", F.dayofweek("time").alias("weekday"))
+            .agg(F.try_divide(liked, viewed).alias("ctr")))
+    return r6(two_sample.mann_whitney(days, "ctr", *AB))
+
+
 # ------------------------------------------------------------ histograms
 def _hist_sql(src: str, value: str, bins: int, by: str | None, lo: str, hi: str,
               by_data: bool = True) -> str:
