@@ -5,9 +5,9 @@ every job is repeatable, survives task retries unchanged, and can be
 reproduced by any SQL engine.
 
 A/A simulation: users are numbered 0..n-1 inside their group (distributed
-prefix count).  Each (simulation, group) row draws indices ``floor(u * n)`` and
-keeps the first ``k`` distinct ones: a uniform sample without replacement.  A
-group smaller than ``k``, or a draw that falls short of ``k``, is an error.
+prefix count).  Each (simulation, group) row has a keyed permutation of 0..n-1
+(``functions.permutation``), and the images of 0..k-1 are its sample without
+replacement.  A group smaller than ``k`` is an error.
 Only the sampled indices are joined to the users -- simulations are never
 crossed with users.
 
@@ -23,19 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.functions.hashing import uniform01
+from pulsekit.functions.permutation import ROUNDS, round_keys, with_permuted
 from pulsekit.functions.poisson import parts_of, poisson_part, quoted
 from pulsekit.functions.stats import welch_columns
 from pulsekit.operators.prefix import dense_index
 from pulsekit.operators.spread import spread
 
 
-def draws_for(n: Column, k: int) -> Column:
-    """Candidates to draw from n for k distinct: four times the expected number
-    and 64, of which a shortfall is practically impossible (and raises)."""
-    n = n.cast("double")
-    return F.ceil(F.lit(4.0) * n * F.log(n / (n - F.lit(float(k)) + F.lit(0.5))) + F.lit(64.0)).cast("int")
-
-
 def indexed_users(df: DataFrame, value_col: str, groups, group_col: str = "exp_group") -> DataFrame:
     """(group, idx, value) with idx = position of user_id in its group."""
     u = df.filter(F.col(group_col).isin(*groups) & F.col(value_col).isNotNull()) \
@@ -44,38 +38,41 @@ def indexed_users(df: DataFrame, value_col: str, groups, group_col: str = "exp_g
 
 
 def aa_simulation(df: DataFrame, value_col: str, groups=(2, 3), n_sims: int = 10000, k: int = 500,
-                  seed: int = 0, group_col: str = "exp_group", replace: bool = False) -> DataFrame:
-    """One row per simulation: sample sizes, means, Welch t, df and p of
-    two samples of ``k`` users drawn without replacement from each group
-    (``replace=True``: with replacement, a bootstrap-style A/A check)."""
+                  seed: int = 0, group_col: str = "exp_group", replace: bool = False,
+                  most_share: float | None = None) -> DataFrame:
+    """One row per simulation: sample sizes, means, Welch t, df and p of two samples
+    of ``k`` users drawn without replacement from each group (``replace=True``: with
+    replacement, a bootstrap-style A/A check).  A group of fewer than ``k`` users is
+    an error; with ``most_share`` the samples are instead at most that share of the
+    smaller group (rounded down)."""
     a, b = groups
     users = indexed_users(df, value_col, groups, group_col)
     n = F.col("n")
     sizes = users.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
+    draws = F.lit(k).cast("long")
+    if most_share is not None:
+        # two rows: every group gets the size that the smaller allows
+        least = F.min("n").over(Window.partitionBy(F.lit(0)))
+        draws = F.least(draws, F.floor(least * F.lit(most_share)))
+    sizes = sizes.select(group_col, "n", draws.alias("k"))
     if not replace:
         small = F.raise_error(F.concat(F.lit(f"an A/A sample of {k} from a group of "), n.cast("string"))).cast("long")
-        sizes = sizes.select(group_col, F.when(n >= k, n).otherwise(small).alias("n"))
-    m = F.lit(k) if replace else draws_for(n, k)
-    sims = spread(sizes.select(group_col, "n", F.explode(F.sequence(
+        sizes = sizes.withColumn("n", F.when(n >= F.col("k"), n).otherwise(small))
+    sims = spread(sizes.select(group_col, "n", "k", F.explode(F.sequence(
         F.lit(0).cast("long"), F.lit(n_sims - 1).cast("long"))).alias("sim")), group_col, "sim")
-    # draws j = 1..m per (sim, group): one code-generated row each; the
-    # first k distinct indices in draw order form the sample
-    raw = sims.select(group_col, "sim", "n", F.explode(F.sequence(F.lit(1), m)).alias("j"))
-    raw = raw.select(group_col, "sim", "j", F.floor(
-        uniform01(F.lit(seed), F.col("sim"), F.col(group_col), F.col("j")) * n).cast("long").alias("idx"))
+    if not replace:        # a permutation of the group's users for each (sim, group)
+        keys = [f"_key{r}" for r in range(ROUNDS)]
+        sims = sims.select("*", *[c.alias(x) for x, c in zip(keys, round_keys(F.lit(seed), F.col("sim"), F.col(group_col)))])
+    # draws j = 0..k-1 per (sim, group): one row each
+    raw = sims.select("*", F.explode(F.expr("sequence(0L, k - 1)")).alias("j")).where("k > 0")
     if replace:
-        drawn = raw.select(group_col, "sim", "idx")
+        drawn = raw.select(group_col, "sim", "k", F.floor(
+            uniform01(F.lit(seed), F.col("sim"), F.col(group_col), F.col("j") + 1) * n).cast("long").alias("idx"))
     else:
-        first = raw.groupBy(group_col, "sim", "idx").agg(F.min("j").alias("j"))
-        order = Window.partitionBy(group_col, "sim").orderBy("j")
-        drawn = (first.withColumn("_r", F.row_number().over(order))
-                      .filter(F.col("_r") <= k).select(group_col, "sim", "idx"))
+        drawn = with_permuted(raw, "j", "n", keys, "idx").select(group_col, "sim", "k", "idx")
     picked = drawn.join(users.select(group_col, "idx", "value"), [group_col, "idx"])
     per = picked.groupBy(group_col, "sim").agg(
         F.count(F.lit(1)).alias("cnt"), F.avg("value").alias("mean"), F.var_samp("value").alias("var"))
-    short = F.raise_error(F.concat(F.lit(f"an A/A run drew fewer than {k}: "), F.col("cnt").cast("string"))).cast("long")
-    per = per.withColumn("cnt", F.when(F.col("cnt") == k, F.col("cnt")).otherwise(short))
-
     def side(g, col):
         return F.max(F.when(F.col(group_col) == F.lit(g), F.col(col)))
 

@@ -35,9 +35,8 @@ class Params:
     n_day_reps: int = 50
     # users drawn from each group in an A/A run
     aa_sample_size: int = 500
-    # the fixture's groups hold a few dozen users (34 at the scale of the checks),
-    # so its A/A queries pass this sample size instead, explicitly
-    aa_fixture_sample: int = 20
+    # at most this share of the smaller group, for tables whose groups are smaller
+    aa_most_share: float = 0.6
     n_pair_draws: int = 10000
     alpha: float = 0.05
     seed: int = 20240115

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pulsekit.oracle_sql import r6 as s6, rnd, with_fixture
 from pulsekit.operators import anomaly, intraday
 from pulsekit.params import DEFAULT_PARAMS as P
 from pulsekit.plans.catalog import r6, register
+from pulsekit.session import shared_path
 from pulsekit.sources import load_fixture_tables
+from pulsekit.sources.events import fixture_feed_actions, fixture_message_actions, stream_events
+from pulsekit.streaming import alerts as streamed
 
 START, END = intraday.alert_window(P.as_of_ts)
 WINDOW = f"time >= TIMESTAMP '{START:%Y-%m-%d %H:%M:%S}' AND time < TIMESTAMP '{END:%Y-%m-%d %H:%M:%S}'"
@@ -78,14 +83,28 @@ def q_metrics_15m_long(spark, sf_dir):
     return r6(intraday.metrics_long(intraday.metrics_15m(fd, ms, P.as_of_ts)))
 
 
-@register("anomaly_bands", with_fixture(BANDS_SQL, f"""
+BANDS_OUT = with_fixture(BANDS_SQL, f"""
     SELECT metric, ts, {s6('value')} AS value, {s6('q25')} AS q25, {s6('q75')} AS q75, {s6('iqr')} AS iqr,
            {s6('up')} AS up, {s6('low')} AS low, {s6('prev_value')} AS prev_value
-    FROM bands"""))
+    FROM bands""")
+
+
+@register("anomaly_bands", BANDS_OUT)
 def q_anomaly_bands(spark, sf_dir):
     return r6(_bands(spark, sf_dir))
 
 
+@register("stream_anomaly_bands", BANDS_OUT)
+def q_stream_anomaly_bands(spark, sf_dir):
+    """The bands that a stream over the logs leaves in its store."""
+    folder = shared_path(spark, f"alerts-{uuid.uuid4().hex[:12]}")
+    events = stream_events(spark, sf_dir)
+    query = streamed.start_alerts(fixture_feed_actions(events), fixture_message_actions(events), f"{folder}/store",
+                                  f"{folder}/checkpoint", lambda: P.as_of_ts, A, N, every=None)
+    query.awaitTermination()
+    return r6(streamed.newest(spark, f"{folder}/store", "bands"))
+
+
 @register("anomaly_flags", with_fixture(BANDS_SQL, f"""
     SELECT metric, ts, {s6('value')} AS value, {s6('prev_value')} AS prev_value,
            {s6('up')} AS up, {s6('low')} AS low, is_alert

@@ -35,6 +35,10 @@ def _in(groups) -> str:
     return ", ".join(str(g) for g in groups)
 
 
+def recursive(*ctes: str) -> str:
+    return with_fixture(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 UC = f"""
 uc AS (
     SELECT exp_group, user_id,
@@ -231,7 +235,7 @@ ex AS (SELECT mw.* EXCLUDE (p_value, method),
 
 
 def _mwu_all(*ctes: str) -> str:
-    return with_fixture(*ctes, EXACT_SQL, MWU_OUT).replace("WITH ", "WITH RECURSIVE ", 1)
+    return recursive(*ctes, EXACT_SQL, MWU_OUT)
 
 
 @register("mwu_ctr", _mwu_all(UC, _mwu_sql("uc", "ctr", *AB)))
@@ -299,28 +303,39 @@ def q_ctr_histogram(spark, sf_dir):
 
 
 # ------------------------------------------------------------ seeded resampling
-# an A/A run draws aa_sample_size (500) users of each group; the fixture's groups
-# are smaller, so these queries name their own sample size
-N_SIMS, K = P.n_aa_sims, P.aa_fixture_sample
+# an A/A run draws aa_sample_size (500) users of each group, or aa_most_share of the
+# smaller group where that is less
+N_SIMS, K = P.n_aa_sims, P.aa_sample_size
 # users are numbered by (remainder of md5 by 2 ** 20, user_id)
 IDX_ORDER = f"{s_split('user_id', None, 1048576)}, user_id"
 A0, B0 = AA
 
 
 def _aa_sql() -> str:
-    """Each run keeps the first K distinct of many candidates: how many there are
-    doesn't matter, as long as K are found."""
+    """Runs draw by a permutation of the users' numbers: the rounds one by one, and
+    again for what is not below n."""
     w = welch_sql("n_a", "mean_a", "var_a", "n_b", "mean_b", "var_b")
+    h = [f"md5(concat_ws('-', {SEED}, sim, exp_group, {i}))" for i in (0, 1)]
+    keys = ", ".join(f"('0x' || substr({h[r // 4]}, {8 * (r % 4) + 1}, 8))::BIGINT AS key{r}" for r in range(8))
+    names = ", ".join(f"key{r}" for r in range(8))
+    source = "(SELECT *, y // b AS l, y % b AS r FROM walk WHERE NOT started OR y >= n)"
+    for r in range(8):
+        own, other, size = ("l", "r", "a") if r % 2 == 0 else ("r", "l", "b")
+        once = f"(({other} * 40503 + key{r}) % 2147483647)"
+        source = f"(SELECT * REPLACE (({own} + ({once} * {once} + key{r}) % 2147483647) % {size} AS {own}) FROM {source})"
     return f"""
 ui AS (SELECT exp_group, row_number() OVER (PARTITION BY exp_group ORDER BY {IDX_ORDER}) - 1 AS idx,
               ctr AS value
        FROM uc WHERE exp_group IN ({A0}, {B0}) AND ctr IS NOT NULL),
-sz AS (SELECT exp_group, count(*) AS n FROM ui GROUP BY exp_group),
-dr AS (SELECT exp_group, sim, j, CAST(floor({s_uniform(str(SEED), 'sim', 'exp_group', 'j')} * n) AS BIGINT) AS idx
-       FROM sz, range(0, {N_SIMS}) r(sim), range(1, {6 * K}) t(j)),
-fo AS (SELECT exp_group, sim, idx, min(j) AS j FROM dr GROUP BY exp_group, sim, idx),
-pk AS (SELECT exp_group, sim, idx FROM fo
-       QUALIFY row_number() OVER (PARTITION BY exp_group, sim ORDER BY j) <= {K}),
+sz AS (SELECT exp_group, n, CAST(least({K}, floor(min(n) OVER () * {P.aa_most_share!r})) AS BIGINT) AS k,
+              CAST(ceil(sqrt(n)) AS BIGINT) AS a
+       FROM (SELECT exp_group, count(*) AS n FROM ui GROUP BY exp_group)),
+walk(exp_group, sim, n, a, b, y, started, {names}) AS (
+    SELECT exp_group, sim, n, a, (n + a - 1) // a, j, false, {keys}
+    FROM (SELECT * FROM sz, range(0, {N_SIMS}) r(sim)), range(0, {K}) t(j) WHERE j < k
+    UNION ALL
+    SELECT exp_group, sim, n, a, b, l * b + r, true, {names} FROM {source}),
+pk AS (SELECT exp_group, sim, CAST(y AS BIGINT) AS idx FROM walk WHERE started AND y < n),
 per2 AS (SELECT pk.exp_group, pk.sim, count(*) AS cnt, avg(value) AS mean, var_samp(value) AS var
          FROM pk JOIN ui ON ui.exp_group = pk.exp_group AND ui.idx = pk.idx GROUP BY pk.exp_group, pk.sim),
 wide AS (SELECT sim,
@@ -337,17 +352,17 @@ aa AS (SELECT sim, n_a, n_b, mean_a, mean_b, {w['t_stat']} AS t_stat, {w['dof']}
 def _aa(spark, sf_dir):
     # one row per simulation; materialized so the p-value stage runs once
     # even when a read-out filters and projects it
-    return materialize(resample.aa_simulation(_users(spark, sf_dir, AA), "ctr", AA, N_SIMS, K, SEED))
+    return materialize(resample.aa_simulation(_users(spark, sf_dir, AA), "ctr", AA, N_SIMS, K, SEED, most_share=P.aa_most_share))
 
 
-@register("aa_simulation", with_fixture(UC, _aa_sql(), f"""
+@register("aa_simulation", recursive(UC, _aa_sql(), f"""
     SELECT sim, n_a, n_b, {s6('mean_a')} AS mean_a, {s6('mean_b')} AS mean_b, {s6('t_stat')} AS t_stat,
            {s6('dof')} AS dof, {s6('p_value')} AS p_value FROM aa"""))
 def q_aa_simulation(spark, sf_dir):
     return r6(_aa(spark, sf_dir))
 
 
-@register("aa_false_positive_rate", with_fixture(UC, _aa_sql(), f"""
+@register("aa_false_positive_rate", recursive(UC, _aa_sql(), f"""
     SELECT count(*) AS n_sims, count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS n_significant,
            count(*) - count(p_value) AS n_undefined,
            {s6(f"CAST(count(CASE WHEN p_value <= {P.alpha!r} THEN 1 END) AS DOUBLE) / NULLIF(count(*), 0)")}
@@ -357,7 +372,7 @@ def q_aa_false_positive_rate(spark, sf_dir):
     return r6(resample.false_positive_rate(_aa(spark, sf_dir), P.alpha))
 
 
-@register("p_value_histogram", with_fixture(
+@register("p_value_histogram", recursive(
     UC, _aa_sql(), _hist_sql("aa", "p_value", P.hist_bins, None, "0.0", "1.0", by_data=False), "SELECT * FROM hist"))
 def q_p_value_histogram(spark, sf_dir):
     return r6(hist.histogram(_aa(spark, sf_dir), "p_value", P.hist_bins, (), 0.0, 1.0))

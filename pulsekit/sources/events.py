@@ -60,6 +60,16 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``events`` table as a stream of its files: a folder, or one file, which a
+    stream finds by its name in the folder around it."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+    reader = spark.readStream.schema(read_events(spark, sf_dir).schema)
+    return reader.parquet(path) if folder else reader.option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
+
+
 _FIXTURE_PLANS: dict = {}
 
 

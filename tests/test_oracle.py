@@ -3,13 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from pulsekit.operators.experiment import resample
 from pulsekit.plans import catalog
 from tests.conftest import SF_MID, SF_SMALL
 from tools.oracle_check import compare, duck, type_mismatches
 
 catalog.load_all()
 QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
-#: The A/A sample is larger than the smallest fixture's groups.
+#: Too few users in the smallest fixture for an A/A sample of two.
 MID_ONLY = {"aa_simulation", "aa_false_positive_rate", "p_value_histogram"}
 
 
@@ -23,8 +24,9 @@ def test_all_are_registered():
 
 
 def test_a_group_below_the_sample_size_is_an_error(spark):
-    with pytest.raises(Exception, match="an A/A sample of 20 from a group of"):
-        QUERIES["aa_simulation"](spark, SF_SMALL).collect()
+    users = QUERIES["user_ctr"](spark, SF_SMALL)
+    with pytest.raises(Exception, match="an A/A sample of 500 from a group of"):
+        resample.aa_simulation(users, "ctr", (2, 3), 10).collect()
 
 
 def test_every_query_has_an_oracle():
