@@ -40,24 +40,24 @@ from pyspark.sql import functions as F
 from pulsekit.llm.common import id_and_text, job_dir, pieces, release, splitmix, written
 
 BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_POWERS: list[np.ndarray] = []
 
 
-def powers(n: int) -> list[np.ndarray]:
-    """Powers of BASE and INVERSE below n; a worker keeps those of usual lengths."""
-    if _POWERS and len(_POWERS[0]) >= n:
-        return _POWERS
-    made = []
-    for b in (BASE, INVERSE):
-        p = np.full(n, b, np.uint64)
-        p[:1] = 1
-        made.append(np.multiply.accumulate(p))
-    if n <= 1 << 22:
-        _POWERS[:] = made
-    return made
+def word_hashes(data: bytes, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A hash of each word data[lo:hi], eight bytes at a time: a word of up to eight
+    bytes is told from every other of its length, and each further block is mixed into
+    the hash so far, which no fixed pattern of letters undoes."""
+    blocks = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))     # at every byte
+    n = hi - lo
+    h = splitmix(n.astype(np.uint64))
+    at = np.arange(len(lo))
+    for done in range(0, int(n.max(initial=0)), 8):
+        at = at[n[at] > done]
+        used = np.minimum(n[at] - done, 8).astype(np.uint64) * np.uint64(8)
+        block = blocks[lo[at] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - used))
+        h[at] = splitmix(h[at] * np.uint64(BASE) ^ block)
+    return h
 
 
 def shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,10 +67,7 @@ def shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
     space = SPACE[raw]
     edge = np.flatnonzero(np.diff(space, prepend=True))    # starts and ends by turns
     lo, hi = edge[::2], edge[1::2]
-    up, down = powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
-    word = splitmix((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64))
+    word = word_hashes(data, lo, hi)
     begin = np.cumsum([0] + [len(t) + 1 for t in texts])
     doc = np.searchsorted(begin, lo, side="right") - 1
     n_words = np.bincount(doc, minlength=len(texts))
@@ -411,6 +408,9 @@ def components(links: DataFrame, folder: str, name: str) -> DataFrame:
         small = (down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct())
         edges = written(small, folder, f"edges{name}-{step}")
+    else:
+        # a round halves the depth, so that this many are never needed
+        raise RuntimeError("components are not settled after 100 rounds")
     # all edges are (key, smallest key) now
     return edges.select(F.col("a").alias("key"), F.col("b").alias("label"))
 

@@ -166,6 +166,21 @@ def test_op7_links_match_their_sql(spark, no_docs):
     assert jaccard_join.links(no_docs).collect() == []
 
 
+def test_op7_tells_words_apart_that_polynomials_confuse():
+    """Thue-Morse words of 1,024 letters and their complements, and blocks of zeros."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), word[:512], "\0", "\0\0", "\0" * 8, "\0" * 9, "a\0" * 8, word + " a", "A" * 8]
+    texts += ["x" * n for n in (1, 7, 8, 9, 15, 16, 17, 3000)]
+    doc, h = jaccard_join.shingles([t.encode() for t in texts], 4)
+    assert len(doc) == len(texts) and len(set(h.tolist())) == len(texts)
+    again = jaccard_join.shingles([t.encode() for t in reversed(texts)], 4)[1]
+    assert again.tolist() == h.tolist()[::-1]
+    lower = jaccard_join.shingles([b"a" * 8, b"A" * 8], 4)[1]
+    assert lower[0] == lower[1]
+
+
 def test_op7_no_rows(no_docs):
     assert jaccard_join.join(no_docs).collect() == []
     assert lz_fingerprint.edited_likeness(no_docs).collect() == []
