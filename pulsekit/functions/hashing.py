@@ -64,11 +64,62 @@ def uniform01(*parts) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("long").cast("double") / F.lit(TWO_POW_52)
 
 
+# xxHash64's published primes (fixed values)
+XXH_PRIME_1 = 0x9E3779B185EBCA87
+XXH_PRIME_2 = 0xC2B2AE3D27D4EB4F
+XXH_PRIME_4 = 0x85EBCA77C2B2AE63
+XXH_PRIME_5 = 0x27D4EB2F165667C5
+
+#: The seed that Spark's ``xxhash64`` starts from.
+SPARK_SEED = 42
+
+
+def _long_with_hash_zero() -> int:
+    """The long whose hash under ``SPARK_SEED`` is 0.
+
+    Spark hashes several columns in a chain, each column's hash being the next
+    one's seed, so this value in front gives the next column the seed 0.  The hash
+    of 8 bytes is a bijection; it is undone step by step from 0, which the last
+    mixing leaves as it is."""
+    size = 1 << 64
+
+    def undo(x: int, prime: int) -> int:
+        return x * pow(prime, -1, size) % size
+
+    def rotate_right(x: int, bits: int) -> int:
+        return (x >> bits | x << (64 - bits)) % size
+
+    mixed = rotate_right(undo(-XXH_PRIME_4 % size, XXH_PRIME_1), 27)
+    lane = mixed ^ (SPARK_SEED + XXH_PRIME_5 + 8) % size
+    value = undo(rotate_right(undo(lane, XXH_PRIME_1), 31), XXH_PRIME_2)
+    return value - size if value >= size // 2 else value
+
+
+def xxh64(value: Column | str) -> Column:
+    """xxHash64 with seed 0, as a signed long: of a long's 8 or an int's 4
+    little-endian bytes, or of a string's UTF-8 bytes.  Null for null."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.when(c.isNotNull(), F.xxhash64(F.lit(_long_with_hash_zero()).cast("long"), c))
+
+
+def unsigned_mod(h: Column, n: int) -> Column:
+    """``h`` read as an unsigned 64-bit integer, mod ``n`` (below 2**31)."""
+    if not 1 <= n < 2 ** 31:
+        raise ValueError("n must be in [1, 2**31)")
+    m = F.lit(n).cast("long")
+    wrap = F.when(h < 0, F.lit((1 << 64) % n)).otherwise(F.lit(0))
+    return F.pmod(F.pmod(h, m) + wrap, m)
+
+
 def hash_bucket(user_id: Column | str, n: int, method: str = "md5") -> Column:
-    """Bucket id in [0, n): ``md5`` (portable) or Spark's native ``xxhash64``."""
+    """Bucket id in [0, n): ``md5`` (portable), ``xxh64`` (published xxHash64, seed 0,
+    as column stores bucket) or Spark's native ``xxhash64`` (its own seed).  A null id
+    has a null bucket under ``md5`` and ``xxh64``."""
     uid = F.col(user_id) if isinstance(user_id, str) else user_id
     if method == "md5":
         return ab_split(uid, salt=None, n_groups=n)
+    if method == "xxh64":
+        return unsigned_mod(xxh64(uid), n).cast("int")
     if method == "xxhash64":
         return F.pmod(F.xxhash64(uid), F.lit(n)).cast("int")
     raise ValueError(f"unknown bucket method {method!r}")

@@ -39,7 +39,7 @@ def lin_likes(users: DataFrame, control: dict[int, int], group_col: str = "exp_g
 def bucket_ctr(users: DataFrame, n_buckets: int = 50, q: float | None = 0.9, method: str = "md5",
                group_col: str = "exp_group", q_name: str = "ctr9") -> DataFrame:
     """Per (group, bucket): sum(likes)/sum(views) and the exact ``q`` quantile
-    of user CTR: the element at 0-based position floor(q * n) of the sorted
+    of user CTR (``method``: see ``hash_bucket``): the element at 0-based position floor(q * n) of the sorted
     values (NULL CTRs left out).  ``q`` None leaves the quantile out, for tests
     that read only the ratio.
 

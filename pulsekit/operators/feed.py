@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import count_nonnull_if, day_range, round_half_even, safe_div
@@ -64,12 +64,16 @@ def feed_daily(feed: DataFrame, first_day: dt.date, last_day: dt.date, approx: b
             F.sum("likes").alias("likes"),
             F.sum("views").alias("views"),
         )
-    return agg.select(
-        "event_date", "dau", "likes", "views",
+    return agg.select("event_date", "dau", "likes", "views", *feed_ratios())
+
+
+def feed_ratios() -> list[Column]:
+    """ctr (2 places, half-even), likes_per_user, views_per_user."""
+    return [
         round_half_even(safe_div(F.col("likes"), F.col("views")), 2).alias("ctr"),
         safe_div(F.col("likes"), F.col("dau")).alias("likes_per_user"),
         safe_div(F.col("views"), F.col("dau")).alias("views_per_user"),
-    )
+    ]
 
 
 def trailing_week(as_of: dt.date, days: int = 7) -> tuple[dt.date, dt.date]:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import fmt_fixed
@@ -55,25 +55,26 @@ def daily_app_report(feed: DataFrame, messages: DataFrame, as_of: dt.date) -> Da
     return out.withColumn("message", text)
 
 
-def _long(df: DataFrame, chart: str, series: list[str]) -> DataFrame:
-    d = df.select(F.col("event_date").alias("x"), *[F.col(c).cast("double").alias(c) for c in series])
-    return d.unpivot(["x"], series, "series", "y").select(F.lit(chart).alias("chart"), "x", "series", "y")
+def _charts(days: DataFrame, charts: list[tuple[str, str, Column]]) -> DataFrame:
+    """A row (chart, x, series, y) for each day and entry whose ``when`` is not null."""
+    rows = F.array(*[F.when(when.isNotNull(), F.struct(
+        F.lit(chart).alias("chart"), F.lit(series).alias("series"), F.col(series).cast("double").alias("y")))
+        for chart, series, when in charts])
+    return (days.select(F.col("event_date").alias("x"), F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+            .select("r.chart", "x", "r.series", "r.y"))
 
 
 def feed_series_long(feed: DataFrame, messages: DataFrame, as_of: dt.date) -> DataFrame:
     """Series of the four weekly charts: feed metrics, audience split,
-    feed events per user, messenger events per user."""
-    wk = feedm.feed_week(feed, as_of)
-    aud = audience.audience_split(feed, messages, as_of)
+    feed events per user, messenger events per user.  The first three come from
+    one aggregate of both logs; the feed's points are there on days with a feed
+    row, a part of the audience's on days with a row of it."""
+    days = audience.week_overview(feed, messages, as_of).select("*", *feedm.feed_ratios())
+    has_feed = F.col("dau")
+    charts = [("feed_7d", c, has_feed) for c in ("dau", "likes", "views", "ctr")]
+    charts += [("audience_7d", c, F.col(c)) for c in audience.PARTS]
+    charts += [("feed_per_user_7d", c, has_feed) for c in ("likes_per_user", "views_per_user", "ctr")]
     msg = messaging.message_daily_weighted(messages, as_of)
-    parts = [
-        _long(wk, "feed_7d", ["dau", "likes", "views", "ctr"]),
-        *[_long(aud[k].withColumnRenamed("users", k), "audience_7d", [k])
-          for k in ("both", "feed_only", "message_only")],
-        _long(wk, "feed_per_user_7d", ["likes_per_user", "views_per_user", "ctr"]),
-        _long(msg, "messages_7d", ["msg_sent_per_user", "msg_received_per_user", "receivers_per_user"]),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _charts(days, charts).unionByName(_charts(msg, [
+        ("messages_7d", c, F.col("event_date"))
+        for c in ("msg_sent_per_user", "msg_received_per_user", "receivers_per_user")]))

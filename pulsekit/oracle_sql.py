@@ -32,6 +32,31 @@ def split(uid: str, salt: str | None, n: int) -> str:
     return f"CAST({md5_mod(text, n)} AS INTEGER)"
 
 
+def xxh64_of_longs(src: str, col: str) -> str:
+    """SELECT of ``col`` and ``h``: xxHash64 (seed 0) of its 8 bytes as UBIGINT, in
+    128-bit arithmetic reduced modulo 2**64."""
+    p1, p2, p3 = 11400714785074694791, 14029467366897019727, 1609587929392839161
+    p4, p5 = 9650029242287828579, 2870177450012600261
+
+    def low(e: str) -> str:
+        return f"CAST(({e}) % 18446744073709551616::UHUGEINT AS UBIGINT)"
+
+    def times(x: str, k: int) -> str:
+        return low(f"CAST({x} AS UHUGEINT) * {k}::UHUGEINT")
+
+    def rotl(x: str, r: int) -> str:
+        return f"({times(x, 2 ** r)} | ({x} >> {64 - r}))"
+
+    unsigned = low(f"CAST(CASE WHEN {col} < 0 THEN {col}::HUGEINT + 18446744073709551616::HUGEINT ELSE {col} END AS UHUGEINT)")
+    steps = [times("x", p2), times(rotl("x", 31), p1), f"xor(x, {p5 + 8}::UBIGINT)",
+             low(f"CAST({times(rotl('x', 27), p1)} AS UHUGEINT) + {p4}::UHUGEINT"),
+             times("xor(x, x >> 33)", p2), times("xor(x, x >> 29)", p3), "xor(x, x >> 32)"]
+    q = f"SELECT DISTINCT {col}, {unsigned} AS x FROM {src}"
+    for step in steps:
+        q = f"SELECT {col}, {step} AS x FROM ({q})"
+    return f"SELECT {col}, x AS h FROM ({q})"
+
+
 def uniform(*parts: str) -> str:
     h = f"md5(concat_ws('-', {', '.join(parts)}))"
     return f"(CAST(('0x' || substr({h}, 1, 13))::BIGINT AS DOUBLE) / {float(2 ** 52)!r})"

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pulsekit.oracle_sql import (
     norm_p, poisson_any, r6 as s6, split as s_split, uniform as s_uniform, welch_sql, with_fixture,
+    xxh64_of_longs,
 )
 from pyspark.sql import functions as F
 
@@ -63,8 +64,10 @@ cm AS (SELECT * FROM (VALUES {CONTROL_ROWS}) t(exp_group, control_group)),
 ll AS (SELECT uc.*, uc.likes - gc.global_ctr * uc.views AS lin_likes
        FROM uc JOIN cm USING (exp_group) JOIN gc ON gc.exp_group = cm.control_group)"""
 
-BUCKETS = f"""
-ub AS (SELECT *, {s_split('user_id', None, P.n_buckets)} AS bucket FROM uc WHERE exp_group IN ({_in(AB)})),
+def _buckets(bucketed: str) -> str:
+    """Ratio and exact quantile of every (group, bucket) of the users ``bucketed``."""
+    return f"""
+ub AS ({bucketed}),
 bc AS (SELECT exp_group, bucket,
               CAST(sum(likes) AS DOUBLE) / NULLIF(CAST(sum(views) AS DOUBLE), 0) AS bucket_ctr,
               count(ctr) AS n
@@ -77,6 +80,13 @@ bq AS (SELECT bc.exp_group, bc.bucket, bc.bucket_ctr, rk.ctr AS ctr9
         AND rk.pos = least(floor({P.bucket_quantile!r} * bc.n), bc.n - 1))"""
 
 
+BUCKETS = _buckets(f"""SELECT *, {s_split('user_id', None, P.n_buckets)} AS bucket FROM uc
+       WHERE exp_group IN ({_in(AB)})""")
+XXH_BUCKETS = f"xh AS ({xxh64_of_longs('uc', 'user_id')})," + _buckets(f"""
+       SELECT uc.*, CAST(xh.h % {P.n_buckets} AS INTEGER) AS bucket FROM uc JOIN xh USING (user_id)
+       WHERE exp_group IN ({_in(AB)})""")
+
+
 # ------------------------------------------------------------ split and user frames
 @register("user_ctr", with_fixture(UC, f"SELECT exp_group, user_id, likes, views, {s6('ctr')} AS ctr FROM uc"))
 def q_user_ctr(spark, sf_dir):
@@ -170,6 +180,12 @@ def q_welch_smoothed(spark, sf_dir):
     return r6(two_sample.welch_test(sm, "smoothed_ctr", [AB]))
 
 
+@register("bucket_ctr_xxhash", with_fixture(UC, XXH_BUCKETS, f"""
+    SELECT exp_group, bucket, {s6('bucket_ctr')} AS bucket_ctr, {s6('ctr9')} AS ctr9 FROM bq"""))
+def q_bucket_ctr_xxhash(spark, sf_dir):
+    return r6(transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, P.bucket_quantile, "xxh64"))
+
+
 @register("welch_bucket", with_fixture(UC, BUCKETS, _welch_sql("bq", "bucket_ctr", [AB]), WELCH_OUT))
 def q_welch_bucket(spark, sf_dir):
     b = transforms.bucket_ctr(_users(spark, sf_dir, AB, reuse=True), P.n_buckets, None, "md5")

@@ -42,6 +42,8 @@ def test_filters_and_columns_reach_the_scan(spark):
 @pytest.mark.parametrize("name,scans,exchanges", [
     ("likes_7d", 1, 1), ("views_7d", 1, 1), ("ctr_7d", 1, 1),
     ("message_user_slice", 1, 2), ("message_daily", 1, 3), ("message_daily_weighted", 1, 3),
+    ("dau_both", 2, 3), ("dau_feed_only", 2, 3), ("dau_message_only", 2, 3), ("feed_series_long", 3, 5),
+    ("bucket_ctr_xxhash", 0, 6),
     ("user_day_merged", 2, 4), ("welch_bucket", 0, 2),
 ])
 def test_scans_and_exchanges(spark, name, scans, exchanges):
@@ -50,6 +52,11 @@ def test_scans_and_exchanges(spark, name, scans, exchanges):
     assert len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange ", plan)) <= exchanges
 
 
+@pytest.mark.parametrize("name", ["dau_both", "dau_feed_only", "dau_message_only", "feed_series_long"])
+def test_overlap_is_counted_without_a_join(spark, name):
+    assert "Join" not in _final_plan(QUERIES[name](spark, SF_SMALL))
+
+
 def test_mart_is_one_grouping_sets_aggregate(spark):
     plan = _plan(QUERIES["slice_mart"](spark, SF_SMALL))
     assert plan.count("Expand") == 1
