@@ -3,8 +3,9 @@
 For each metric ordered by time: the quartiles of the previous ``n`` values
 (NULL until ``n`` non-NULL values exist), the band ``q75 + a*iqr`` /
 ``q25 - a*iqr``, then a centred moving average of the band over ``n``
-points (shrinking at the ends, NULLs skipped).  All metrics are processed in
-one window pass partitioned by metric (extra slice keys partition further).
+points (shrinking at the ends, NULLs skipped).  ``anomaly_bands`` processes all
+metrics in one window pass partitioned by metric (extra slice keys partition
+further); ``history_bands`` gives the same rows for series too long for one task.
 
 At the newest row the centred average only sees the current and earlier
 rows, so the alert flag there uses no future data.
@@ -12,15 +13,18 @@ rows, so the alert flag there uses no future data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pulsekit.functions.columns import fmt_fixed, fmt_percent, safe_div
+from pulsekit.operators.prefix import series_index
 
 
-def anomaly_bands(long: DataFrame, a: float = 3.0, n: int = 5,
-                  keys: tuple[str, ...] = ("metric",), order: str = "ts") -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order)
+BAND = ["q25", "q75", "iqr", "up", "low", "prev_value"]
+
+
+def _banded(long: DataFrame, w: WindowSpec, a: float, n: int) -> DataFrame:
+    """``long`` with the columns BAND, in the order and partitions of ``w``."""
     prev = w.rowsBetween(-n, -1)
     full = F.count("value").over(prev) == F.lit(n)
     q25 = F.when(full, F.percentile(F.col("value"), F.lit(0.25)).over(prev))
@@ -31,13 +35,42 @@ def anomaly_bands(long: DataFrame, a: float = 3.0, n: int = 5,
                  .withColumn("low_raw", F.col("q25") - F.lit(a) * F.col("iqr")))
     centred = w.rowsBetween(-(n // 2), (n - 1) // 2)
     return bands.select(
-        *keys, order, "value", "q25", "q75", "iqr",
+        *long.columns, "q25", "q75", "iqr",
         F.avg("up_raw").over(centred).alias("up"),
         F.avg("low_raw").over(centred).alias("low"),
         F.lag("value").over(w).alias("prev_value"),
     )
 
 
+def anomaly_bands(long: DataFrame, a: float = 3.0, n: int = 5,
+                  keys: tuple[str, ...] = ("metric",), order: str = "ts") -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(order)
+    return _banded(long, w, a, n).select(*keys, order, "value", *BAND)
+
+
+#: Rows of a series that one window partition of ``history_bands`` works on.
+BLOCK_ROWS = 50_000
+
+
+def history_bands(long: DataFrame, a: float = 3.0, n: int = 5, keys: tuple[str, ...] = ("metric",),
+                  order: str = "ts", block_rows: int = BLOCK_ROWS, n_ranges: int | None = None) -> DataFrame:
+    """The rows of ``anomaly_bands`` for series of any length: a series is cut into
+    blocks of ``block_rows`` rows, so it is not one task.
+
+    Rows are numbered within their series (``series_index``).  A band looks back at
+    the n rows before those that its average covers, and the average looks
+    (n - 1) / 2 rows ahead: a block also gets copies of so many rows of its
+    neighbours, by number, whatever the gaps in time, and leaves them out again."""
+    before, after = n // 2 + n, (n - 1) // 2
+    idx, block = F.col("_idx"), F.lit(block_rows)
+    rows = series_index(long, keys, order, "_idx", n_ranges)
+    first = F.floor(F.greatest(idx - after, F.lit(0)) / block)
+    shared = rows.withColumn("_block", F.explode(F.sequence(first, F.floor((idx + before) / block))))
+    w = Window.partitionBy(*keys, "_block").orderBy("_idx")
+    return (_banded(shared, w, a, n).where(F.col("_block") == F.floor(idx / block))
+            .select(*keys, order, "value", *BAND))
+
+
 def anomaly_flags(bands: DataFrame, keys: tuple[str, ...] = ("metric",), order: str = "ts") -> DataFrame:
     """The newest row of each series with ``is_alert``."""
     latest = bands.groupBy(*keys).agg(

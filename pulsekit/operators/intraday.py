@@ -40,6 +40,13 @@ def bucket_grid(spark, start: dt.datetime, end: dt.datetime, like) -> DataFrame:
 def metrics_15m(feed: DataFrame, messages: DataFrame, as_of_ts: dt.datetime,
                 ctr_default: float | None = None, include_received: bool = False,
                 densify: bool = False) -> DataFrame:
+    """``metrics_between`` over the alert window of ``as_of_ts``."""
+    return metrics_between(feed, messages, *alert_window(as_of_ts), ctr_default, include_received, densify)
+
+
+def metrics_between(feed: DataFrame, messages: DataFrame, start: dt.datetime, end: dt.datetime,
+                    ctr_default: float | None = None, include_received: bool = False,
+                    densify: bool = False) -> DataFrame:
     """ts, date, hm, users_feed, views, likes, ctr, users_message, sent_message.
 
     Buckets present in one log only get 0 counts for the other; CTR is NULL
@@ -48,7 +55,6 @@ def metrics_15m(feed: DataFrame, messages: DataFrame, as_of_ts: dt.datetime,
     ``users_received`` (distinct receivers).  ``densify`` adds empty buckets
     of the window with zero counts, so every series has one row per bucket.
     """
-    start, end = alert_window(as_of_ts)
     f = (feed.filter(time_range(feed, "time", start, end))
              .groupBy(quarter_hour("time").alias("ts"))
              .agg(F.count_distinct("user_id").alias("users_feed"),

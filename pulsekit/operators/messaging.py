@@ -105,9 +105,20 @@ def message_daily_weighted(messages: DataFrame, as_of: dt.date) -> DataFrame:
         "event_date", "user_id", *[(F.col("n") * F.col(c)).alias(w) for w, c in weighted.items()]))
 
 
+def messages_yesterday(messages: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row: ``messenger_dau`` and ``messages_sent`` of the day before ``as_of``, and
+    ``messages_sent_weighted``, that day's figure of ``message_daily_weighted``; all
+    from one aggregate of the week."""
+    first, last = trailing_week(as_of)
+    m = messages.filter(day_range(messages, "time", first, last)).withColumn("event_date", F.to_date("time"))
+    active = user_day_totals(m, [last]).where("d0 > 0 and user_id is not null")
+    return active.agg(F.count(F.lit(1)).alias("messenger_dau"), F.sum("s0").alias("messages_sent"),
+                      F.sum(F.col("d0") * F.col("messages_sent")).alias("messages_sent_weighted"))
+
+
 def user_day_totals(msgs: DataFrame, days: list[dt.date]) -> DataFrame:
     """``user_totals`` over all ``days`` with the rows the user sent on each of
-    them (d0, d1, ...)."""
+    them (d0, d1, ...), and of these the ones with a receiver (s0, s1, ...)."""
     on = [F.count_if(F.col("event_date") == F.lit(d)).alias(f"d{k}") for k, d in enumerate(days)]
     pairs = (msgs.where("user_id is not null").groupBy("user_id", "receiver_id")
              .agg(F.count(F.lit(1)).alias("n"), *on))
@@ -115,12 +126,13 @@ def user_day_totals(msgs: DataFrame, days: list[dt.date]) -> DataFrame:
     zero = F.lit(0).cast("long")
     sender = F.struct(F.col("user_id"), F.col("n").alias("rows"), zero.alias(COUNTS[0]), heard.alias(COUNTS[1]),
                       (heard * F.col("n")).alias(COUNTS[2]), zero.alias(COUNTS[3]),
-                      *[F.col(f"d{k}") for k in range(len(days))])
+                      *[F.col(f"d{k}") for k in range(len(days))],
+                      *[(heard * F.col(f"d{k}")).alias(f"s{k}") for k in range(len(days))])
     receiver = F.struct(F.col("receiver_id").alias("user_id"), zero.alias("rows"), F.col("n").alias(COUNTS[0]),
                         zero.alias(COUNTS[1]), zero.alias(COUNTS[2]), F.lit(1).cast("long").alias(COUNTS[3]),
-                        *[zero.alias(f"d{k}") for k in range(len(days))])
+                        *[zero.alias(f"{c}{k}") for c in "ds" for k in range(len(days))])
     both = F.filter(F.array(sender, F.when(heard == 1, receiver)), lambda x: x.isNotNull())
-    names = ["rows", *COUNTS, *[f"d{k}" for k in range(len(days))]]
+    names = ["rows", *COUNTS, *[f"{c}{k}" for c in "ds" for k in range(len(days))]]
     return (pairs.select(F.explode(both).alias("u")).groupBy("u.user_id")
             .agg(*[F.sum(f"u.{c}").alias(c) for c in names]))
 

@@ -14,10 +14,12 @@ ties first, as the rank statistics do).
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsekit.functions.hashing import hash_bucket
 from pulsekit.functions.stats import count_bounds_below_sql
@@ -104,3 +106,37 @@ def dense_index(df: DataFrame, by: list[str], order_col: str, name: str = "idx")
     wr = Window.partitionBy(*by, "_ir").orderBy("_ib", order_col)
     out = joined.withColumn(name, (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
     return materialize(out.drop("_ib", "_ir", "_off"))
+
+
+def _as_number(df: DataFrame, order_col: str) -> Column:
+    """Timestamps as microseconds, anything else as it casts to a double."""
+    kind = df.schema[order_col].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                F.col(order_col)).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(order_col).cast("double")
+    return F.col(order_col).cast("double")
+
+
+def series_index(df: DataFrame, by: list[str] | tuple, order_col: str, name: str = "idx",
+                 n_ranges: int | None = None) -> DataFrame:
+    """0-based position of each row within its series (the rows of equal ``by``,
+    nulls equal to each other) in the order of ``order_col``, a timestamp or number.
+
+    Rows per (series, range) are counted, their running offsets (series x ranges
+    rows) joined back, and rows numbered within a range: no series is one task.
+    The input is materialized, as it is read three times."""
+    by = list(by)
+    df = materialize(df)
+    tagged = df.withColumn("_at", _as_number(df, order_col))
+    bounds = range_bounds(tagged, "_at", n_ranges or ranges_for(df))
+    tagged = tagged.withColumn(_RID, F.expr(count_bounds_below_sql("_at", bounds))).drop("_at")
+    blocks = tagged.groupBy(*by, _RID).agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*by).orderBy(_RID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = blocks.select(*[F.col(c).alias(f"_o{k}") for k, c in enumerate([*by, _RID])],
+                            F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
+    same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_o{k}")) for k, c in enumerate([*by, _RID])])
+    wr = Window.partitionBy(*by, _RID).orderBy(order_col)
+    return tagged.join(offsets, same).select(
+        *df.columns, (F.col("_off") + F.row_number().over(wr) - 1).cast("long").alias(name))

@@ -34,13 +34,9 @@ def daily_app_report(feed: DataFrame, messages: DataFrame, as_of: dt.date) -> Da
     an unordered weekly result); the week-weighted figure it showed is kept
     as ``messages_sent_weighted``."""
     day = as_of - dt.timedelta(days=1)
-    # three one-row parts stacked and folded by one global aggregate (no join)
+    # two one-row parts stacked and folded by one global aggregate (no join)
     y = feedm.feed_yesterday(feed, as_of).select("views", "likes", F.col("dau").alias("feed_dau"))
-    md = (messaging.message_daily_range(messages, day, day)
-          .select("messages_sent", F.col("number_of_user_id").alias("messenger_dau")))
-    mw = (messaging.message_daily_weighted(messages, as_of).filter(F.col("event_date") == F.lit(day))
-          .select(F.col("messages_sent").alias("messages_sent_weighted")))
-    parts = y.unionByName(md, allowMissingColumns=True).unionByName(mw, allowMissingColumns=True)
+    parts = y.unionByName(messaging.messages_yesterday(messages, as_of), allowMissingColumns=True)
     z = lambda c: F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c)
     out = parts.agg(z("views"), z("likes"), z("messages_sent"), z("messages_sent_weighted"),
                     z("feed_dau"), z("messenger_dau"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pulsekit.oracle_sql import r6 as s6, rnd, with_fixture
 from pulsekit.operators import anomaly, intraday
 from pulsekit.params import DEFAULT_PARAMS as P
 from pulsekit.plans.catalog import r6, register
+from pulsekit.plans.daily import days_where
 from pulsekit.session import shared_path
 from pulsekit.sources import load_fixture_tables
 from pulsekit.sources.events import fixture_feed_actions, fixture_message_actions, stream_events
@@ -15,15 +17,17 @@ from pulsekit.streaming import alerts as streamed
 
 START, END = intraday.alert_window(P.as_of_ts)
 WINDOW = f"time >= TIMESTAMP '{START:%Y-%m-%d %H:%M:%S}' AND time < TIMESTAMP '{END:%Y-%m-%d %H:%M:%S}'"
+#: All days of the experiment, for the bands of the history.
+HISTORY = days_where(P.exp_start, P.exp_end)
 N, A = P.band_n, P.band_a
 
 #: One stream of both logs, a row per bucket of its start; the label columns
 #: are derived from the start at the end.
 M15_SQL = f"""
 stream AS (
-    SELECT epoch(time)::BIGINT // 900 AS slot, user_id, action, 'f' AS log FROM feed_actions WHERE {WINDOW}
+    SELECT epoch_us(time) // 900000000 AS slot, user_id, action, 'f' AS log FROM feed_actions WHERE {WINDOW}
     UNION ALL
-    SELECT epoch(time)::BIGINT // 900, user_id, 'sent', 'm' FROM message_actions WHERE {WINDOW}),
+    SELECT epoch_us(time) // 900000000, user_id, 'sent', 'm' FROM message_actions WHERE {WINDOW}),
 slots AS (
     SELECT slot,
            count(DISTINCT user_id) FILTER (WHERE log = 'f') AS users_feed,
@@ -94,6 +98,15 @@ def q_anomaly_bands(spark, sf_dir):
     return r6(_bands(spark, sf_dir))
 
 
+@register("anomaly_history", BANDS_OUT.replace(WINDOW, HISTORY))
+def q_anomaly_history(spark, sf_dir):
+    """Bands of every closed bucket of the experiment's days."""
+    fd, ms = load_fixture_tables(spark, sf_dir)
+    start, end = (dt.datetime.combine(d, dt.time()) for d in (P.exp_start, P.exp_end + dt.timedelta(days=1)))
+    long = intraday.metrics_long(intraday.metrics_between(fd, ms, start, end))
+    return r6(anomaly.history_bands(long, a=A, n=N))
+
+
 @register("stream_anomaly_bands", BANDS_OUT)
 def q_stream_anomaly_bands(spark, sf_dir):
     """The bands that a stream over the logs leaves in its store."""

@@ -43,7 +43,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     ("likes_7d", 1, 1), ("views_7d", 1, 1), ("ctr_7d", 1, 1),
     ("message_user_slice", 1, 2), ("message_daily", 1, 3), ("message_daily_weighted", 1, 3),
     ("dau_both", 2, 3), ("dau_feed_only", 2, 3), ("dau_message_only", 2, 3), ("feed_series_long", 3, 5),
-    ("bucket_ctr_xxhash", 0, 6),
+    ("bucket_ctr_xxhash", 0, 6), ("daily_app_report", 2, 5),
     ("user_day_merged", 2, 4), ("welch_bucket", 0, 2),
 ])
 def test_scans_and_exchanges(spark, name, scans, exchanges):
