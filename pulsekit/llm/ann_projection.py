@@ -18,7 +18,8 @@ streams the queries that come to it; results are merged by (score, id).
 
 Vectors that are null, empty, zero, or hold a null or a non-finite component
 take no part; only vectors of one dimension are compared.  Ties go to smaller
-ids; rows repeated with one vec_id count once; a null vec_id is no row to find.
+ids; vectors of any finite magnitude are scaled by powers of two first, so a huge or
+tiny one scores like any other; rows repeated with one vec_id count once; a null vec_id is no row to find.
 Fewer candidates than k give fewer rows; a table without rows gives none.
 """
 
@@ -152,10 +153,16 @@ def by_dimension(b: pa.RecordBatch, column: int) -> Iterator[tuple[np.ndarray, n
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)          # no overflow of the squares
+    x = scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings the largest component to 0.5 .. 1: the
+    same cosines to the last bit, without overflow or underflow of the squares."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 ENTRY = "cell int, shard int, kind int, ids array<long>, vec array<double>, bound double"
 
 
@@ -321,7 +328,7 @@ class Shard:
         order = np.concatenate(tree.leaves)
         self.tree, self.limit, self.k, self.project = tree, limit, k, project
         self.ids = [ids[i] for i in order]
-        self.x = x[order]
+        self.x = scaled(x[order])
         self.norm = np.sqrt((self.x * self.x).sum(axis=1))
         self.p = unit(self.x) @ project
         self.cut = np.concatenate([[0], np.cumsum([len(r) for r in tree.leaves])])
@@ -330,6 +337,7 @@ class Shard:
         """(query, id, score) of the k best; ``bound``: a squared distance that
         k known rows elsewhere reach."""
         q = (unit(v[None]) @ self.project)[0]
+        v = scaled(v[None])[0]
         norm = math.sqrt(float(v @ v))
         box = self.tree.box_distances(q)
         top: list[tuple[float, int]] = []                 # (-score, id), ascending

@@ -231,6 +231,32 @@ def test_op8_edges(spark):
     assert [r["vec_id"] for r in ann_projection.search(e.where("vec_id in (0, 3)"), F.col("vec_id") == 0).collect()] == [3]
 
 
+DOUBLES = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+
+
+def test_op8_magnitudes(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 6))
+    sizes = [1.0, 1e200, 1e-170, 1e300, 1e-300]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    e = spark.createDataFrame([(i, (np.array(v) * sizes[i % 5]).tolist()) for i, v in rows]
+                              + [(100, [5e-324] * 6), (101, [1.7e308] * 6)], DOUBLES)
+    rows += [(100, [1.0] * 6), (101, [1.0] * 6)]
+    want = brute_nearest(rows, {i for i, _ in rows}, 5)
+    got = {}
+    for r in ann_projection.search(e, F.lit(True), confidence=0.999999).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(abs(s - t) < 1e-12 for q in got for (_, s), (_, t) in zip(got[q], want[q]))
+
+
+def test_scaling_leaves_cosines_as_they_are():
+    x = np.random.default_rng(5).normal(size=(50, 16))
+    y = ann_projection.scaled(x)
+    plain = (x @ x[0]) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt(x[0] @ x[0]))
+    assert plain.tolist() == ((y @ y[0]) / (np.sqrt((y * y).sum(axis=1)) * np.sqrt(y[0] @ y[0]))).tolist()
+
+
 def test_chi_square():
     assert abs(ann_projection.chi_square(ann_projection.chi_square_limit(0.95, 8), 8) - 0.95) < 1e-9
     assert abs(ann_projection.chi_square_limit(0.95, 2) - 5.991464547) < 1e-6
