@@ -47,7 +47,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for b in pieces(batch, 1_000_000):
-                ids, lens = enc.encode(b.column(1).to_pylist())
+                ids, lens = enc.encode(b.column(1))
                 ids = np.insert(ids, np.cumsum(lens), end_id)
                 lens = lens + 1
                 count = -(-lens // capacity)

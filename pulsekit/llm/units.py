@@ -13,8 +13,11 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pulsekit.llm.common import gather
 
@@ -23,13 +26,14 @@ ODD = re.compile("[\u0085᠎​⁠﻿\x1c-\x1f]")
 IRREGULAR = 0
 
 
-def byte_units(text: str) -> list[str]:
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+#: Units that the library is given at once, parted by line feeds.
+RUN = 64
 
 
-def is_byte_unit(u: str) -> bool:
-    body = u[1:] if u[:1] == " " else u
-    return body != "" and body.split() == [body]
+def byte_units(texts: pa.Array) -> pa.Array:
+    """The units of every text, split by Arrow: no string object is made of them."""
+    parted = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
+    return pc.split_pattern(parted, "\0")
 
 
 def load(path: str):
@@ -44,20 +48,35 @@ def load(path: str):
     return tok
 
 
+def grown(a: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(a):
+        return a
+    b = np.empty(max(size, 3 * len(a) // 2), a.dtype)
+    b[:len(a)] = a
+    return b
+
+
 class Generation:
-    """ids of units by code, end to end.  Code 0 is IRREGULAR, without ids; code 1
-    the line feed."""
+    """ids of units by code, end to end, in arrays that grow by halves.  Code 0 is
+    IRREGULAR, without ids; code 1 the line feed."""
 
     def __init__(self, feed: int):
         self.codes: dict[str, int] = {"\n": 1}
         self.flat = np.array([feed], np.uint32)
         self.off = np.array([0, 0, 1])
+        self.known, self.end = 2, 1
 
     def add(self, units: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
-        base = len(self.off) - 1
-        self.codes.update(zip(units, range(base, base + len(units))))
-        self.flat = np.concatenate([self.flat, ids])
-        self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(lens)])
+        known, end = self.known + len(units), self.end + len(ids)
+        self.codes.update(zip(units, range(self.known, known)))
+        self.flat, self.off = grown(self.flat, end), grown(self.off, known + 1)
+        self.flat[self.end:end] = ids
+        self.off[self.known + 1:known + 1] = self.end + np.cumsum(lens)
+        self.known, self.end = known, end
+
+    def find(self, units: list[str]) -> np.ndarray:
+        """Their codes, -1 for those not met yet."""
+        return np.fromiter(map(self.codes.get, units, repeat(-1)), np.int64, len(units))
 
 
 class UnitEncoder:
@@ -65,7 +84,7 @@ class UnitEncoder:
     ``limit``: when the young one is full it becomes the old one, and the old one's
     units that are met again move to the young; others are forgotten with it."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         self.tok = load(path)
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.limit = limit
@@ -75,58 +94,62 @@ class UnitEncoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def regular(self, units: list[str]) -> bool:
+        """Whether all of them are words, with a blank before or not, that may be
+        encoded by themselves."""
+        joined = "\n".join(units)
+        return (joined.split() == [u[1:] if u[:1] == " " else u for u in units]
+                and not ODD.search(joined) and not any(s in joined for s in self.specials))
+
     def learn(self, units: list[str]) -> None:
         """Put units that the young generation lacks into it."""
-        get = self.old.codes.get
-        codes = np.fromiter((get(u, -1) for u in units), np.int64, len(units))
+        codes = self.old.find(units)
         met = np.flatnonzero(codes > IRREGULAR)
         lens = self.old.off[codes[met] + 1] - self.old.off[codes[met]]
         self.young.add([units[i] for i in met.tolist()], self.old.flat[gather(self.old.off[codes[met]], lens)], lens)
+        new = [units[i] for i in np.flatnonzero(codes <= IRREGULAR).tolist()]
         good = []
-        for i in np.flatnonzero(codes <= IRREGULAR).tolist():
-            u = units[i]
-            if is_byte_unit(u) and not ODD.search(u) and not any(s in u for s in self.specials):
-                good.append(u)
-            else:
-                self.young.codes[u] = IRREGULAR
+        for i in range(0, len(new), RUN):
+            run = new[i:i + RUN]
+            if not self.regular(run):
+                run = [u for u in run if self.regular([u])]
+                self.young.codes.update(zip(set(new[i:i + RUN]).difference(run), repeat(IRREGULAR)))
+            good += run
         # one call for many units: line feeds part them and are ids of their own
-        runs = ["\n".join(good[i:i + 256]) for i in range(0, len(good), 256)]
+        runs = ["\n".join(good[i:i + RUN]) for i in range(0, len(good), RUN)]
         ids = np.concatenate([np.zeros(0, np.uint32)] + [
             np.array([*e.ids, self.feed], np.uint32)
             for e in self.tok.encode_batch_fast(runs, add_special_tokens=False)])
         ends = np.flatnonzero(ids == self.feed)
         self.young.add(good, ids[ids != self.feed], np.diff(ends - np.arange(len(ends)), prepend=0))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, number of ids of each text)."""
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each text), of texts that are not null."""
         if len(self.young.codes) > self.limit:
             self.young, self.old = Generation(self.feed), self.young
-        units: list[str] = []
-        ends, alone = [], {}
-        for i, t in enumerate(texts):
-            if "\0" in t:
-                alone[i] = None
-            elif t:
-                units += byte_units(t)
-            ends.append(len(units))
-        get = self.young.codes.get
-        codes = np.fromiter((get(u, -1) for u in units), np.int64, len(units))
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        texts = texts.cast(pa.large_string())          # units may be longer than their texts
+        lists = byte_units(texts)
+        ends = np.asarray(lists.offsets)[1:].astype(np.int64)
+        table = lists.values.dictionary_encode()
+        units = table.dictionary.to_pylist()           # each unit once, in order of its first place
+        codes = self.young.find(units)
         missing = np.flatnonzero(codes < 0)
         if len(missing):
-            self.learn(list(dict.fromkeys(units[i] for i in missing.tolist())))
-            codes[missing] = np.fromiter((self.young.codes[units[i]] for i in missing.tolist()),
-                                         np.int64, len(missing))
-        ends_a = np.array(ends, np.int64)
-        for i in np.searchsorted(ends_a, np.flatnonzero(codes == IRREGULAR), side="right").tolist():
-            alone[i] = None
+            self.learn([units[i] for i in missing.tolist()])
+            codes[missing] = self.young.find([units[i] for i in missing.tolist()])
+        codes = codes[np.asarray(table.indices)]
+        alone = set(np.flatnonzero(np.asarray(pc.match_substring(texts, "\0"))).tolist())
+        alone.update(np.searchsorted(ends, np.flatnonzero(codes == IRREGULAR), side="right").tolist())
         off = self.young.off
         lens = off[codes + 1] - off[codes]
         ids = self.young.flat[gather(off[codes], lens)]
         csum = np.concatenate([[0], np.cumsum(lens)])
-        bounds = np.concatenate([[0], csum[ends_a]])
+        bounds = np.concatenate([[0], csum[ends]])
         if not alone:
             return ids, np.diff(bounds)
-        parts = [self.whole(texts[i]) if i in alone else ids[bounds[i]:bounds[i + 1]]
+        parts = [self.whole(texts[i].as_py()) if i in alone else ids[bounds[i]:bounds[i + 1]]
                  for i in range(len(texts))]
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
@@ -134,7 +157,7 @@ class UnitEncoder:
 _ENCODERS: dict[tuple[str, int], UnitEncoder] = {}
 
 
-def encoder(path: str, limit: int = 400_000) -> UnitEncoder:
+def encoder(path: str, limit: int = 600_000) -> UnitEncoder:
     """The worker's encoder of a tokenizer file, kept between tasks with the units
     it knows."""
     key = (path, limit)
