@@ -68,3 +68,10 @@ def test_bootstrap_partially_aggregates_before_shuffle(spark):
     assert re.search(r"HashAggregate\(keys=\[rep#\d+L?, exp_group#\d+\], functions=\[partial_sum", plan)
     # of cells, not users
     assert re.search(r"HashAggregate\(keys=\[exp_group#\d+, likes#\d+L?, views#\d+L?\], functions=\[partial_count", plan)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_in_tasks(spark, name):
+    sf = SF_MID if name.startswith(("aa_", "p_value")) else SF_SMALL
+    plan = _plan(QUERIES[name](spark, sf))
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -10,39 +10,76 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulsekit.functions.hashing import ab_split, uniform01
-from pulsekit.functions.stats import (
-    normal_two_sided_p_np, poisson_cdf_table, poisson_draw, t_two_sided_p_np,
-)
+from pulsekit.functions.stats import normal_two_sided_p, poisson_cdf_table, poisson_draw, t_two_sided_p
 from pulsekit.operators.experiment import two_sample as T
 from pulsekit.operators.prefix import exclusive_prefix
 
 
-def test_t_tail_closed_forms():
-    t = np.array([0.0, 0.5, 1.0, 2.5, 7.0, -3.0])
-    # df = 1: Cauchy
-    p1 = t_two_sided_p_np(t, np.full_like(t, 1.0))
-    assert np.allclose(p1, 1 - 2 / math.pi * np.arctan(np.abs(t)), atol=1e-6)
-    # df = 2: p = 1 - |t| / sqrt(t^2 + 2)
-    p2 = t_two_sided_p_np(t, np.full_like(t, 2.0))
-    assert np.allclose(p2, 1 - np.abs(t) / np.sqrt(t * t + 2), atol=1e-7)
+def t_tail(spark, t, dof):
+    rows = [(i, float(x), float(d)) for i, (x, d) in enumerate(zip(t, dof))]
+    df = spark.createDataFrame(rows, "i int, t double, d double")
+    return np.array([r.p for r in df.select("i", t_two_sided_p(F.col("t"), F.col("d")).alias("p")).orderBy("i").collect()])
+
+
+def normal_tail(spark, z):
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(z)], "i int, z double")
+    return np.array([r.p for r in df.select("i", normal_two_sided_p(F.col("z")).alias("p")).orderBy("i").collect()])
+
+
+def test_t_tail_closed_forms(spark):
+    t = np.array([0.0, 1e-9, 1e-4, 0.01, 0.5, 1.0, 2.5, 7.0, -3.0, 40.0, 1e4])
+    a = np.abs(t)
+    # df = 1: Cauchy; the tail by the arc tangent of the inverse keeps small p exact
+    p1 = t_tail(spark, t, np.full_like(t, 1.0))
+    with np.errstate(divide="ignore"):
+        assert np.allclose(p1, 2 / math.pi * np.arctan(1 / a), rtol=1e-10, atol=0)
+    # df = 2: p = 1 - |t| / sqrt(t^2 + 2) = 2 / (r * (r + |t|)), r = sqrt(t^2 + 2)
+    p2 = t_tail(spark, t, np.full_like(t, 2.0))
+    r = np.sqrt(t * t + 2)
+    assert np.allclose(p2, 2 / (r * (r + a)), rtol=1e-10, atol=0)
     # df = 3: p = 1 - 2/pi (atan(x) + x / (1 + x^2)), x = t / sqrt 3
-    x = np.abs(t) / math.sqrt(3)
-    p3 = t_two_sided_p_np(t, np.full_like(t, 3.0))
-    assert np.allclose(p3, 1 - 2 / math.pi * (np.arctan(x) + x / (1 + x * x)), atol=1e-8)
+    x = a / math.sqrt(3)
+    p3 = t_tail(spark, t, np.full_like(t, 3.0))
+    assert np.allclose(p3, 1 - 2 / math.pi * (np.arctan(x) + x / (1 + x * x)), rtol=1e-10, atol=1e-15)
+
 
+def even_dof_tail(t, n):
+    """p for an even number n of degrees of freedom: a finite sum (with mpmath's part
+    played by exact rational numbers)."""
+    from fractions import Fraction
+    c2 = Fraction(n) / (n + Fraction(t) ** 2)          # cos^2 of the angle
+    term, total = Fraction(1), Fraction(1)
+    for k in range(1, n // 2):
+        term *= c2 * (2 * k - 1) / (2 * k)
+        total += term
+    # 1 - sin * total, from 1 - sin^2 total^2 so that nothing cancels
+    return float((1 - (1 - c2) * total ** 2) / (1 + Fraction(math.sqrt(1 - c2)) * total))
 
-def test_t_tail_large_df_approaches_normal():
-    t = np.array([0.3, 1.96, 3.0])
-    p = t_two_sided_p_np(t, np.full_like(t, 1e6))
+
+def test_t_tail_of_small_p(spark):
+    cases = [(t, n) for n in (4, 10, 40, 200) for t in (0.25, 2.0, 8.0, 30.0, 500.0)]
+    got = t_tail(spark, *zip(*cases))
+    assert got == pytest.approx([even_dof_tail(t, n) for t, n in cases], rel=1e-10)
+
+
+def test_t_tail_large_df_approaches_normal(spark):
+    t = np.array([0.3, 1.96, 3.0, 12.0])
     want = np.array([math.erfc(v / math.sqrt(2)) for v in t])
-    assert np.allclose(p, want, atol=1e-5)
+    assert np.allclose(t_tail(spark, t[:3], np.full(3, 1e6)), want[:3], rtol=1e-4, atol=0)
+    assert np.allclose(t_tail(spark, t, np.full(4, 1e14)), want, rtol=1e-9, atol=0)
+
+
+def test_tails_without_a_value(spark):
+    nan, inf = float("nan"), float("inf")
+    assert t_tail(spark, [nan, 1.0, 1.0, 1.0], [3.0, nan, 0.0, -1.0]).tolist() == [None] * 4
+    assert t_tail(spark, [inf, -inf, 1e200], [3.0, 5.0, 50.0]).tolist() == [0.0] * 3
+    assert normal_tail(spark, [nan, inf, -inf]).tolist() == [None, 0.0, 1.0]
 
 
-def test_normal_tail_against_erfc():
-    z = np.array([-0.4, 0.0, 0.5, 1.96, 4.0, 8.0])
-    got = normal_two_sided_p_np(z)
+def test_normal_tail_against_erfc(spark):
+    z = np.array([-0.4, 0.0, 1e-9, 1e-3, 0.5, 1.96, 4.0, 8.0, 20.0, 36.0])
     want = np.minimum(np.array([math.erfc(v / math.sqrt(2)) for v in z]), 1.0)
-    assert np.allclose(got, want, atol=1e-10)
+    assert np.allclose(normal_tail(spark, z), want, rtol=1e-10, atol=0)
 
 
 def test_split_matches_python_md5(spark):
@@ -121,7 +158,7 @@ def test_welch_matches_formula(spark):
     dof = (va + vb) ** 2 / (va ** 2 / (len(a) - 1) + vb ** 2 / (len(b) - 1))
     assert r.t_stat == pytest.approx(t)
     assert r.dof == pytest.approx(dof)
-    assert r.p_value == pytest.approx(float(t_two_sided_p_np(np.array([t]), np.array([dof]))[0]))
+    assert r.p_value == pytest.approx(t_tail(spark, [t], [dof])[0], rel=1e-9)
 
 
 def test_prefix_sums_whatever_the_ranges(spark):
@@ -146,11 +183,11 @@ def test_dense_index_is_a_bijection(spark):
     (12.706204736432095, 1.0, 0.05), (2.2281388519649385, 10.0, 0.05), (1.0, 8.0, 0.34659350708733416),
     (1.9719565442493954, 199.0, 0.05), (1.9718962236316089, 200.0, 0.05), (1.9718365041462513, 201.0, 0.05),
     (1.9599663568160847, 1e6, 0.05)])
-def test_t_tail_at_known_points(t, df, p):
-    assert t_two_sided_p_np(np.array([t]), np.array([df]))[0] == pytest.approx(p, abs=2e-8)
+def test_t_tail_at_known_points(spark, t, df, p):
+    assert t_tail(spark, [t], [df])[0] == pytest.approx(p, abs=2e-8)
 
 
-def test_t_tail_has_no_step():
+def test_t_tail_has_no_step(spark):
     df = np.linspace(150, 250, 401)
-    p = t_two_sided_p_np(np.full(len(df), 2.0), df)
+    p = t_tail(spark, np.full(len(df), 2.0), df)
     assert (np.diff(p) < 0).all() and np.abs(np.diff(p, 2)).max() < 2e-8
