@@ -46,7 +46,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFram
         enc = encoder(tokenizer)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for b in pieces(batch, 1_000_000):
+            for b in pieces(batch, 4_000_000):
                 ids, lens = enc.encode(b.column(1))
                 ids = np.insert(ids, np.cumsum(lens), end_id)
                 lens = lens + 1

@@ -201,7 +201,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
         n = 0
         for batch in batches:
-            for b in pieces(batch, 1_000_000):
+            for b in pieces(batch, 4_000_000):
                 ids, lens = enc.encode(b.column(1))
                 ends = np.cumsum(lens)
                 held.append((np.asarray(b.column(0).fill_null(NULL_ID)), lens + 1,
