@@ -164,6 +164,9 @@ def from_bytes(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 #: Stands for a null doc_id in a file.
 NULL_ID = -(1 << 63)
 
+#: Tasks that read files back; beyond it a task reads several.
+MOST_READERS = 20_000
+
 MANIFEST = "part long, seq long, file string, n_docs long, n_ids long"
 TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -240,10 +243,18 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
                      pa.array(lens), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # a row per file: few enough for one task even when the files are many
-    before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    return (placed.select("file", "start").repartition("file")
+    # a writing task's files follow each other: totals of the tasks, then places inside one
+    def before(*by: str):
+        return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("ids"))
+    parts = parts.select("part", F.coalesce(F.sum("ids").over(before().orderBy("part")), F.lit(0)).alias("first"))
+    placed = manifest.join(parts, "part").withColumn(
+        "start", F.col("first") + F.coalesce(F.sum("n_ids").over(before("part").orderBy("seq")), F.lit(0)))
+    # as many tasks as files, given as a number: rows of a manifest are small, and Spark
+    # would merge them into one task, which then reads all files
+    files = max(1, min(manifest.count(), MOST_READERS))
+    return (placed.select("file", "start").repartition(files, "file")
             .mapInArrow(read, TOKENS))
 
 
