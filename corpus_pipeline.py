@@ -24,10 +24,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language is told: texts without letters (``und``) and those of
     which no language is likely go."""
-    from pulsekit.llm.byte_cnn_lang import held_out, predict, train
+    from pulsekit.llm.byte_cnn_lang import carried_names, held_out, predict, train
 
     told = predict(docs, train(docs, ~held_out()), carry=True)
-    return (told.where((F.col("__lang_pred") != "und") & (F.col("__score") >= LEAST_LANGUAGE_SCORE))
+    lang, score = carried_names(docs)
+    return (told.where((F.col(lang) != "und") & (F.col(score) >= LEAST_LANGUAGE_SCORE))
             .select(*docs.columns))
 
 

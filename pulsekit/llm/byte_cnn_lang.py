@@ -9,8 +9,8 @@ convolution is a sum of table rows, and windows of many texts go through
 together.
 
 Training (numpy, on the driver) takes at most ``docs_per_lang`` texts of a
-language, chosen by a hash of their ids, and at most ``windows_per_doc`` windows
-of each; both bounds are parameters.  Prediction reads nothing but the text.
+language, chosen by a hash of their ids and texts, of at most ``most_langs`` languages, and at most ``windows_per_doc`` windows
+of each; all three bounds are parameters.  Prediction reads nothing but the text.
 
 Texts that are null or have no letter get ``und`` with score 0; so do all
 texts when no row is labelled.  Null doc_id and repeated rows are rows like any
@@ -22,12 +22,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsekit.session import ship
-from pulsekit.llm.common import pieces, release
+from pulsekit.llm.common import NULL_ID, free_name, pieces, release
 
 WIDTHS = (2, 3, 4, 5)
 
@@ -118,50 +119,76 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def train(docs: DataFrame, trainable, docs_per_lang: int = 600, windows_per_doc: int = 6,
-          window: int = 256, seed: int = 7) -> ByteCNN | None:
-    """A network for the languages of the ``trainable`` rows; at most
-    docs_per_lang x windows_per_doc windows of each come to the driver."""
+          window: int = 256, seed: int = 7, most_langs: int = 1000) -> ByteCNN | None:
+    """A network for the languages of the ``trainable`` rows, the ``most_langs`` most
+    frequent if there are more; about docs_per_lang rows of each language are drawn by a
+    hash of doc_id and text, so that rows of one doc_id, or of none, are drawn one by one.
+    Equal windows of equal rows count once.  A language none of whose rows is drawn (a
+    few texts, many times) is learned from the text of its smallest hash.  At most
+    docs_per_lang x windows_per_doc windows of a language are used,
+    those of a language with fewer as often as the others'."""
     ship(docs.sparkSession)
+    pick = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
+                             F.col("text").cast("string"), F.lit(seed)), F.lit(1 << 20))
     rows = docs.where(trainable).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        pick.alias("pick"), F.col("text").cast("string").alias("text"),
         F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(most_langs).collect()}
     if not counts:
         return None
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 1.2 * docs_per_lang / n)).otherwise(share)
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20))
+    shares = docs.sparkSession.createDataFrame(
+        [(lang, int(min(1.0, 1.2 * docs_per_lang / n) * (1 << 20))) for lang, n in counts.items()],
+        "lang string, share long")                      # at most most_langs rows
+    chosen = rows.join(F.broadcast(shares), "lang").where("pick < share").select("pick", "text", "lang")
 
     def some_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs, out = [], []
-            for text, lang in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            rows, out = [], []
+            for i, text in enumerate(b.column(1).to_pylist()):
                 raw = text.encode()
                 n = max(1, -(-len(raw) // window))
-                for i in sorted({n * j // windows_per_doc for j in range(windows_per_doc)}):
-                    langs.append(lang)
-                    out.append(raw[i * window:(i + 1) * window])
-            yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array(out, pa.binary())], names=["lang", "window"])
-
-    sample = chosen.mapInArrow(some_windows, "lang string, window binary") \
-        .limit(2 * docs_per_lang * windows_per_doc * len(counts)).toPandas()
+                for k in sorted({n * j // windows_per_doc for j in range(windows_per_doc)}):
+                    rows.append(i)
+                    out.append(raw[k * window:(k + 1) * window])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(rows, pa.int64())), b.column(2).take(pa.array(rows, pa.int64())),
+                 pa.array(out, pa.binary())], names=["pick", "lang", "window"])
+
+    def windows_of(texts: DataFrame) -> pd.DataFrame:
+        found = texts.mapInArrow(some_windows, "pick long, lang string, window binary").distinct()
+        return found.orderBy("pick", "lang", "window").limit(2 * docs_per_lang * windows_per_doc * len(counts)).toPandas()
+
+    sample = windows_of(chosen)
+    rest = sorted(set(counts) - set(sample["lang"]))
+    if rest:
+        one = (rows.join(F.broadcast(shares.where(F.col("lang").isin(rest))), "lang")
+               .groupBy("lang").agg(F.min_by("text", "pick").alias("text")))
+        sample = pd.concat([sample, windows_of(one.select(F.lit(0).cast("long").alias("pick"), "text", "lang"))])
     classes = sorted(counts)
     model = ByteCNN(classes, window=window, seed=seed)
-    sample = sample.sort_values(["lang", "window"])      # the same network whatever the order of rows
+    sample = sample.sort_values(["lang", "window", "pick"])      # the same network whatever the order of rows
     sample = sample.groupby("lang").sample(frac=1, random_state=seed).groupby("lang").head(docs_per_lang * windows_per_doc)
+    # a language of few different windows is shown as often as the others
+    most = sample.groupby("lang").size().max()
+    sample = pd.concat([g.iloc[np.resize(np.arange(len(g)), most)] for _, g in sample.groupby("lang")])
     x = np.concatenate([np.zeros((0, window), np.uint8)] + [
         model.windows(bytes(w)) if len(w) else np.zeros((1, window), np.uint8) for w in sample["window"]])
     model.fit(x, np.searchsorted(classes, sample["lang"].to_numpy()))
     return model
 
 
+def carried_names(docs: DataFrame) -> list[str]:
+    """Names of the two columns that ``predict`` puts beside those of ``docs``."""
+    return [free_name(docs, "__lang_pred"), free_name(docs, "__score")]
+
+
 def predict(docs: DataFrame, model: ByteCNN | None, carry: bool = False) -> DataFrame:
     """doc_id, lang_pred and score of every row; with ``carry``, the rows
-    themselves with these as the columns __lang_pred and __score."""
+    themselves with these as the columns ``carried_names``."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in pieces(batch, 2_000_000, "__text"):
+            for b in pieces(batch, 2_000_000, whole):
                 texts = b.column(0).to_pylist()
                 known = [t is not None and any(map(str.isalpha, t)) and model is not None for t in texts]
                 lang = ["und"] * len(texts)
@@ -181,9 +208,10 @@ def predict(docs: DataFrame, model: ByteCNN | None, carry: bool = False) -> Data
         release()
 
     ship(docs.sparkSession)
-    text = F.col("text").cast("string").alias("__text")
+    whole = free_name(docs, "__text")
+    text = F.col("text").cast("string").alias(whole)
     rows = docs.select(text, *(docs.columns if carry else [F.col("doc_id").cast("long").alias("doc_id")]))
-    names = rows.columns[1:] + (["__lang_pred", "__score"] if carry else ["lang_pred", "score"])
+    names = rows.columns[1:] + (carried_names(docs) if carry else ["lang_pred", "score"])
     kinds = [f.dataType.simpleString() for f in rows.schema.fields[1:]] + ["string", "double"]
     return rows.mapInArrow(work, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
 

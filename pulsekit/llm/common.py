@@ -90,11 +90,19 @@ def gather(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 NULL_ID = -(1 << 63)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rows_of(docs: DataFrame, kept: DataFrame, once: bool = False) -> DataFrame:
     """The rows of ``docs``, with their columns, whose document and text are in
     ``kept`` (doc_id, text_key); ``once``: one of the rows that share both."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keys = ["__llm_id", "__llm_text"]
+    keys = [free_name(docs, "__llm_id"), free_name(docs, "__llm_text")]
     keyed = (docs.withColumn(keys[0], F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
              .withColumn(keys[1], F.xxhash64(text)))
     wanted = kept.select(F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).alias(keys[0]),

@@ -160,3 +160,29 @@ def test_op5(spark, edge_docs, no_docs):
 def test_isotonic():
     x, y = gbt_toxicity.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]))
     assert (np.diff(x) > 0).all() and (np.diff(y) > 0).all() and 0 < y[0] and y[-1] < 1
+
+
+def test_language_sample_of_null_ids_and_one_text(spark):
+    docs = spark.range(50_000).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.concat(F.lit("zz yy "), F.col("id").cast("string")))
+        .otherwise(F.lit("qq ww ee")).alias("text"),
+        F.when(F.col("id") % 2 == 0, F.lit("a")).otherwise(F.lit("b")).alias("lang"))
+    model = byte_cnn_lang.train(docs, F.lit(True), docs_per_lang=100)
+    assert model.classes == ["a", "b"]
+    got = byte_cnn_lang.predict(docs.where("lang = 'b'"), model).groupBy("lang_pred").count().collect()
+    assert {r["lang_pred"]: r["count"] for r in got} == {"b": 25_000}
+    got = byte_cnn_lang.predict(docs.where("lang = 'a'"), model).select("lang_pred").distinct().collect()
+    assert [r["lang_pred"] for r in got] == ["a"]
+    # the most frequent languages only
+    assert byte_cnn_lang.train(docs.where("lang = 'b' or text like '%2'"), F.lit(True), most_langs=1).classes == ["b"]
+
+
+def test_language_names_that_clash(spark):
+    rows = [(1, "some words", "en", "mine", 7.0, "x", "y"), (2, None, "en", "mine", 8.0, "x", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, __lang_pred string, "
+                                       "__score double, __text string, __TEXT_ string")
+    model = byte_cnn_lang.train(docs, F.lit(True))
+    carried = byte_cnn_lang.predict(docs, model, carry=True)
+    assert carried.columns == [*docs.columns, *byte_cnn_lang.carried_names(docs)] and len(set(carried.columns)) == 9
+    assert sorted(tuple(r)[:7] for r in carried.collect()) == rows

@@ -49,3 +49,12 @@ def test_near_duplicates_keep_one(spark):
                          (None, text, "en"), (5, None, "en"), (6, "", "en")])
     kept = corpus_pipeline.near_duplicates(spark, docs, MID).collect()
     assert sorted(r["doc_id"] for r in kept) == [2, 5, 6, 9]
+
+
+def test_rows_of_keeps_columns_named_like_its_own(spark):
+    from pulsekit.llm.common import rows_of
+    docs = spark.createDataFrame([(1, "a", "mine", 5), (None, None, "yours", 6)],
+                                 "doc_id long, text string, __llm_id string, __llm_text long")
+    kept = spark.sql("SELECT 1L AS doc_id, xxhash64('a') AS text_key UNION ALL SELECT NULL, xxhash64('')")
+    assert sorted(map(tuple, rows_of(docs, kept, once=True).collect()), key=str) == [
+        (1, "a", "mine", 5), (None, None, "yours", 6)]
