@@ -92,7 +92,7 @@ class UnitEncoder:
     ``limit``: when the young one is full it becomes the old one, and the old one's
     units that are met again move to the young; others are forgotten with it."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 500_000):
         self.tok = load(path)
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.limit = limit
@@ -165,7 +165,7 @@ class UnitEncoder:
 _ENCODERS: dict[tuple[str, int], UnitEncoder] = {}
 
 
-def encoder(path: str, limit: int = 600_000) -> UnitEncoder:
+def encoder(path: str, limit: int = 500_000) -> UnitEncoder:
     """The worker's encoder of a tokenizer file, kept between tasks with the units
     it knows."""
     key = (path, limit)
