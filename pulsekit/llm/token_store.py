@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsekit.llm.common import id_and_text, job_dir, pieces, release, written
-from pulsekit.llm.units import encoder
+from pulsekit.llm.units import encoder, forget
 
 MAGIC = b"PKS8B\0\0\1"
 BLOCK = 2048
@@ -229,6 +229,7 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
+        forget()                       # all files are written: their units' memory is free for reading
         store, _ = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
         for batch in batches:
             for row in batch.to_pylist():

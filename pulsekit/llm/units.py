@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from pulsekit.llm.common import gather
+from pulsekit.llm.common import gather, release
 
 #: Characters on whose class engines differ: texts with them go to the library whole.
 ODD = re.compile("[\u0085᠎​⁠﻿\x1c-\x1f]")
@@ -172,3 +172,9 @@ def encoder(path: str, limit: int = 500_000) -> UnitEncoder:
     if key not in _ENCODERS:
         _ENCODERS[key] = UnitEncoder(path, limit)
     return _ENCODERS[key]
+
+
+def forget() -> None:
+    """Drop the worker's encoders, when a job has encoded its last text."""
+    _ENCODERS.clear()
+    release()
