@@ -80,8 +80,9 @@ def shingles(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
         more = whole[doc[at]] > j
         h[more] = splitmix(h[more] * np.uint64(BASE) + word[at[more] + j])
     d = doc[at]
-    by = np.lexsort((h, d))
-    d, h = d[by], h[by]
+    cut = np.searchsorted(d, np.arange(len(texts) + 1)).tolist()
+    for begin, end in zip(cut, cut[1:]):                   # d is ascending
+        h[begin:end].sort()
     new = np.ones(len(d), bool)
     new[1:] = (d[1:] != d[:-1]) | (h[1:] != h[:-1])
     return d[new], h[new]
@@ -146,7 +147,8 @@ def prefixes(docs: DataFrame, words: int, num: int, den: int, order: np.ndarray)
                 doc, h = shingles(texts, words)
                 n = np.bincount(doc, minlength=len(texts))
                 key = (sums(doc, h, len(texts)) + n.astype(np.uint64)).view(np.int64)
-                by = np.lexsort((h, order[(h >> np.uint64(64 - bits)).astype(np.int64)], doc))
+                # by document, then order; those of one counter stay by hash
+                by = np.argsort(doc << 31 | order[(h >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")
                 doc, h = doc[by], h[by]
                 size = np.where(n > 0, n - -(-num * n // den) + 1, 0)
                 start = np.cumsum(n) - n
@@ -377,15 +379,22 @@ def whole_sets(docs: DataFrame, words: int, keys: DataFrame, bits: int = 23) ->
             .groupBy("key").agg(F.first("set").alias("set")))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int, folder: str, name: str) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` that reach the threshold."""
+def verified(docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int, folder: str, name: str,
+             sets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) of ``pairs`` that reach the threshold, and the whole sets
+    (key, set) of their classes.  ``sets``: those known; the texts are read for
+    the others only."""
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = written(whole_sets(docs, words, keys), folder, f"sets{name}")
+    if sets is not None:
+        keys = written(keys.join(sets.select("key"), "key", "left_anti"), folder, f"keys{name}")
+    if sets is None or not keys.isEmpty():
+        new = written(whole_sets(docs, words, keys), folder, f"sets{name}")
+        sets = new if sets is None else sets.unionByName(new)
     both = (pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
             .join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a"))
     common = F.size(F.array_intersect("set_a", "set_b"))
     return written(both.select("a", "b", common.alias("i"), (F.size("set_a") + F.size("set_b") - common).alias("u"))
-                   .where(den * F.col("i") >= num * F.col("u")).select("a", "b"), folder, f"links{name}")
+                   .where(den * F.col("i") >= num * F.col("u")).select("a", "b"), folder, f"links{name}"), sets
 
 
 def components(links: DataFrame, folder: str, name: str) -> DataFrame:
@@ -403,7 +412,8 @@ def components(links: DataFrame, folder: str, name: str) -> DataFrame:
         large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a != b").distinct())
         # every edge now goes from the larger end to the smaller
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        down = written(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")),
+                       folder, f"down{name}-{step}")
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = (down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).where("a != b").distinct())
@@ -417,8 +427,8 @@ def components(links: DataFrame, folder: str, name: str) -> DataFrame:
 
 def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sketch_bits: int, folder: str,
            block: int = 1024):
-    """The tables (rows, sets, classes), the links that the search needed (a, b),
-    and (key, label) of every end of one."""
+    """The tables (sets, classes), the links that the search needed (a, b),
+    (key, label) of every end of one, and the whole sets (key, set) of all ends."""
     rows = id_and_text(docs).withColumn("text_key", F.xxhash64("text"))
     order = counters(rows, words, sketch_bits)
     sets = written(prefixes(rows, words, num, den, order), folder, "prefixes")
@@ -432,9 +442,9 @@ def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sket
                 .select("gid", "n", F.posexplode("prefix").alias("pos", "token")))
     met = written(meet(postings, num, den, list_rows), folder, "met")
     group_pairs = met.where("kind = 0").select("a", "b").distinct()
-    members = classes.join(groups.where("size > 1"), ["n", "head"]).select("gid", "key", "n")
+    members = written(classes.join(groups.where("size > 1"), ["n", "head"]).select("gid", "key", "n"), folder, "members")
     stars = members.where("gid != key").select(F.col("gid").alias("a"), F.col("key").alias("b"))
-    links = verified(rows, group_pairs.unionByName(stars), words, num, den, folder, "1")
+    links, whole = verified(rows, group_pairs.unionByName(stars), words, num, den, folder, "1")
     labels = components(links, folder, "1")
 
     # second round: what is left between different components
@@ -443,8 +453,8 @@ def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sket
         return df.join(own, key, "left").withColumn(label, F.coalesce(label, F.col(key)))
 
     grown = members.select("gid", "key")
-    span = labelled(groups.where("size > 1").select("gid").join(members.select("gid", "key"), "gid"), "key", "label") \
-        .groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    span = written(labelled(grown, "key", "label").groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi")),
+                   folder, "span")
 
     def spanned(df: DataFrame, gid: str) -> DataFrame:
         """With the least and the largest label of a group's classes."""
@@ -468,18 +478,19 @@ def linked(docs: DataFrame, words: int, num: int, den: int, list_rows: int, sket
     left = left.unionByName(differing(labelled(lists, "key", "label"), num, den, folder, block))
     left = written(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), folder, "left")
     if not left.isEmpty():
-        more = verified(rows, left, words, num, den, folder, "2")
+        more, whole = verified(rows, left, words, num, den, folder, "2", whole)
         if not more.isEmpty():
             links = links.unionByName(more)
             labels = components(links, folder, "2")
 
-    return rows, sets, classes, links, labels
+    return sets, classes, links, labels, whole
 
 
-def all_links(rows: DataFrame, classes: DataFrame, labels: DataFrame, words: int, num: int, den: int,
+def all_links(whole: DataFrame, classes: DataFrame, labels: DataFrame, num: int, den: int,
               folder: str, block: int = 1024, shingles_: int = 500_000) -> DataFrame:
     """(key, links): with how many other classes a class links, of classes with a
-    link.  A link's ends share a component, and the smaller set has at least
+    link.  ``whole``: (key, set) of them at least; the search has verified their
+    links, so that no text is read again.  A link's ends share a component, and the smaller set has at least
     num / den of the larger one's shingles: a component's classes are dealt by
     that ratio of sizes, and by a hash of the class, into blocks of about
     ``block`` rows and at most about ``shingles_`` shingles.  A task's cell
@@ -489,7 +500,6 @@ def all_links(rows: DataFrame, classes: DataFrame, labels: DataFrame, words: int
     ends = ends.join(classes.select("key", "n"), "key")
     most = F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(shingles_))
     placed = in_cells(ends, "label", num, den, most, folder, "blocks")
-    whole = whole_sets(rows, words, ends.select("key"))
     dealt = (placed.join(whole, "key").select("label", F.explode("cells").alias("cell"), "key", "set")
              .select("label", "cell.*", "key", "set"))
 
@@ -551,8 +561,8 @@ def links(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows
     links is with how many other sets the document's set links, all of them
     verified.  Documents with one set are one."""
     folder = job_dir(docs.sparkSession, "jaccard")
-    rows, sets, classes, _, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder, block)
-    found = written(all_links(rows, classes, labels, words, num, den, folder, block), folder, "all")
+    sets, classes, _, labels, whole = linked(docs, words, num, den, list_rows, sketch_bits, folder, block)
+    found = written(all_links(whole, classes, labels, num, den, folder, block), folder, "all")
     return (sets.join(found, "key", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.coalesce("links", F.lit(0)).cast("long").alias("links"), "text_key"))
@@ -566,7 +576,7 @@ def join(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5, list_rows:
     smallest doc_id (its repeated rows share it).  Sets link when
     den * intersection >= num * union."""
     folder = job_dir(docs.sparkSession, "jaccard")
-    _, sets, classes, links, labels = linked(docs, words, num, den, list_rows, sketch_bits, folder, block)
+    sets, classes, links, labels, _ = linked(docs, words, num, den, list_rows, sketch_bits, folder, block)
     degree = (links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key")
               .agg(F.count("*").alias("links")))
     named = (classes.select("key").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))

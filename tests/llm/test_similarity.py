@@ -260,3 +260,14 @@ def test_scaling_leaves_cosines_as_they_are():
 def test_chi_square():
     assert abs(ann_projection.chi_square(ann_projection.chi_square_limit(0.95, 8), 8) - 0.95) < 1e-9
     assert abs(ann_projection.chi_square_limit(0.95, 2) - 5.991464547) < 1e-6
+
+
+def test_links_read_texts_once_for_whole_sets(spark, monkeypatch):
+    base = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(base + [f"own{i}"])) for i in range(4)] + [(9, "some other words here")],
+                                 "doc_id long, text string")
+    read, whole_sets = [], jaccard_join.whole_sets
+    monkeypatch.setattr(jaccard_join, "whole_sets", lambda *a, **k: read.append(1) or whole_sets(*a, **k))
+    got = {r["doc_id"]: r["links"] for r in jaccard_join.links(docs, words=4, num=85, den=100).collect()}
+    assert got == {0: 3, 1: 3, 2: 3, 3: 3, 9: 0}
+    assert len(read) == 1
