@@ -28,6 +28,7 @@ trusted rows nothing is known and every text that isn't empty is kept.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -258,7 +259,7 @@ class Model:
 
     def __init__(self, ngrams: DataFrame, order: int, folder: str):
         """``ngrams``: (g, c) of the trusted texts, of the order."""
-        self.order = order
+        self.order, self.folder = order, folder
         counts = {order: written(ngrams, folder, f"counts{order}")}
         for k in range(order - 1, 0, -1):
             shorter = counts[k + 1].select((F.col("g") % (1 << 8 * k)).alias("g"))
@@ -291,17 +292,21 @@ class Model:
             self.seen[k] = written(p, folder, f"seen{k}")
 
     def log_probabilities(self, asked: DataFrame) -> DataFrame:
-        """(g, lp) for every n-gram of ``asked`` (g, distinct)."""
-        rest = asked.select("g", F.col("g").alias("s"), F.lit(1.0).alias("w"))
-        out = None
+        """(g, lp) for every n-gram of ``asked`` (g, distinct).  What an order finds is
+        written, so that the orders below don't find it again: their joins would
+        grow with the square of the order, in tasks and in the driver's plans."""
+        rest = asked.select("g", F.lit(1.0).alias("w"))
+        folder, out = f"{self.folder}/asked-{uuid.uuid4().hex[:12]}", None
         for k in range(self.order, 0, -1):
-            p = rest.join(self.seen[k].select(F.col("g").alias("s"), "p"), "s", "left")
+            # s: the last k bytes
+            p = rest.withColumn("s", F.col("g") % (1 << 8 * k)).join(
+                self.seen[k].select(F.col("g").alias("s"), "p"), "s", "left").select("g", "w", "p")
+            p = written(p, folder, f"order{k}")
             found = p.where("p is not null").select("g", F.log(F.col("w") * F.col("p")).alias("lp"))
             out = found if out is None else out.unionByName(found)
             back = self.back[k].select("h", F.col("w").alias("v"))
-            rest = (p.where("p is null").withColumn("h", F.shiftright("s", 8)).join(back, "h", "left")
-                    .select("g", (F.col("s") % (1 << 8 * (k - 1))).alias("s"),
-                            (F.col("w") * F.coalesce("v", F.lit(1.0))).alias("w")))
+            rest = (p.where("p is null").withColumn("h", F.shiftright(F.col("g") % (1 << 8 * k), 8)).join(back, "h", "left")
+                    .select("g", (F.col("w") * F.coalesce("v", F.lit(1.0))).alias("w")))
         return out.unionByName(rest.select("g", F.log(F.col("w") * FLAT).alias("lp")))
 
 

@@ -186,3 +186,11 @@ def test_language_names_that_clash(spark):
     carried = byte_cnn_lang.predict(docs, model, carry=True)
     assert carried.columns == [*docs.columns, *byte_cnn_lang.carried_names(docs)] and len(set(carried.columns)) == 9
     assert sorted(tuple(r)[:7] for r in carried.collect()) == rows
+
+
+def test_orders_below_are_joined_once(spark):
+    ngrams = kn_quality.count_ngrams(spark.createDataFrame([("abcabd abe",)], "text string"), 3)
+    model = kn_quality.Model(ngrams, 3, job_dir(spark, "test-kn"))
+    asked = spark.createDataFrame([(g,) for g in kn_quality.ngram_keys(b"abcxbd", 3).tolist()], "g long")
+    plan = model.log_probabilities(asked)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") <= 1          # the other orders' are written
