@@ -62,7 +62,7 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
             most[c] = np.maximum(left, np.concatenate([left[c - half:], np.zeros(c - half, np.uint8)])[:n])
     choice = np.zeros(n, np.uint8)
     for s in range(14, 0, -1):
-        choice[most[int(COUNTS[s])] <= s] = s
+        np.copyto(choice, np.uint8(s), where=most[int(COUNTS[s])] <= s)
     at = np.arange(n_blocks) * block
     heads, owners = [], []
     live = np.arange(n_blocks)
@@ -79,22 +79,25 @@ def pack(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     slots = np.where(sel == 0, 2, 1)
     where = np.concatenate([[0], np.cumsum(slots)])
     words = np.zeros(where[-1], np.uint64)
-    padded = np.concatenate([ids, np.zeros(64, np.uint64)])
+    stop = ends[owner]
     for s in range(15):
         rows = np.flatnonzero(sel == s)
         if not len(rows):
             continue
-        first, put = head[rows], where[rows]
         if s == 0:
-            words[put + 1] = ids[first]
+            words[where[rows] + 1] = ids[head[rows]]
             continue
-        value = np.full(len(rows), s << 60, np.uint64)
-        stop = ends[owner[rows]]
-        for j in range(int(COUNTS[s])):
-            # ids beyond the block's end are not this word's
-            v = np.where(first + j < stop, padded[np.minimum(first + j, n)], np.uint64(0))
-            value |= v << np.uint64(j * int(WIDTHS[s]))
-        words[put] = value
+        # a block's last word may hold fewer: ids beyond the end are not this word's
+        filled = head[rows] + int(COUNTS[s]) <= stop[rows]
+        for own, whole in ((rows[filled], True), (rows[~filled], False)):
+            value = np.full(len(own), s << 60, np.uint64)
+            at = head[own]
+            for j in range(int(COUNTS[s]) if len(own) else 0):
+                v = ids[at] if whole else np.where(at < stop[own], ids[np.minimum(at, n - 1)], np.uint64(0))
+                v <<= np.uint64(j * int(WIDTHS[s]))
+                value |= v
+                at += 1
+            words[where[own]] = value
     starts = np.searchsorted(owner, np.arange(n_blocks))
     return words, np.concatenate([where[starts], [where[-1]]])
 
@@ -128,14 +131,21 @@ def unpack(words: np.ndarray, starts: np.ndarray, n: int, block: int = BLOCK) ->
         rows = np.flatnonzero(sel == s)
         if not len(rows):
             continue
-        w = words[at[rows]]
         if s == 0:
             out[pos[rows]] = words[at[rows] + 1]
             continue
-        mask = np.uint64((1 << int(WIDTHS[s])) - 1)
-        for j in range(int(COUNTS[s])):
-            ok = pos[rows] + j < stop[rows]
-            out[pos[rows][ok] + j] = (w[ok] >> np.uint64(j * int(WIDTHS[s]))) & mask
+        width, mask = np.uint64(WIDTHS[s]), np.uint64((1 << int(WIDTHS[s])) - 1)
+        filled = pos[rows] + int(COUNTS[s]) <= stop[rows]
+        for own, whole in ((rows[filled], True), (rows[~filled], False)):
+            w, to = words[at[own]], pos[own]
+            for _ in range(int(COUNTS[s]) if len(own) else 0):
+                if whole:
+                    out[to] = w & mask
+                else:
+                    ok = to < stop[own]
+                    out[to[ok]] = w[ok] & mask
+                w >>= width
+                to += 1
     return out
 
 

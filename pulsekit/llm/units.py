@@ -19,12 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from pulsekit.llm.common import gather, release
+from pulsekit.llm.common import release
 
 #: Characters on whose class engines differ: texts with them go to the library whole.
 ODD = re.compile("[\u0085᠎​⁠﻿\x1c-\x1f]")
-IRREGULAR = 0
-
 
 #: Units that the library is given at once, parted by line feeds.
 RUN = 64
@@ -64,40 +62,21 @@ def grown(a: np.ndarray, size: int) -> np.ndarray:
     return b
 
 
-class Generation:
-    """ids of units by code, end to end, in arrays that grow by halves.  Code 0 is
-    IRREGULAR, without ids; code 1 the line feed."""
-
-    def __init__(self, feed: int):
-        self.codes: dict[str, int] = {"\n": 1}
-        self.flat = np.array([feed], np.uint32)
-        self.off = np.array([0, 0, 1])
-        self.known, self.end = 2, 1
-
-    def add(self, units: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
-        known, end = self.known + len(units), self.end + len(ids)
-        self.codes.update(zip(units, range(self.known, known)))
-        self.flat, self.off = grown(self.flat, end), grown(self.off, known + 1)
-        self.flat[self.end:end] = ids
-        self.off[self.known + 1:known + 1] = self.end + np.cumsum(lens)
-        self.known, self.end = known, end
-
-    def find(self, units: list[str]) -> np.ndarray:
-        """Their codes, -1 for those not met yet."""
-        return np.fromiter(map(self.codes.get, units, repeat(-1)), np.int64, len(units))
-
-
 class UnitEncoder:
-    """ids of whole texts.  A worker remembers units in two generations of about
-    ``limit``: when the young one is full it becomes the old one, and the old one's
-    units that are met again move to the young; others are forgotten with it."""
+    """ids of whole texts.  A worker remembers units with their ids, end to end in
+    arrays that grow by halves (``off`` counts bytes), and when it last met them; beyond twice ``limit``
+    units, the ``limit`` that it met last stay.  Code 0 is the line feed; units that
+    may not be encoded by themselves are ``odd`` and have no ids."""
 
     def __init__(self, path: str, limit: int = 500_000):
         self.tok = load(path)
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.limit = limit
         (self.feed,) = self.tok.encode("\n", add_special_tokens=False).ids
-        self.young, self.old = Generation(self.feed), Generation(self.feed)
+        self.codes: dict[str, int] = {"\n": 0}             # in the order of the codes
+        self.flat, self.off = np.array([self.feed], np.uint32), np.array([0, 4])
+        self.last, self.odd = np.zeros(1, np.int64), np.zeros(1, bool)
+        self.clock = 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -109,32 +88,55 @@ class UnitEncoder:
         return (joined.split() == [u[1:] if u[:1] == " " else u for u in units]
                 and not ODD.search(joined) and not any(s in joined for s in self.specials))
 
-    def learn(self, units: list[str]) -> None:
-        """Put units that the young generation lacks into it."""
-        codes = self.old.find(units)
-        met = np.flatnonzero(codes > IRREGULAR)
-        lens = self.old.off[codes[met] + 1] - self.old.off[codes[met]]
-        self.young.add([units[i] for i in met.tolist()], self.old.flat[gather(self.old.off[codes[met]], lens)], lens)
-        new = [units[i] for i in np.flatnonzero(codes <= IRREGULAR).tolist()]
-        good = []
-        for i in range(0, len(new), RUN):
-            run = new[i:i + RUN]
-            if not self.regular(run):
-                run = [u for u in run if self.regular([u])]
-                self.young.codes.update(zip(set(new[i:i + RUN]).difference(run), repeat(IRREGULAR)))
-            good += run
+    def forget_old(self) -> None:
+        """Only the line feed and the ``limit`` units met last stay."""
+        known = len(self.codes)
+        self.last[0] = self.clock + 1
+        stay = np.sort(np.argpartition(self.last[:known], known - self.limit - 1)[known - self.limit - 1:])
+        ids, off = self.ids_of(stay)
+        units = list(self.codes)
+        self.codes = {units[i]: k for k, i in enumerate(stay.tolist())}
+        self.flat, self.off = ids.copy(), off.copy()
+        self.last, self.odd = self.last[stay], self.odd[stay]
+
+    def ids_of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the units' ids end to end, where each begins and the last ends, in bytes)."""
+        known = pa.Array.from_buffers(pa.large_binary(), len(self.codes),
+                                      [None, pa.py_buffer(self.off), pa.py_buffer(self.flat)])
+        _, off, ids = known.take(pa.array(codes)).buffers()
+        off = np.frombuffer(off, np.int64, len(codes) + 1) if len(codes) else np.zeros(1, np.int64)
+        return (np.frombuffer(ids, np.uint32, off[-1] // 4) if off[-1] else np.zeros(0, np.uint32)), off
+
+    def learn(self, units: list[str]) -> np.ndarray:
+        """The codes of units that are not known yet."""
+        odd = np.zeros(len(units), bool)
+        for i in range(0, len(units), RUN):
+            if not self.regular(units[i:i + RUN]):
+                odd[i:i + RUN] = [not self.regular([u]) for u in units[i:i + RUN]]
+        good = [u for u, o in zip(units, odd.tolist()) if not o] if odd.any() else units
         # one call for many units: line feeds part them and are ids of their own
         runs = ["\n".join(good[i:i + RUN]) for i in range(0, len(good), RUN)]
         ids = np.concatenate([np.zeros(0, np.uint32)] + [
             np.array([*e.ids, self.feed], np.uint32)
             for e in self.tok.encode_batch_fast(runs, add_special_tokens=False)])
         ends = np.flatnonzero(ids == self.feed)
-        self.young.add(good, ids[ids != self.feed], np.diff(ends - np.arange(len(ends)), prepend=0))
+        ids = ids[ids != self.feed]
+        lens = np.zeros(len(units), np.int64)
+        lens[~odd] = np.diff(ends - np.arange(len(ends)), prepend=0)
+        known = len(self.codes)
+        more, end = known + len(units), int(self.off[known]) // 4
+        self.flat, self.off = grown(self.flat, end + len(ids)), grown(self.off, more + 1)
+        self.last, self.odd = grown(self.last, more), grown(self.odd, more)
+        self.flat[end:end + len(ids)] = ids
+        self.off[known + 1:more + 1] = 4 * (end + np.cumsum(lens))
+        self.odd[known:more] = odd
+        self.codes.update(zip(units, range(known, more)))
+        return np.arange(known, more)
 
     def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text), of texts that are not null."""
-        if len(self.young.codes) > self.limit:
-            self.young, self.old = Generation(self.feed), self.young
+        if len(self.codes) > 2 * self.limit:
+            self.forget_old()
         if not isinstance(texts, pa.Array):
             texts = pa.array(texts, pa.string())
         texts = texts.cast(pa.large_string())          # units may be longer than their texts
@@ -142,19 +144,19 @@ class UnitEncoder:
         ends = np.asarray(lists.offsets)[1:].astype(np.int64)
         table = lists.values.dictionary_encode()
         units = strings(table.dictionary)              # each unit once, in order of its first place
-        codes = self.young.find(units)
+        codes = np.fromiter(map(self.codes.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(codes < 0)
         if len(missing):
-            self.learn([units[i] for i in missing.tolist()])
-            codes[missing] = self.young.find([units[i] for i in missing.tolist()])
+            codes[missing] = self.learn([units[i] for i in missing.tolist()])
+        self.clock += 1
+        self.last[codes] = self.clock
+        some_odd = self.odd[codes].any()
         codes = codes[np.asarray(table.indices)]
         alone = set(np.flatnonzero(np.asarray(pc.match_substring(texts, "\0"))).tolist())
-        alone.update(np.searchsorted(ends, np.flatnonzero(codes == IRREGULAR), side="right").tolist())
-        off = self.young.off
-        lens = off[codes + 1] - off[codes]
-        ids = self.young.flat[gather(off[codes], lens)]
-        csum = np.concatenate([[0], np.cumsum(lens)])
-        bounds = np.concatenate([[0], csum[ends]])
+        if some_odd:
+            alone.update(np.searchsorted(ends, np.flatnonzero(self.odd[codes]), side="right").tolist())
+        ids, off = self.ids_of(codes)
+        bounds = np.concatenate([[0], off[ends] // 4])
         if not alone:
             return ids, np.diff(bounds)
         parts = [self.whole(texts[i].as_py()) if i in alone else ids[bounds[i]:bounds[i + 1]]

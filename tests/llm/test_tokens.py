@@ -174,3 +174,14 @@ def test_no_rows(no_docs):
     assert token_counts.count_tokens(no_docs, WORD).collect() == []
     assert bin_packing.pack_documents(no_docs, BYTE, 0).collect() == []
     assert bpe_backtrack.digests(no_docs, WORD).collect() == []
+
+
+def test_units_met_last_are_not_learned_again(monkeypatch):
+    enc, learned = UnitEncoder(BYTE, limit=3), []
+    learn = enc.learn
+    monkeypatch.setattr(enc, "learn", lambda units: learned.extend(units) or learn(units))
+    for k in range(8):
+        texts = [f"often{'' if k else ' also'} new{k} other{k}"]
+        ids, lens = enc.encode(texts)
+        assert (ids.tolist(), lens.tolist()) == (ids_of(BYTE, texts)[0], [len(ids)])
+    assert learned.count("often") == 1 and len(enc.codes) <= 9
